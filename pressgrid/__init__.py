@@ -31,7 +31,7 @@ from pressgrid.operators.windows import (
     fixed_windows,
     window_tree,
 )
-from pressgrid.plans.dataset import build_dataset
+from pressgrid.plans.dataset import Dataset, build_dataset
 from pressgrid.plans.request import Filters, Near, Request, Sort, TimeRange
 from pressgrid.sources import (
     flatten_articles,
@@ -45,7 +45,7 @@ from pressgrid.sources import (
 )
 
 __all__ = [
-    "Filters", "Near", "Request", "Sort", "TimeRange", "adaptive_windows", "analysis_targets",
+    "Dataset", "Filters", "Near", "Request", "Sort", "TimeRange", "adaptive_windows", "analysis_targets",
     "article_predicate", "assign_windows", "build_dataset", "cap_per_window", "collect_articles",
     "coverage_summary", "coverage_warnings", "dataset_summary", "dedup_articles", "dedup_counts",
     "enrich_articles", "enrichment_errors", "enrichment_summary", "entity_tracking", "extract_pages",

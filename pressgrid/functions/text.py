@@ -6,7 +6,7 @@ Everything here returns a ``Column`` built from Spark's own functions, so it run
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
@@ -56,17 +56,6 @@ def compact_key(col: Column) -> Column:
     return F.replace(F.lower(strip(col)), F.lit(" "), F.lit(""))
 
 
-def _as_ranges(code_points: Iterable[int], gap: int = 0x20) -> str:
-    """A short regex class covering all code points; neighbours closer than ``gap`` share a range."""
-    ranges: list[list[int]] = []
-    for cp in sorted(code_points):
-        if ranges and cp - ranges[-1][1] <= gap:
-            ranges[-1][1] = cp
-        else:
-            ranges.append([cp, cp])
-    return "[" + "".join(f"{chr(lo)}-{chr(hi)}" if hi > lo else chr(lo) for lo, hi in ranges) + "]"
-
-
 @cache
 def fold_tables() -> tuple[dict[str, str], dict[str, str]]:
     """Where full case folding differs from lower-casing, as (one-to-one, one-to-many) maps.
@@ -87,21 +76,31 @@ def fold_tables() -> tuple[dict[str, str], dict[str, str]]:
 def fold(col: Column) -> Column:
     """Unicode case folding, equal to Python's ``str.casefold``.
 
-    Three tiers by cost: pure ASCII needs ``lower`` alone; most other text needs only the sharp s;
-    the full tables are applied to texts that hold one of the affected characters.
+    Tiers by cost: pure ASCII needs ``lower`` alone and Latin-1 text two replacements; text beyond that is
+    mapped character by character, and the long expansions are tried only where one would apply.
     """
     single, multiple = fold_tables()
+    # Both of these lie within Latin-1; every other affected character lies beyond it.
     rare = {k: v for k, v in multiple.items() if k != "ß"}
-    lowered = F.lower(col)
-    mapped = F.translate(lowered, "".join(single), "".join(single.values()))
-    pairs = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in rare.items()))
-    expanded = F.aggregate(pairs, mapped, lambda text, pair: F.replace(text, pair["k"], pair["v"]))
-    full = F.when(mapped.rlike(_as_ranges(map(ord, rare))), expanded).otherwise(mapped)
-    affected = _as_ranges(map(ord, [*single, *rare]))
-    beyond_ascii = F.replace(
-        F.when(lowered.rlike(affected), full).otherwise(lowered), F.lit("ß"), F.lit("ss")
-    )
-    return F.when(F.octet_length(col) == F.length(col), lowered).otherwise(beyond_ascii)
+    # One literal, "<character><expansion>|...", which Catalyst splits once while planning.
+    pairs = F.split(F.lit("|".join(k + v for k, v in rare.items())), "[|]")
+
+    def beyond_latin(text: Column) -> Column:
+        expanded = F.aggregate(
+            pairs, text, lambda done, pair: F.replace(done, F.left(pair, F.lit(1)), F.substring(pair, 2, 3))
+        )
+        return F.when(F.translate(text, "".join(rare), "") == text, text).otherwise(expanded)
+
+    def by_tier(text: Column) -> Column:
+        latin = F.replace(F.replace(text, F.lit("ß"), F.lit("ss")), F.lit("µ"), F.lit("μ"))
+        mapped = F.translate(latin, "".join(single), "".join(single.values()))
+        return (
+            F.when(F.octet_length(text) == F.length(text), text)
+            .when(~text.rlike("[Ā-\U0010ffff]"), latin)
+            .otherwise(let(mapped, beyond_latin))
+        )
+
+    return let(F.lower(col), by_tier)
 
 
 def fold_words(term: str) -> list[str]:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pressgrid.functions.text import let
+
 VIOLATION = "struct<path:string,rule:string,detail:string>"
 
 
@@ -26,9 +28,13 @@ def _violation(path: Column, rule: str, detail: Column) -> Column:
     return F.struct(path.alias("path"), F.lit(rule).alias("rule"), detail.alias("detail"))
 
 
+def _none() -> Column:
+    return F.array().cast(f"array<{VIOLATION}>")
+
+
 def _when(broken: Column, path: Column, rule: str, detail: Column) -> Column:
     """A list of one violation where ``broken`` holds, otherwise an empty one."""
-    return F.when(broken, F.array(_violation(path, rule, detail))).otherwise(F.array().cast(f"array<{VIOLATION}>"))
+    return F.when(broken, F.array(_violation(path, rule, detail))).otherwise(_none())
 
 
 def _child(path: Column, key: str) -> Column:
@@ -68,9 +74,13 @@ def _accepts(found: Column, kinds: Sequence[str]) -> Column:
     return found.isin(allowed)
 
 
-def _json_checks(value: Column, contract: dict[str, Any], path: Column) -> list[Column]:
+def _json_checks(value: Column, contract: dict[str, Any], path: Column) -> Column:
+    """All violations at and below one value. Its type and its fields are looked up once."""
+    return let(_json_type(value), lambda found: _joined(_json_rules(value, found, contract, path)))
+
+
+def _json_rules(value: Column, found: Column, contract: dict[str, Any], path: Column) -> list[Column]:
     kinds, checks = _types(contract), []
-    found = _json_type(value)
     if kinds:
         checks.append(_when(
             ~_accepts(found, kinds), path, "type", F.concat(F.lit(f"{_expected(contract)}, got "), found)
@@ -78,38 +88,38 @@ def _json_checks(value: Column, contract: dict[str, Any], path: Column) -> list[
     if "enum" in contract:
         text = F.coalesce(F.try_variant_get(value, "$", "string"), F.lit("null"))
         allowed = ["null" if e is None else str(e) for e in contract["enum"]]
-        # Only strings are compared as they are; a number that reads like an allowed word is not one.
-        wrong = ~text.isin(allowed) | ((found != "string") & (found != "null"))
-        if any(not isinstance(e, str) and e is not None for e in contract["enum"]):
-            wrong = ~text.isin(allowed)
+        wrong = ~text.isin(allowed)
+        if all(e is None or isinstance(e, str) for e in contract["enum"]):
+            # A number that reads like an allowed word is not that word.
+            wrong = wrong | ~found.isin("string", "null")
         checks.append(_when(wrong, path, "enum", F.concat(F.lit(f"expected one of {allowed}, got "), text)))
     if "object" in kinds:
         fields = F.try_variant_get(value, "$", "map<string,variant>")
-        names = F.map_keys(fields)
-        known = contract.get("properties", {})
-        is_object = found == "object"
-        for key in contract.get("required", []):
-            checks.append(_when(
-                is_object & ~F.array_contains(names, key), path, "required", F.lit(f"missing {key}")
-            ))
-        if contract.get("additionalProperties", True) is False:
-            extra = F.filter(names, lambda name: ~name.isin(list(known)) if known else F.lit(True))
-            checks.append(_when(
-                is_object & (F.size(extra) > 0), path, "extra",
-                F.concat(F.lit("unexpected "), F.array_join(F.array_sort(extra), ", ")),
-            ))
-        for key, rule in known.items():
-            inner = F.try_element_at(fields, F.lit(key))
-            nested = _joined(_json_checks(inner, rule, _child(path, key)))
-            present = is_object & F.array_contains(names, key)
-            checks.append(F.when(present, nested).otherwise(F.array().cast(f"array<{VIOLATION}>")))
+        inside = let(fields, lambda held: _joined(_field_rules(held, contract, path)))
+        checks.append(F.when(found == "object", inside).otherwise(_none()))
     if "array" in kinds and contract.get("items"):
-        items = F.coalesce(
-            F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>")
+        per_item = F.transform(
+            F.try_variant_get(value, "$", "array<variant>"),
+            lambda item, at: _json_checks(item, contract["items"], _element(path, at)),
         )
-        checks.append(F.flatten(F.transform(
-            items, lambda item, at: _joined(_json_checks(item, contract["items"], _element(path, at)))
+        checks.append(F.when(found == "array", F.flatten(per_item)).otherwise(_none()))
+    return checks
+
+
+def _field_rules(held: Column, contract: dict[str, Any], path: Column) -> list[Column]:
+    names, checks = F.map_keys(held), []
+    known = contract.get("properties", {})
+    for key in contract.get("required", []):
+        checks.append(_when(~F.array_contains(names, key), path, "required", F.lit(f"missing {key}")))
+    if contract.get("additionalProperties", True) is False:
+        extra = F.array_sort(F.array_except(names, F.array(*map(F.lit, known)).cast("array<string>")))
+        checks.append(let(extra, lambda more: _when(
+            F.size(more) > 0, path, "extra", F.concat(F.lit("unexpected "), F.array_join(more, ", "))
         )))
+    for key, rule in known.items():
+        checks.append(F.when(
+            F.array_contains(names, key), _json_checks(F.try_element_at(held, F.lit(key)), rule, _child(path, key))
+        ).otherwise(_none()))
     return checks
 
 
@@ -156,18 +166,17 @@ def _typed_checks(value: Column, kind: T.DataType, contract: dict[str, Any], pat
         for key, rule in contract.get("properties", {}).items():
             if key in held:
                 inner = _joined(_typed_checks(value[key], kind[key].dataType, rule, _child(path, key)))
-                checks.append(F.when(value.isNotNull(), inner).otherwise(F.array().cast(f"array<{VIOLATION}>")))
+                checks.append(F.when(value.isNotNull(), inner).otherwise(_none()))
     if isinstance(kind, T.ArrayType) and contract.get("items"):
         per_item = F.transform(value, lambda item, at: _joined(
             _typed_checks(item, kind.elementType, contract["items"], _element(path, at))
         ))
-        checks.append(F.coalesce(F.flatten(per_item), F.array().cast(f"array<{VIOLATION}>")))
+        checks.append(F.coalesce(F.flatten(per_item), _none()))
     return checks
 
 
 def _joined(checks: list[Column]) -> Column:
-    empty = F.array().cast(f"array<{VIOLATION}>")
-    return F.concat(*checks) if checks else empty
+    return F.concat(*checks) if checks else _none()
 
 
 def _checked(rows: DataFrame, contract: dict[str, Any], json: str | None) -> Column:
@@ -176,10 +185,10 @@ def _checked(rows: DataFrame, contract: dict[str, Any], json: str | None) -> Col
         record = F.struct(*rows.columns)
         return _joined(_typed_checks(record, rows.schema, contract, root))
     value = F.try_parse_json(F.col(json))
-    # Binding the parsed record to a name keeps it from being parsed once per check.
-    checks = F.transform(F.array(value), lambda v: _joined(_json_checks(v, contract, root)))[0]
     unreadable = _when(F.lit(True), root, "json", F.lit("not a JSON value"))
-    return F.when(value.isNull(), unreadable).otherwise(checks)
+    return let(value, lambda record: F.when(record.isNull(), unreadable).otherwise(
+        _json_checks(record, contract, root)
+    ))
 
 
 def violations(

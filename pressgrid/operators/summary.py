@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,19 +50,23 @@ RANKINGS = {
 }
 
 
+def ranking(
+    articles: DataFrame | Callable[[], DataFrame], name: str, sort: Sort | str = Sort.RELEVANCE
+) -> DataFrame:
+    """Ranked counts of one of ``RANKINGS``."""
+    column = RANKINGS[name]
+    rows = (articles() if callable(articles) else articles).withColumn("appearance", appearance(sort))
+    if name == "matched_entities":
+        # Inside one article, entities appear in the order in which they were asked for.
+        place = F.col("appearance").cast("decimal(38,0)") * F.lit(_MAX_TERMS) + F.col("at")
+        rows = rows.select("appearance", F.posexplode(column).alias("at", column))
+        rows = rows.select(column, place.cast("decimal(38,0)").alias("appearance"))
+    return ranked_counts(rows, column)
+
+
 def rankings(articles: DataFrame, sort: Sort | str = Sort.RELEVANCE) -> dict[str, DataFrame]:
     """Ranked counts of language, source country, domain and matched entity."""
-    keyed = articles.withColumn("appearance", appearance(sort))
-    result = {}
-    for name, column in RANKINGS.items():
-        rows = keyed
-        if name == "matched_entities":
-            # Inside one article, entities appear in the order in which they were asked for.
-            place = F.col("appearance").cast("decimal(38,0)") * F.lit(_MAX_TERMS) + F.col("at")
-            rows = keyed.select("appearance", F.posexplode("matched_entities").alias("at", column))
-            rows = rows.select(column, place.cast("decimal(38,0)").alias("appearance"))
-        result[name] = ranked_counts(rows, column)
-    return result
+    return {name: ranking(articles, name, sort) for name in RANKINGS}
 
 
 def dataset_summary(articles: DataFrame, raw: DataFrame | None = None) -> DataFrame:

@@ -19,7 +19,7 @@ from pressgrid.functions.times import iso_utc
 from pressgrid.operators.predicates import bounds, in_range
 from pressgrid.plans.request import Sort, TimeRange
 
-SECOND = 1_000_000  # all offsets below are microseconds from the start of the base window
+SECOND = 1_000_000  # microseconds
 _SALTS = 64
 
 
@@ -29,7 +29,7 @@ def _whole(value: Column, unit: int) -> Column:
 
 
 class _Grid:
-    """Base windows of a range as arithmetic: index and offset of a time, start and length of a window."""
+    """The base windows of a range as arithmetic on microseconds and, inside a window, on seconds."""
 
     def __init__(self, date_range: TimeRange, hours: int | None) -> None:
         limits = bounds(date_range)
@@ -50,20 +50,32 @@ class _Grid:
 
     def index(self, ts: Column) -> Column:
         # A row at the very end of the range belongs to the last window.
-        at = _whole(self._offset(ts), self.step).cast("int")
-        return F.least(at, F.lit(self.size - 1))
+        return F.least(_whole(self._offset(ts), self.step).cast("int"), F.lit(self.size - 1))
 
     def second(self, ts: Column) -> Column:
-        """Whole seconds since the start of the row's base window, in microseconds."""
-        inside = self._offset(ts) - self.index(ts).cast("long") * F.lit(self.step)
-        return inside - inside % F.lit(SECOND)
+        """Whole seconds since the start of the row's base window."""
+        return _whole(self._offset(ts) - self.index(ts).cast("long") * F.lit(self.step), SECOND)
 
-    def length(self, index: Column) -> Column:
+    def _length(self, index: Column) -> Column:
         return F.least(F.lit(self.step), F.lit(self.total) - index.cast("long") * F.lit(self.step))
 
-    def time(self, index: Column, offset: Column) -> Column:
-        start = F.unix_micros(F.lit(self.limits.start))
-        return F.timestamp_micros(start + index.cast("long") * F.lit(self.step) + offset)
+    def seconds(self, index: Column) -> Column:
+        """Whole seconds that a base window lasts."""
+        return _whole(self._length(index), SECOND)
+
+    def start(self, index: Column, second: Column) -> Column:
+        if not self.closed:
+            return F.lit(self.limits.start).cast("timestamp")
+        origin = F.unix_micros(F.lit(self.limits.start)) + index.cast("long") * F.lit(self.step)
+        return F.timestamp_micros(origin + second * F.lit(SECOND))
+
+    def end(self, index: Column, second: Column) -> Column:
+        if not self.closed:
+            return F.lit(self.limits.end).cast("timestamp")
+        origin = F.unix_micros(F.lit(self.limits.start)) + index.cast("long") * F.lit(self.step)
+        # The last part of a base window takes in what is left beyond its last whole second.
+        length = F.when(second == self.seconds(index), self._length(index)).otherwise(second * F.lit(SECOND))
+        return F.timestamp_micros(origin + length)
 
     @property
     def depth(self) -> int:
@@ -81,14 +93,10 @@ def fixed_windows(spark: SparkSession, date_range: TimeRange, hours: int | None
     """
     grid = _Grid(date_range, hours)
     base = F.col("base")
-    start, end = F.lit(grid.limits.start), F.lit(grid.limits.end)
-    if grid.closed:
-        start = grid.time(base, F.lit(0))
-        end = grid.time(base, grid.length(base))
     return grid.table(spark).select(
         (base + 1).alias("index"),
-        start.cast("timestamp").alias("start"),
-        end.cast("timestamp").alias("end"),
+        grid.start(base, F.lit(0)).alias("start"),
+        grid.end(base, grid.seconds(base)).alias("end"),
         F.lit(grid.timespan).cast("string").alias("timespan"),
     )
 
@@ -103,79 +111,71 @@ def assign_windows(
 
 def _seconds(articles: DataFrame, grid: _Grid, seen: str) -> DataFrame:
     ts = F.col(seen)
-    keys = articles.select(grid.index(ts).alias("base"), grid.second(ts).alias("second"))
+    # The range test has removed nulls; saying so keeps null checks out of the generated code.
+    zero = F.lit(0)
+    keys = articles.select(
+        F.coalesce(grid.index(ts), zero).alias("base"), F.coalesce(grid.second(ts), zero.cast("long")).alias("second")
+    )
     return keys.groupBy("base", "second").agg(F.count("*").alias("rows"))
 
 
-def _middle(lo: Column, hi: Column) -> Column:
-    return lo + F.greatest(F.lit(1), _whole(hi - lo, 2 * SECOND)) * F.lit(SECOND)
-
-
-def _divisible(lo: Column, hi: Column) -> Column:
-    return (hi - lo) >= F.lit(2 * SECOND)
-
-
-def _path(second: Column, length: Column, depth: int) -> Column:
-    """The nested windows around a second, outermost first, as ``array<struct<lo, hi>>``."""
-    outermost = F.array(F.struct(F.lit(0).cast("long").alias("lo"), length.cast("long").alias("hi")))
-    if depth == 0:
-        return outermost
+def _visits(seconds: DataFrame, grid: _Grid) -> DataFrame:
+    """One row per second and divisible window around it: (base, depth, lo, size, second, rows).
 
-    def descend(path: Column, _: Column) -> Column:
-        lo, hi = F.element_at(path, -1)["lo"], F.element_at(path, -1)["hi"]
-        middle = _middle(lo, hi)
-        right = second >= middle
-        half = F.struct(
-            F.when(right, middle).otherwise(lo).alias("lo"), F.when(right, hi).otherwise(middle).alias("hi")
-        )
-        return F.when(_divisible(lo, hi), F.concat(path, F.array(half))).otherwise(path)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), outermost, descend)
+    Each level is plain arithmetic on the one before. A window of ``size`` seconds has halves of ``size // 2``
+    and the rest; one under two seconds repeats itself, and only base windows are kept at that size, because
+    any other is accounted for by its parent.
+    """
+    depths = range(max(grid.depth, 1))
+    levels = seconds.withColumns({"lo0": F.lit(0).cast("long"), "size0": grid.seconds(F.col("base"))})
+    for depth in depths[1:]:
+        lo, size = F.col(f"lo{depth - 1}"), F.col(f"size{depth - 1}")
+        half = F.shiftright(size, 1)
+        levels = levels.withColumn("right", (F.col("second") >= lo + half).cast("long")).withColumns({
+            f"lo{depth}": lo + F.col("right") * half,
+            f"size{depth}": F.shiftright(size + F.col("right"), 1),
+        })
+    nodes = F.array(*(F.struct(F.col(f"lo{d}").alias("lo"), F.col(f"size{d}").alias("size")) for d in depths))
+    return (
+        levels.select("base", "second", "rows", F.posexplode(nodes).alias("depth", "node"))
+        .select("base", "depth", "node.lo", "node.size", "second", "rows").filter("size >= 2 OR depth = 0")
+    )
 
 
 def _tree(seconds: DataFrame, grid: _Grid, max_rows: int) -> DataFrame:
-    """Every window the halving visits: (base, depth, lo, hi, rows, leaf)."""
+    """Every window the halving visits: (base, depth, lo, size, rows, leaf)."""
     # Base windows without rows are visited too.
     empty = grid.table(seconds.sparkSession).select(
         "base", F.lit(0).cast("long").alias("second"), F.lit(0).cast("long").alias("rows")
     )
-    visits = seconds.unionByName(empty).select(
-        "base", "second", "rows",
-        F.posexplode(_path(F.col("second"), grid.length(F.col("base")), grid.depth)).alias("depth", "node"),
-    )
-    lo, hi = F.col("lo"), F.col("hi")
+    depth, lo, size, rows, left = map(F.col, ("depth", "lo", "size", "rows", "left"))
+    half = F.shiftright(size, 1)
+    in_left = F.when(F.col("second") < lo + half, rows).otherwise(F.lit(0))
     nodes = (
-        visits.select("base", "depth", "node.lo", "node.hi", "second", "rows")
-        .groupBy("base", "depth", "lo", "hi")
-        .agg(
-            F.sum("rows").alias("rows"),
-            F.sum(F.when(F.col("second") < _middle(lo, hi), F.col("rows")).otherwise(F.lit(0))).alias("left"),
-        )
+        _visits(seconds.unionByName(empty), grid)
+        .groupBy("base", "depth", "lo", "size").agg(F.sum(rows).alias("rows"), F.sum(in_left).alias("left"))
     )
-    can_split = F.lit(grid.splits)
 
-    def full(n: Column, a: Column, b: Column) -> Column:
-        return (n >= max_rows) & _divisible(a, b) & can_split
+    def full(n: Column, length: Column) -> Column:
+        return (n >= max_rows) & (length >= 2) & F.lit(grid.splits)
 
-    def node(depth: Column, a: Column, b: Column, n: Column, leaf: Column) -> Column:
+    def window(level: Column, at: Column, length: Column, n: Column, leaf: Column) -> Column:
         return F.struct(
-            depth.alias("depth"), a.alias("lo"), b.alias("hi"), n.alias("rows"), leaf.alias("leaf")
+            level.alias("depth"), at.alias("lo"), length.alias("size"), n.alias("rows"), leaf.alias("leaf")
         )
 
     # A full window is split whatever its ancestors hold, because they hold at least as much. It knows
     # its halves' counts, so halves without rows need no join to appear. Windows that are not full are
     # reported by their parent, except the base windows.
-    rows, left, middle, deeper = F.col("rows"), F.col("left"), _middle(lo, hi), F.col("depth") + 1
     halves = F.array(
-        node(deeper, lo, middle, left, ~full(left, lo, middle)),
-        node(deeper, middle, hi, rows - left, ~full(rows - left, middle, hi)),
+        window(depth + 1, lo, half, left, ~full(left, half)),
+        window(depth + 1, lo + half, size - half, rows - left, ~full(rows - left, size - half)),
     )
-    itself = node(F.col("depth"), lo, hi, rows, F.lit(False))
+    itself = F.array(window(depth, lo, size, rows, F.lit(False)))
+    alone = F.array(window(depth, lo, size, rows, F.lit(True)))
     emitted = F.when(
-        full(rows, lo, hi), F.concat(F.array(itself), F.filter(halves, lambda half: half["leaf"]))
-    ).when(
-        F.col("depth") == 0, F.array(node(F.col("depth"), lo, hi, rows, F.lit(True)))
-    )
+        full(rows, size), F.concat(itself, F.filter(halves, lambda part: part["leaf"]))
+    ).when(depth == 0, alone)
     return nodes.select("base", F.inline(emitted))
 
 
@@ -194,14 +194,11 @@ def _numbered(leaves: DataFrame) -> DataFrame:
 
 
 def _window_rows(leaves: DataFrame, grid: _Grid, max_rows: int) -> DataFrame:
-    base = F.col("base")
-    start, end = F.lit(grid.limits.start), F.lit(grid.limits.end)
-    if grid.closed:
-        start, end = grid.time(base, F.col("lo")), grid.time(base, F.col("hi"))
+    base, lo = F.col("base"), F.col("lo")
     return leaves.select(
         "index",
-        start.cast("timestamp").alias("start"),
-        end.cast("timestamp").alias("end"),
+        grid.start(base, lo).alias("start"),
+        grid.end(base, lo + F.col("size")).alias("end"),
         F.lit(grid.timespan).cast("string").alias("timespan"),
         F.least("rows", F.lit(max_rows).cast("long")).alias("returned_articles"),
         (F.col("rows") >= max_rows).alias("truncated"),
@@ -217,12 +214,10 @@ def window_tree(
     grid = _Grid(date_range, hours)
     inside = articles.filter(in_range(date_range, seen))
     tree = _tree(_seconds(inside, grid, seen), grid, max_rows)
-    start, end = F.lit(grid.limits.start), F.lit(grid.limits.end)
-    if grid.closed:
-        start, end = grid.time(F.col("base"), F.col("lo")), grid.time(F.col("base"), F.col("hi"))
+    base, lo = F.col("base"), F.col("lo")
     return tree.select(
-        "base", "lo", "hi", F.col("depth").cast("int").alias("depth"), "rows", "leaf",
-        start.cast("timestamp").alias("start"), end.cast("timestamp").alias("end"),
+        "base", F.col("depth").cast("int").alias("depth"), "rows", "leaf",
+        grid.start(base, lo).alias("start"), grid.end(base, lo + F.col("size")).alias("end"),
         F.lit(grid.timespan).cast("string").alias("timespan"),
     )
 

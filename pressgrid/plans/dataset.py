@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+from functools import cache, partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +25,7 @@ from pressgrid.operators.series import (
     trend_series,
     volume_timeline,
 )
-from pressgrid.operators.summary import analysis_targets, dataset_summary, rankings
+from pressgrid.operators.summary import RANKINGS, analysis_targets, dataset_summary, ranking
 from pressgrid.operators.windows import (
     adaptive_windows,
     collect_articles,
@@ -41,78 +44,99 @@ def _dated(corpus: DataFrame) -> DataFrame:
     return corpus.withColumn("seen_at", seen_timestamp(F.col("seendate")))
 
 
+class Dataset(Mapping):
+    """All result tables by name. A table is planned when it is first asked for, and runs when it is used."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame | None]]) -> None:
+        self._builders, self._tables = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame | None:
+        if name not in self._tables:
+            self._tables[name] = self._builders[name]()
+        return self._tables[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def build_dataset(
     corpus: DataFrame,
     request: Request,
     pages: DataFrame | None = None,
     timeline: DataFrame | None = None,
-    tone_timeline_rows: DataFrame | None = None,
+    tone: DataFrame | None = None,
     tie: tuple[str, ...] = ("url", "title"),
     staged: bool = False,
-) -> dict[str, DataFrame]:
-    """All result tables by name, each a lazy DataFrame.
+) -> Dataset:
+    """All result tables of a request.
 
     ``corpus`` holds landed articles (``schemas.LISTED_ARTICLE``, optionally with ``seen_at`` and the full
-    ``text``). Timelines that are not supplied are computed from it, if the request includes them. With
-    ``staged`` the selected and the finished articles are written to shared storage once, and every other
-    table starts from there; without it nothing runs until a table is used.
+    ``text``); ``tie`` orders articles seen at the same moment. Timelines that are not supplied are computed
+    from the corpus, if the request includes them. With ``staged`` the selected and the finished articles
+    are written to shared storage once and the other tables start from there, which pays off when several
+    of them are used; without it every table has a plan of its own from the corpus.
     """
-    use_utc(corpus.sparkSession)
+    if request.scrape_articles and pages is None:
+        raise ValueError("enrichment needs a table of landed pages")
+    spark = use_utc(corpus.sparkSession)
     spec, size, hours = request.filters, request.bucket_size, request.batch_window_hours
+    span, cap, sort = request.date_range, request.max_records, request.sort
     corpus = _dated(corpus)
     texts = CORPUS_TEXT if "text" in corpus.columns else LISTED_TEXT
 
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        return stage(rows, name) if staged else rows
+
     # The full text serves the filters only; it takes no part in any shuffle.
-    selected = select_articles(corpus, spec, request.date_range).drop("text", "seen_date")
-    if staged:
-        selected = stage(selected, "selected")
-    raw = collect_articles(selected, request.date_range, hours, request.max_records, request.sort, tie=tie)
-    unique = dedup_articles(raw) if request.deduplicate else raw
-    enriched = unique
-    if request.scrape_articles:
-        if pages is None:
-            raise ValueError("enrichment needs a table of landed pages")
-        enriched = enrich_articles(unique, pages, request.scrape_limit, request.sort)
-    if staged:
-        enriched = stage(enriched, "enriched")
-    articles = normalize_articles(
-        enriched, spec.keywords, spec.exact_phrases, spec.entities, spec.themes
-    )
-    if staged:
-        articles = stage(articles, "articles")
-
-    in_scope = corpus.filter(in_range(request.date_range))
-    if timeline is not None:
-        timeline = normalize_timeline(timeline, VOLUME_METRIC)
-    elif request.include_timeline:
-        timeline = volume_timeline(in_scope, article_predicate(spec, texts), size)
-    if tone_timeline_rows is not None:
-        tone = normalize_timeline(tone_timeline_rows, TONE_METRIC)
-    else:
-        tone = tone_timeline(selected, size) if request.include_tone_timeline else None
-
-    tree = window_tree(selected, request.date_range, hours, request.max_records)
-    tables = {
+    selected = cache(lambda: kept(select_articles(corpus, spec, span, texts).drop("text", "seen_date"), "selected"))
+    raw = cache(lambda: kept(collect_articles(selected(), span, hours, cap, sort, tie=tie), "raw"))
+    unique = cache(lambda: dedup_articles(raw()) if request.deduplicate else raw())
+    enriched = cache(lambda: kept(
+        enrich_articles(unique(), pages, request.scrape_limit, sort) if request.scrape_articles else unique(),
+        "enriched",
+    ))
+    articles = cache(lambda: kept(
+        normalize_articles(enriched(), spec.keywords, spec.exact_phrases, spec.entities, spec.themes), "articles"
+    ))
+    tree = cache(lambda: window_tree(selected(), span, hours, cap))
+
+    def volume() -> DataFrame | None:
+        if timeline is not None:
+            return normalize_timeline(timeline, VOLUME_METRIC)
+        if request.include_timeline:
+            return volume_timeline(corpus.filter(in_range(span)), article_predicate(spec, texts), size)
+        return None
+
+    def sentiment() -> DataFrame | None:
+        if tone is not None:
+            return sentiment_series(normalize_timeline(tone, TONE_METRIC), size)
+        return sentiment_series(tone_timeline(selected(), size) if request.include_tone_timeline else None, size)
+
+    trend = cache(lambda: trend_series(articles(), volume(), size))
+    builders: dict[str, Callable[[], DataFrame | None]] = {
         "articles": articles,
-        "trend_series": trend_series(articles, timeline, size),
-        "sentiment_series": sentiment_series(tone, size),
-        "entity_tracking": entity_tracking(articles, size),
-        **rankings(articles, request.sort),
-        "summary": dataset_summary(articles, raw),
-        "analysis_targets": analysis_targets(corpus.sparkSession, spec.entities, size),
-        "windows": adaptive_windows(selected, request.date_range, hours, request.max_records),
-        "coverage": coverage_summary(tree, unique, request.max_records, hours, request.deduplicate),
-        "warnings": coverage_warnings(tree, request.max_records),
+        "trend_series": trend,
+        "entity_tracking": lambda: entity_tracking(articles(), size),
+        **{name: partial(ranking, articles, name, sort) for name in RANKINGS},
+        "summary": lambda: dataset_summary(articles(), raw()),
+        "analysis_targets": lambda: analysis_targets(spark, spec.entities, size),
+        "windows": lambda: adaptive_windows(selected(), span, hours, cap),
+        "coverage": lambda: coverage_summary(tree(), unique(), cap, hours, request.deduplicate),
+        "warnings": lambda: coverage_warnings(tree(), cap),
+        "trend_source": lambda: series_source(trend(), "trend_source"),
     }
-    with_pages = enriched if request.scrape_articles else None
-    if with_pages is not None:
-        tables["enrichment"] = enrichment_summary(with_pages, request.scrape_limit)
-        tables["enrichment_errors"] = enrichment_errors(with_pages)
-    tables["trend_source"] = series_source(tables["trend_series"], "trend_source")
-    tables["sentiment_source"] = series_source(tables["sentiment_series"], "sentiment_source")
+    if tone is not None or request.include_tone_timeline:
+        builders["sentiment_series"] = cache(sentiment)
+        builders["sentiment_source"] = lambda: series_source(builders["sentiment_series"](), "sentiment_source")
+    if request.scrape_articles:
+        builders["enrichment"] = lambda: enrichment_summary(enriched(), request.scrape_limit)
+        builders["enrichment_errors"] = lambda: enrichment_errors(enriched())
     if request.validate_schema:
-        tables["quality"] = quality_summary(articles, _article_contract(articles), "articles")
-    return {name: table for name, table in tables.items() if table is not None}
+        builders["quality"] = lambda: quality_summary(articles(), _article_contract(articles()), "articles")
+    return Dataset(builders)
 
 
 def _article_contract(articles: DataFrame) -> dict:
@@ -122,4 +146,4 @@ def _article_contract(articles: DataFrame) -> dict:
     return {**contract, "properties": {**contract["properties"], **order}}
 
 
-__all__ = ["build_dataset"]
+__all__ = ["Dataset", "build_dataset"]
