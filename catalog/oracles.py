@@ -175,7 +175,7 @@ def _placed(source: str, order: str, max_rows: int) -> str:
     return f"""
 placed AS (
   SELECT * FROM (
-    SELECT f.*, l.idx AS leaf, row_number() OVER (PARTITION BY l.idx ORDER BY {order}) - 1 AS place
+    SELECT f.*, (l.lo // 1000000)::INTEGER AS leaf, row_number() OVER (PARTITION BY l.idx ORDER BY {order}) - 1 AS place
     FROM {source} f JOIN leaves l
       ON epoch_us(f.seen_at) - epoch_us(TIMESTAMP '2024-01-01') >= l.lo
      AND epoch_us(f.seen_at) - epoch_us(TIMESTAMP '2024-01-01') < l.hi)
@@ -421,7 +421,7 @@ ORACLES: dict[str, str] = {
     "dataset_trend": _with(CORPUS) + f"""
     SELECT strftime(date_trunc('day', seen_at), {ISO}) AS bucket_start,
            (count(*) FILTER ({DATASET_WHERE}))::DOUBLE AS value, 'article_count' AS metric,
-           count(*)::DOUBLE AS norm, NULL::VARCHAR AS label, 'supplied-timeline' AS source
+           count(*)::DOUBLE AS norm, NULL::VARCHAR AS label, 'corpus-timeline' AS source
     FROM corpus GROUP BY date_trunc('day', seen_at)""",
     "dataset_summary": _with(CORPUS, LINKED, SELECTED) + """
     SELECT count(*) AS article_count, count(*) AS raw_article_count, 0::BIGINT AS duplicates_removed,

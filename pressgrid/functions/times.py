@@ -33,9 +33,17 @@ def seen_timestamp(col: Column, strict: bool = True) -> Column:
 
 
 def timeline_timestamp(col: Column) -> Column:
-    """A timeline date in any of the compact layouts or in ISO form; null when it fits none."""
-    compact = [F.try_to_timestamp(col, F.lit(p)) for p in (SEEN_DATE, COMPACT_SECOND, COMPACT_DAY)]
-    return F.coalesce(*compact, F.when(col.rlike(_ISO), col.try_cast("timestamp")))
+    """A timeline date in any of the compact layouts or in ISO form; null when it fits none.
+
+    Only a layout of the value's own length is tried, since a failed attempt costs an exception.
+    """
+    attempt = F.when(col.rlike(_ISO), col.try_cast("timestamp"))
+    for layout in (SEEN_DATE, COMPACT_SECOND, COMPACT_DAY):
+        digits = len(layout.replace("'", ""))
+        attempt = F.when(
+            (F.length(col) == digits) & ~col.contains("-"), F.try_to_timestamp(col, F.lit(layout))
+        ).otherwise(attempt)
+    return attempt
 
 
 def bucket(col: Column, size: str) -> Column:

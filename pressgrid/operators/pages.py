@@ -7,7 +7,7 @@ page apart; which piece becomes which field is decided by Spark expressions afte
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -244,26 +244,34 @@ def enrich_articles(
     return joined.withColumn("scraped", scraped).drop("_key", "_wanted", "_page")
 
 
-def enrichment_summary(enriched: DataFrame, limit: int | None = None, requested: bool = True) -> DataFrame:
-    """One row of totals. Articles past the limit and those without an address count as skipped."""
-    status = F.col("scraped.status")
+def _outcome(articles: DataFrame) -> tuple[Column, Column]:
+    """State and problem of each article's page, before or after normalisation."""
+    if "scrape_status" in articles.columns:
+        return F.nullif(F.col("scrape_status"), F.lit("not_requested")), F.col("scrape_error")
+    return F.col("scraped.status"), F.col("scraped.error")
 
-    def count(test: Column) -> Column:
-        return F.count_if(test) if requested else F.lit(0).cast("long")
 
-    return enriched.agg(
+def enrichment_summary(articles: DataFrame, limit: int | None = None, requested: bool = True) -> DataFrame:
+    """One row of totals over enriched articles, normalised or not. Articles past the limit and those
+    without an address count as skipped."""
+    status = _outcome(articles)[0] if requested else None
+
+    def count(test: Callable[[], Column]) -> Column:
+        return F.count_if(test()) if requested else F.lit(0).cast("long")
+
+    return articles.agg(
         F.lit(requested).alias("requested"),
-        count(status.isin("ok", "error")).alias("attempted"),
-        count(status == "ok").alias("succeeded"),
-        count(status == "error").alias("failed"),
-        count(status.isNull() | (status == "skipped")).alias("skipped"),
+        count(lambda: status.isin("ok", "error")).alias("attempted"),
+        count(lambda: status == "ok").alias("succeeded"),
+        count(lambda: status == "error").alias("failed"),
+        count(lambda: status.isNull() | (status == "skipped")).alias("skipped"),
         F.lit(limit).cast("int").alias("limit"),
     )
 
 
-def enrichment_errors(enriched: DataFrame) -> DataFrame:
+def enrichment_errors(articles: DataFrame) -> DataFrame:
     """``address: problem`` of each failed article, with its place in fetch order."""
-    return enriched.filter("scraped.status = 'error' AND scraped.error IS NOT NULL").select(
-        "window_index", "position",
-        F.concat(strip(F.col("url")), F.lit(": "), F.col("scraped.error")).alias("error"),
+    status, error = _outcome(articles)
+    return articles.filter((status == "error") & error.isNotNull()).select(
+        "window_index", "position", F.concat(strip(F.col("url")), F.lit(": "), error).alias("error")
     )

@@ -135,6 +135,12 @@ def scope_tests(spec: Filters) -> list[Column]:
     return tests
 
 
+def _repeats(spec: Filters) -> list[tuple[list[str], int]]:
+    """Repeated terms as words and counts, leaving out those that ask for nothing."""
+    wanted = [(fold_words(term), count) for term, count in spec.repeated_terms.items()]
+    return [(words, count) for words, count in wanted if words and count > 0]
+
+
 def text_test(spec: Filters, space: Column) -> Column | None:
     """Everything that looks at the folded text ``space``, as one test; null when nothing does."""
     content = [
@@ -150,10 +156,8 @@ def text_test(spec: Filters, space: Column) -> Column | None:
         content = [F.coalesce(test, F.lit(False)) for test in content]
         tests.append((_all if spec.match_mode == "all" else _any)(content))
     tests += [_excluded(value, space) for value in spec.exclude_terms]
-    for term, count in spec.repeated_terms.items():
-        words = fold_words(term)
-        if words and count > 0:
-            tests.append(space.contains(words[0]) & (count_words(space, words) >= count))
+    for words, count in _repeats(spec):
+        tests.append(space.contains(words[0]) & (count_words(space, words) >= count))
     for near in spec.proximity:
         tests.append(words_within(space, fold_words(" ".join(near.terms)), near.distance))
     return _all(tests) if tests else None
@@ -173,7 +177,7 @@ def article_predicate(spec: Filters, text_columns: Sequence[str] = LISTED_TEXT)
     tests = scope_tests(spec)
     needs_text = (
         any(map(_searches_text, (*spec.keywords, *spec.exclude_terms)))
-        or spec.exact_phrases or spec.entities or spec.proximity or spec.repeated_terms
+        or spec.exact_phrases or spec.entities or spec.proximity or _repeats(spec)
     )
     if needs_text:
         tests.append(holds(fold(match_space(text_columns)), lambda space: text_test(spec, space)))

@@ -15,7 +15,10 @@ TONE_METRIC = "average_tone"
 DATE_KEYS = ("date", "datetime", "time")
 VALUE_KEYS = ("value", "count", "tone", "ratio")
 NORM_KEYS = ("norm", "total", "allarts")
-SERIES_ORDER = ("bucket_start", "metric")
+# Where a series came from.
+SUPPLIED, COMPUTED, FALLBACK, NO_SOURCE = (
+    "supplied-timeline", "corpus-timeline", "article-bucket-fallback", "not_available",
+)
 
 
 def normalize_timeline(points: DataFrame, metric: str) -> DataFrame:
@@ -104,31 +107,33 @@ def tone_timeline(articles: DataFrame, size: str, seen: str = "seen_at") -> Data
     return means.select(*_series_row(F.col("start"), F.col("mean"), TONE_METRIC, F.col("n")))
 
 
+def from_timeline(timeline: DataFrame, size: str, aggregation: str, source: str = SUPPLIED) -> DataFrame:
+    """A timeline in the buckets asked for, with the name of where it came from."""
+    return rebucket(timeline, size, aggregation).withColumn("source", F.lit(source))
+
+
 def trend_series(articles: DataFrame, timeline: DataFrame | None, size: str, seen: str = "seen_at") -> DataFrame:
     """The supplied volume timeline, or local counts when it has no rows at all; ``source`` says which.
 
-    The choice is an uncorrelated EXISTS inside the plan, so nothing runs before the result is used.
+    The choice is an uncorrelated EXISTS inside the plan, so nothing runs before the result is used. It is
+    asked of the articles rather than of their counts, so that with a timeline no article gets past the scan.
     """
-    local = volume_series(articles, size, seen)
     if timeline is None:
-        return rebucket(local, size, "sum").withColumn("source", F.lit("article-bucket-fallback"))
-    supplied = rebucket(timeline, size, "sum").withColumn("source", F.lit("supplied-timeline"))
-    fallback = rebucket(local.where(~timeline.exists()), size, "sum")
-    return supplied.unionByName(fallback.withColumn("source", F.lit("article-bucket-fallback")))
+        return from_timeline(volume_series(articles, size, seen), size, "sum", FALLBACK)
+    local = volume_series(articles.where(~timeline.exists()), size, seen)
+    return from_timeline(timeline, size, "sum").unionByName(from_timeline(local, size, "sum", FALLBACK))
 
 
-def sentiment_series(timeline: DataFrame | None, size: str) -> DataFrame | None:
-    """The supplied tone timeline by weighted average. Tone has no local substitute."""
-    if timeline is None:
-        return None
-    return rebucket(timeline, size, "weighted_average").withColumn("source", F.lit("supplied-timeline"))
+def sentiment_series(timeline: DataFrame | None, size: str, source: str = SUPPLIED) -> DataFrame | None:
+    """The tone timeline by weighted average. Tone has no local substitute."""
+    return None if timeline is None else from_timeline(timeline, size, "weighted_average", source)
 
 
 def series_source(series: DataFrame | None, name: str) -> DataFrame | None:
     """One row naming where a series came from; ``not_available`` for one without rows."""
     if series is None:
         return None
-    return series.agg(F.coalesce(F.max("source"), F.lit("not_available")).alias(name))
+    return series.agg(F.coalesce(F.max("source"), F.lit(NO_SOURCE)).alias(name))
 
 
 def entity_tracking(articles: DataFrame, size: str, seen: str = "seen_at") -> DataFrame:

@@ -279,23 +279,24 @@ def collect_articles(
 ) -> DataFrame:
     """Rows of all leaf windows, each capped at ``max_rows``, in fetch order.
 
-    ``window_index`` is the leaf's place in time and ``position`` the row's place inside it. A second is
-    matched to its leaf among the seconds and leaves of one base window; the articles then look their
-    second up by equality.
+    ``window_index`` is the second, counted from the start of the range, at which the row's leaf begins, and
+    ``position`` the row's place inside it. A second is matched to its leaf among the seconds and leaves of
+    one base window; the articles then look their second up by equality.
     """
     grid = _Grid(date_range, hours)
     inside = articles.filter(in_range(date_range, seen)).drop("window_index", "position")
     seconds = _seconds(inside, grid, seen)
-    leaves = _numbered(_tree(seconds, grid, max_rows).filter("leaf"))
+    leaves = _tree(seconds, grid, max_rows).filter("leaf")
     marks = leaves.select(
-        "base", F.col("lo").alias("second"), F.col("index").alias("leaf"), F.lit(0).alias("kind")
+        "base", F.col("lo").alias("second"), F.col("lo").alias("leaf"), F.lit(0).alias("kind")
     ).unionByName(
-        seconds.select("base", "second", F.lit(None).cast("int").alias("leaf"), F.lit(1).alias("kind"))
+        seconds.select("base", "second", F.lit(None).cast("long").alias("leaf"), F.lit(1).alias("kind"))
     )
     latest = F.last("leaf", ignorenulls=True).over(Window.partitionBy("base").orderBy("second", "kind"))
+    begins = F.col("base").cast("long") * F.lit(grid.step // SECOND) + F.col("leaf")
     lookup = (
-        marks.withColumn("window_index", latest).filter("kind = 1")
-        .select(F.col("base").alias("_base"), F.col("second").alias("_second"), "window_index")
+        marks.withColumn("leaf", latest).filter("kind = 1")
+        .select(F.col("base").alias("_base"), F.col("second").alias("_second"), begins.cast("int").alias("window_index"))
     )
     ts = F.col(seen)
     placed = (

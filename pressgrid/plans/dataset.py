@@ -15,9 +15,11 @@ from pressgrid.operators.pages import enrich_articles, enrichment_errors, enrich
 from pressgrid.operators.predicates import CORPUS_TEXT, LISTED_TEXT, article_predicate, in_range, select_articles
 from pressgrid.operators.quality import quality_summary
 from pressgrid.operators.series import (
+    COMPUTED,
     TONE_METRIC,
     VOLUME_METRIC,
     entity_tracking,
+    from_timeline,
     normalize_timeline,
     sentiment_series,
     series_source,
@@ -69,15 +71,18 @@ def build_dataset(
     timeline: DataFrame | None = None,
     tone: DataFrame | None = None,
     tie: tuple[str, ...] = ("url", "title"),
-    staged: bool = False,
+    staged: bool = True,
 ) -> Dataset:
     """All result tables of a request.
 
     ``corpus`` holds landed articles (``schemas.LISTED_ARTICLE``, optionally with ``seen_at`` and the full
     ``text``); ``tie`` orders articles seen at the same moment. Timelines that are not supplied are computed
-    from the corpus, if the request includes them. With ``staged`` the selected and the finished articles
-    are written to shared storage once and the other tables start from there, which pays off when several
-    of them are used; without it every table has a plan of its own from the corpus.
+    from the corpus, if the request includes them.
+
+    The selected, the collected and the finished articles are each written to shared storage once, when
+    first needed, and everything else starts from there: the corpus text is read by one pass per use of the
+    filters. With ``staged=False`` nothing runs until a table is used, at the price of one plan from the
+    corpus per table.
     """
     if request.scrape_articles and pages is None:
         raise ValueError("enrichment needs a table of landed pages")
@@ -94,28 +99,30 @@ def build_dataset(
     selected = cache(lambda: kept(select_articles(corpus, spec, span, texts).drop("text", "seen_date"), "selected"))
     raw = cache(lambda: kept(collect_articles(selected(), span, hours, cap, sort, tie=tie), "raw"))
     unique = cache(lambda: dedup_articles(raw()) if request.deduplicate else raw())
-    enriched = cache(lambda: kept(
-        enrich_articles(unique(), pages, request.scrape_limit, sort) if request.scrape_articles else unique(),
-        "enriched",
-    ))
+    enriched = cache(
+        lambda: enrich_articles(unique(), pages, request.scrape_limit, sort) if request.scrape_articles else unique()
+    )
     articles = cache(lambda: kept(
         normalize_articles(enriched(), spec.keywords, spec.exact_phrases, spec.entities, spec.themes), "articles"
     ))
     tree = cache(lambda: window_tree(selected(), span, hours, cap))
 
-    def volume() -> DataFrame | None:
+    @cache
+    def trend() -> DataFrame:
         if timeline is not None:
-            return normalize_timeline(timeline, VOLUME_METRIC)
-        if request.include_timeline:
-            return volume_timeline(corpus.filter(in_range(span)), article_predicate(spec, texts), size)
-        return None
-
-    def sentiment() -> DataFrame | None:
+            return trend_series(articles(), normalize_timeline(timeline, VOLUME_METRIC), size)
+        if not request.include_timeline:
+            return trend_series(articles(), None, size)
+        # Computed from the corpus: where this has no rows there are no articles to fall back on either.
+        hits = volume_timeline(corpus.filter(in_range(span)), article_predicate(spec, texts), size)
+        return from_timeline(hits, size, "sum", COMPUTED)
+
+    @cache
+    def sentiment() -> DataFrame:
         if tone is not None:
             return sentiment_series(normalize_timeline(tone, TONE_METRIC), size)
-        return sentiment_series(tone_timeline(selected(), size) if request.include_tone_timeline else None, size)
+        return sentiment_series(tone_timeline(selected(), size), size, COMPUTED)
 
-    trend = cache(lambda: trend_series(articles(), volume(), size))
     builders: dict[str, Callable[[], DataFrame | None]] = {
         "articles": articles,
         "trend_series": trend,
@@ -129,11 +136,11 @@ def build_dataset(
         "trend_source": lambda: series_source(trend(), "trend_source"),
     }
     if tone is not None or request.include_tone_timeline:
-        builders["sentiment_series"] = cache(sentiment)
-        builders["sentiment_source"] = lambda: series_source(builders["sentiment_series"](), "sentiment_source")
+        builders["sentiment_series"] = sentiment
+        builders["sentiment_source"] = lambda: series_source(sentiment(), "sentiment_source")
     if request.scrape_articles:
-        builders["enrichment"] = lambda: enrichment_summary(enriched(), request.scrape_limit)
-        builders["enrichment_errors"] = lambda: enrichment_errors(enriched())
+        builders["enrichment"] = lambda: enrichment_summary(articles(), request.scrape_limit)
+        builders["enrichment_errors"] = lambda: enrichment_errors(articles())
     if request.validate_schema:
         builders["quality"] = lambda: quality_summary(articles(), _article_contract(articles()), "articles")
     return Dataset(builders)
