@@ -17,7 +17,7 @@ feed AS (
     event_type || '.example.com' AS domain,
     CASE user_id % 4 WHEN 0 THEN 'English' WHEN 1 THEN 'French' WHEN 2 THEN 'German' ELSE 'Spanish' END
       AS language,
-    n_name AS sourcecountry, 5 - value / 10 AS tone,
+    replace(n_name, '_', ' ') AS sourcecountry, 5 - value / 10 AS tone,
     (event_id // 100)::INTEGER AS window_index, (event_id % 100)::INTEGER AS position,
     (event_id // 100) * 4294967296 + event_id % 100 AS fetch_key
   FROM events JOIN nation ON n_nationkey = user_id % 25)
@@ -28,12 +28,12 @@ corpus AS (
   SELECT doc_id,
     CASE WHEN doc_id % 7 = 0 THEN NULL
          ELSE 'https://' || source || '.example.com/a/' || doc_id END AS url,
-    'Report from ' || n_name || ' by ' || source AS title,
+    'Report from ' || replace(n_name, '_', ' ') || ' by ' || source AS title,
     TIMESTAMP '2024-01-01' + to_seconds(doc_id * 7919 % 2592000) AS seen_at,
-    source || '.example.com' AS domain, lang AS language, n_name AS sourcecountry,
+    source || '.example.com' AS domain, lang AS language, replace(n_name, '_', ' ') AS sourcecountry,
     (n_chars % 2001 - 1000)::DOUBLE / 100 AS tone, source, text,
-    replace(lower(concat_ws(' ', 'Report from ' || n_name || ' by ' || source, source || '.example.com',
-                            n_name, nullif(text, ''))), 'ß', 'ss') AS space,
+    replace(lower(concat_ws(' ', 'Report from ' || replace(n_name, '_', ' ') || ' by ' || source, source || '.example.com',
+                            replace(n_name, '_', ' '), nullif(text, ''))), 'ß', 'ss') AS space,
     (doc_id // 100)::INTEGER AS window_index, (doc_id % 100)::INTEGER AS position
   FROM documents JOIN nation ON n_nationkey = doc_id % 25)
 """
@@ -78,7 +78,7 @@ def _volume(size: str) -> str:
 
 
 KEYWORDS = "['And The', 'eaux', 'LICENSE', 'absentterm', 'tion and']"
-ENTITIES = "['Kenya', 'für', 'the the', 'Germany']"
+ENTITIES = "['Nation 7', 'für', 'the the', 'nation 1']"
 
 
 def _hits(terms: str) -> str:
@@ -112,14 +112,14 @@ words AS (
 
 FILTERS = {
     "filter_any": "contains(space, 'eaux') OR contains(space, 'license') OR contains(space, 'and the')"
-                  " OR contains(space, 'kenya')",
+                  " OR contains(space, 'nation 7')",
     "filter_all": "contains(space, 'the') AND contains(space, 'tion') AND contains(space, 'of the')",
     "filter_keyword": "contains(space, 'eaux')",
     "filter_phrase": "contains(space, 'tion and')",
-    "filter_entity": "contains(space, 'germany') OR contains(space, 'france')",
+    "filter_entity": "contains(space, 'nation 3') OR contains(space, 'nation 21')",
     "filter_theme": "language = 'de' OR source = 'src3'",
-    "filter_prefix": "language = 'fr' OR sourcecountry = 'UNITED KINGDOM' OR source = 'src5'",
-    "filter_country_lang": "sourcecountry IN ('GERMANY', 'UNITED STATES') AND language IN ('en', 'de')",
+    "filter_prefix": "language = 'fr' OR sourcecountry = 'NATION 9' OR source = 'src5'",
+    "filter_country_lang": "sourcecountry IN ('NATION 3', 'NATION 12') AND language IN ('en', 'de')",
     "filter_domain": "domain LIKE '%.example.com' AND language <> 'fr'",
     "filter_exact_domain": "domain IN ('src1.example.com', 'src2.example.com')",
     "filter_tone": "tone > -2.5 AND tone < 4.0",
@@ -206,7 +206,7 @@ ENRICHED = f"""
 """
 
 DATASET_WHERE = """
-  (contains(space, 'eaux') OR contains(space, 'and the') OR contains(space, 'kenya') OR contains(space, 'germany'))
+  (contains(space, 'eaux') OR contains(space, 'and the') OR contains(space, 'nation 7') OR contains(space, 'nation 1'))
   AND NOT contains(space, 'license')
 """
 SELECTED = f"""
@@ -256,13 +256,13 @@ ORACLES: dict[str, str] = {
     "rank_domain": _rank("domain"),
     "rank_entity": _with(FEED) + """
     SELECT entity AS value, count(*) AS count, min(fetch_key::HUGEINT * 100000 + place - 1)::VARCHAR AS first_at
-    FROM (SELECT fetch_key, unnest(['Kenya', 'click', 'Germany', 'click']) AS entity,
+    FROM (SELECT fetch_key, unnest(['Nation 7', 'click', 'nation 1', 'click']) AS entity,
                  unnest([1, 2, 3, 4]) AS slot, lower(concat_ws(' ', title, domain, sourcecountry)) AS space
           FROM feed) e
     JOIN LATERAL (
-      SELECT 1 + (CASE WHEN slot > 1 AND contains(space, 'kenya') THEN 1 ELSE 0 END)
+      SELECT 1 + (CASE WHEN slot > 1 AND contains(space, 'nation 7') THEN 1 ELSE 0 END)
                + (CASE WHEN slot > 2 AND contains(space, 'click') THEN 1 ELSE 0 END)
-               + (CASE WHEN slot > 3 AND contains(space, 'germany') THEN 1 ELSE 0 END) AS place) y ON true
+               + (CASE WHEN slot > 3 AND contains(space, 'nation 1') THEN 1 ELSE 0 END) AS place) y ON true
     WHERE contains(space, lower(entity)) GROUP BY entity""",
     "rank_country_newest": _with(FEED) + """
     SELECT sourcecountry AS value, count(*) AS count,
@@ -334,7 +334,7 @@ ORACLES: dict[str, str] = {
     "trend_source": "SELECT 'supplied-timeline' AS trend_source",
     "analysis_targets": """
     SELECT 'article_count' AS trend_metric, 'average_tone' AS sentiment_metric,
-           'Kenya | für | the the | Germany' AS tracked_entities, 'day' AS bucket_size,
+           'Nation 7 | für | the the | nation 1' AS tracked_entities, 'day' AS bucket_size,
            count(DISTINCT date_trunc('day', ts)) AS trend_rows FROM events""",
     "fixed_windows": _with(FEED) + f""",
     grid AS (SELECT i, TIMESTAMP '2024-01-02 05:00:00' + to_hours(36 * i) AS s,
@@ -423,6 +423,11 @@ ORACLES: dict[str, str] = {
            (count(*) FILTER ({DATASET_WHERE}))::DOUBLE AS value, 'article_count' AS metric,
            count(*)::DOUBLE AS norm, NULL::VARCHAR AS label, 'corpus-timeline' AS source
     FROM corpus GROUP BY date_trunc('day', seen_at)""",
+    "dataset_entities": _with(CORPUS, LINKED, SELECTED) + f"""
+    SELECT strftime(bucket, {ISO}) AS bucket_start, entity, count(*) AS article_count FROM (
+      SELECT date_trunc('day', seen_at) AS bucket, unnest(list_filter(['Nation 7', 'nation 1'], lambda t: contains(
+        lower(concat_ws(' ', title, domain, sourcecountry)), lower(t)))) AS entity FROM selected)
+    GROUP BY bucket, entity""",
     "dataset_summary": _with(CORPUS, LINKED, SELECTED) + """
     SELECT count(*) AS article_count, count(*) AS raw_article_count, 0::BIGINT AS duplicates_removed,
            count(page_url) AS scraped_article_count, count(*) - count(page_url) AS scrape_failed_count

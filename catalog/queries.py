@@ -22,19 +22,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Terms that occur in the given documents, in mixed case.
 KEYWORDS = ("And The", "eaux", "LICENSE", "absentterm")
 PHRASES = ("tion and",)
-ENTITIES = ("Kenya", "für", "the the", "Germany")
+ENTITIES = ("Nation 7", "für", "the the", "nation 1")
 JANUARY = TimeRange("2024-01-01", "2024-01-31")
 MAX_ROWS = 100
 
 FILTERS: dict[str, Filters] = {
-    "filter_any": Filters(keywords=("eaux", "LICENSE"), exact_phrases=("and the",), entities=("Kenya",)),
+    "filter_any": Filters(keywords=("eaux", "LICENSE"), exact_phrases=("and the",), entities=("Nation 7",)),
     "filter_all": Filters(keywords=("the", "tion"), exact_phrases=("of the",), match_mode="all"),
     "filter_keyword": Filters(keywords=("Eaux",)),
     "filter_phrase": Filters(exact_phrases=('"Tion And"',)),
-    "filter_entity": Filters(entities=("Germany", "france")),
+    "filter_entity": Filters(entities=("Nation 3", "nation 21")),
     "filter_theme": Filters(themes=("LANG_DE", "SRC_SRC3")),
-    "filter_prefix": Filters(keywords=("theme:LANG_FR", "sourcecountry:united kingdom", "domain:src5.example.com")),
-    "filter_country_lang": Filters(source_countries=("Germany", " united  States "), source_languages=("EN", "de")),
+    "filter_prefix": Filters(keywords=("theme:LANG_FR", "sourcecountry:nation 9", "domain:src5.example.com")),
+    "filter_country_lang": Filters(source_countries=("Nation 3", " nation  12 "), source_languages=("EN", "de")),
     "filter_domain": Filters(domains=("example.com",), exclude_terms=("sourcelang:fr",)),
     "filter_exact_domain": Filters(exact_domains=("src1.example.com", "SRC2.example.com")),
     "filter_tone": Filters(tone_min=-2.5, tone_max=4.0),
@@ -119,7 +119,7 @@ def _entity_tracking(size: str) -> Query:
 
 
 def _feed_articles(spark: SparkSession, folder: str) -> DataFrame:
-    return art.normalize_articles(views.feed(spark, folder), entities=("Kenya", "click", "Germany", "click"))
+    return art.normalize_articles(views.feed(spark, folder), entities=("Nation 7", "click", "nation 1", "click"))
 
 
 def _rank(name: str) -> Query:
@@ -355,7 +355,7 @@ def _article_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 REQUEST = Request(
-    filters=Filters(keywords=("eaux", "and the"), entities=("Kenya", "Germany"), exclude_terms=("license",)),
+    filters=Filters(keywords=("eaux", "and the"), entities=("Nation 7", "nation 1"), exclude_terms=("license",)),
     date_range=JANUARY, max_records=20, sort=Sort.NEWEST, bucket_size="day", batch_window_hours=24,
     scrape_articles=True,
 )

@@ -22,7 +22,7 @@ FEED_COLUMNS = """
     concat(event_type, '.example.com') AS domain,
     CASE user_id % 4 WHEN 0 THEN 'English' WHEN 1 THEN 'French' WHEN 2 THEN 'German' ELSE 'Spanish' END
         AS language,
-    n_name AS sourcecountry,
+    replace(n_name, '_', ' ') AS sourcecountry,
     5 - value / 10 AS tone,
     array(concat('EVT_', upper(event_type))) AS themes,
     CAST(event_id DIV 100 AS INT) AS window_index,
@@ -34,13 +34,13 @@ CORPUS_COLUMNS = """
     CASE WHEN doc_id % 7 = 0 THEN NULL
          ELSE concat('https://', source, '.example.com/a/', doc_id) END AS url,
     CAST(NULL AS STRING) AS url_mobile,
-    concat('Report from ', n_name, ' by ', source) AS title,
+    concat('Report from ', replace(n_name, '_', ' '), ' by ', source) AS title,
     timestamp_seconds(1704067200 + doc_id * 7919 % 2592000) AS seen_at,
     date_format(timestamp_seconds(1704067200 + doc_id * 7919 % 2592000), "yyyyMMdd'T'HHmmss'Z'") AS seendate,
     CAST(NULL AS STRING) AS socialimage,
     concat(source, '.example.com') AS domain,
     lang AS language,
-    n_name AS sourcecountry,
+    replace(n_name, '_', ' ') AS sourcecountry,
     CAST(n_chars % 2001 - 1000 AS DOUBLE) / 100 AS tone,
     array(concat('LANG_', upper(lang)), concat('SRC_', upper(source))) AS themes,
     text,
