@@ -197,6 +197,33 @@ FIRST = """
 first AS (SELECT doc_id FROM linked ORDER BY seen_at DESC, window_index, position LIMIT 150)
 """
 PAGE_LANGUAGE = "regexp_extract(html, '<html lang=\"([^\"]*)\"', 1)"
+
+
+def _unescaped(text: str) -> str:
+    """The character references that occur in the given pages."""
+    for name, sign in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        text = f"replace({text}, '&{name};', '{sign}')"
+    return f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
+
+
+# What follows an opening <p> is a paragraph if it is closed before the next one opens. A page without any shows
+# its body text, in which every tag separates words.
+PAGE_TEXT = f"""
+visible AS (
+  SELECT *, regexp_replace(html, '<script>.*?</script>|<style>.*?</style>|<!--.*?-->', '', 'gs') AS shown
+  FROM pages),
+parts AS (
+  SELECT page_id, url, html,
+    nullif({_unescaped("regexp_extract(shown, '<title>(.*?)</title>', 1, 's')")}, '') AS title,
+    array_to_string(list_filter(list_transform(
+      list_filter(string_split(shown, '<p>')[2:], lambda s: contains(s, '</p>')),
+      lambda s: {_unescaped("regexp_replace(replace(split_part(s, '</p>', 1), '<br>', ' '), '<[^>]*>', '', 'g')")}),
+      lambda s: s <> ''), chr(10) || chr(10)) AS paragraphs,
+    {_unescaped("regexp_replace(split_part(split_part(shown, '<body>', 2), '</body>', 1), '<[^>]*>', ' ', 'g')")}
+      AS body
+  FROM visible),
+page_text AS (SELECT *, CASE WHEN paragraphs <> '' THEN paragraphs ELSE body END AS text FROM parts)
+"""
 ENRICHED = f"""
   doc_id, url,
   CASE state WHEN 'skipped' THEN 'missing url' WHEN 'error' THEN 'page not found' END AS scrape_error,
@@ -373,12 +400,13 @@ ORACLES: dict[str, str] = {
       || ' reached max_records=100; ' || CASE WHEN hi - lo >= 2000000 THEN 'splitting into smaller windows'
          ELSE 'results may be truncated' END AS message
     FROM nodes WHERE n >= 100""",
-    "extract_pages_checked": f"""
-    SELECT page_id, 'ok' AS status, {PAGE_LANGUAGE} AS language,
-      nullif(trim(regexp_replace(replace(replace(replace(replace(replace(
-        regexp_extract(html, '<title>(.*?)</title>', 1, 's'),
-        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&'), '\\s+', ' ', 'g')), '') AS title
-    FROM pages""",
+    "extract_pages": _with(PAGE_TEXT) + f"""
+    SELECT page_id, url, 'ok' AS status, title, NULL::VARCHAR AS description, NULL::VARCHAR AS published_at,
+      nullif({PAGE_LANGUAGE}, '') AS language, NULL::VARCHAR AS canonical_url, nullif(text, '') AS text,
+      CASE WHEN text <> '' THEN trim(left(text, 280), ' ' || chr(10)) || CASE WHEN length(text) > 280 THEN '...' ELSE '' END END
+        AS excerpt,
+      length(text) AS text_length
+    FROM page_text""",
     "enrich_articles": _with(CORPUS, LINKED, STATUS) + f" SELECT {ENRICHED} FROM status",
     "enrich_limit": _with(CORPUS, LINKED, STATUS, FIRST) + f"""
     SELECT {ENRICHED} FROM status WHERE doc_id IN (SELECT doc_id FROM first)

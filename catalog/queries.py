@@ -268,12 +268,6 @@ def _extract(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _extract_checked(spark: SparkSession, folder: str) -> DataFrame:
-    return pages.extract_pages(views.table(spark, folder, "pages")).select(
-        "page_id", "status", "language", "title"
-    )
-
-
 def _enriched(spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:
     return pages.enrich_articles(
         views.linked(spark, folder), views.table(spark, folder, "pages"), limit, Sort.NEWEST
@@ -418,7 +412,6 @@ QUERIES: dict[str, Query] = {
     "coverage_summary": _coverage,
     "coverage_warnings": _warnings,
     "extract_pages": _extract,
-    "extract_pages_checked": _extract_checked,
     "enrich_articles": _enrich(None),
     "enrich_limit": _enrich(150),
     "enrich_summary": _enrich_summary,

@@ -21,6 +21,7 @@ from pressgrid.plans.request import Sort, TimeRange
 
 SECOND = 1_000_000  # microseconds
 _SALTS = 64
+_BLOCK_BITS = 16  # ordered work inside a base window is cut into blocks of 2^16 seconds
 
 
 def _whole(value: Column, unit: int) -> Column:
@@ -179,18 +180,27 @@ def _tree(seconds: DataFrame, grid: _Grid, max_rows: int) -> DataFrame:
     return nodes.select("base", F.inline(emitted))
 
 
+def _block(second: Column) -> Column:
+    return F.shiftright(second, _BLOCK_BITS)
+
+
 def _numbered(leaves: DataFrame) -> DataFrame:
     """Leaves with their 1-based ``index`` in time order.
 
-    Numbering runs inside each base window; only one count per base window is summed up globally.
+    Numbering runs inside blocks of a base window, so that no task orders more than a block; only one count
+    per block is summed up globally.
     """
-    per_base = leaves.groupBy("base").agg(F.count("*").alias("leaves"))
-    before = per_base.select(
-        "base",
-        (F.sum("leaves").over(Window.orderBy("base")) - F.col("leaves")).alias("before"),
+    blocks = leaves.withColumn("block", _block(F.col("lo")))
+    counts = blocks.groupBy("base", "block").agg(F.count("*").alias("leaves"))
+    before = counts.select(
+        "base", "block",
+        (F.sum("leaves").over(Window.orderBy("base", "block")) - F.col("leaves")).alias("before"),
+    )
+    place = F.row_number().over(Window.partitionBy("base", "block").orderBy("lo"))
+    return (
+        blocks.join(before, ["base", "block"])
+        .withColumn("index", (F.col("before") + place).cast("int")).drop("before", "block")
     )
-    place = F.row_number().over(Window.partitionBy("base").orderBy("lo"))
-    return leaves.join(before, "base").withColumn("index", (F.col("before") + place).cast("int")).drop("before")
 
 
 def _window_rows(leaves: DataFrame, grid: _Grid, max_rows: int) -> DataFrame:
@@ -281,18 +291,24 @@ def collect_articles(
 
     ``window_index`` is the second, counted from the start of the range, at which the row's leaf begins, and
     ``position`` the row's place inside it. A second is matched to its leaf among the seconds and leaves of
-    one base window; the articles then look their second up by equality.
+    one block; the articles then look their second up by equality.
     """
     grid = _Grid(date_range, hours)
     inside = articles.filter(in_range(date_range, seen)).drop("window_index", "position")
     seconds = _seconds(inside, grid, seen)
     leaves = _tree(seconds, grid, max_rows).filter("leaf")
+    # A leaf marks every block it reaches into, so that each block can be searched on its own.
+    reach = F.sequence(_block(F.col("lo")), _block(F.col("lo") + F.col("size")))
     marks = leaves.select(
-        "base", F.col("lo").alias("second"), F.col("lo").alias("leaf"), F.lit(0).alias("kind")
-    ).unionByName(
-        seconds.select("base", "second", F.lit(None).cast("long").alias("leaf"), F.lit(1).alias("kind"))
+        "base", F.explode(reach).alias("block"), F.col("lo").alias("second"), F.col("lo").alias("leaf"),
+        F.lit(0).alias("kind"),
+    ).unionByName(seconds.select(
+        "base", _block(F.col("second")).alias("block"), "second", F.lit(None).cast("long").alias("leaf"),
+        F.lit(1).alias("kind"),
+    ))
+    latest = F.last("leaf", ignorenulls=True).over(
+        Window.partitionBy("base", "block").orderBy("second", "kind")
     )
-    latest = F.last("leaf", ignorenulls=True).over(Window.partitionBy("base").orderBy("second", "kind"))
     begins = F.col("base").cast("long") * F.lit(grid.step // SECOND) + F.col("leaf")
     lookup = (
         marks.withColumn("leaf", latest).filter("kind = 1")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,17 +25,13 @@ def read_articles(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
     files = spark.read.schema(response).json(path, multiLine=True).select(
         F.col("_metadata.file_path").alias("file"), "articles"
     )
-    # Numbering looks at the names alone, one per file.
-    names = files.select("file").distinct()
-    numbered = names.select("file", _file_number("file").alias("window_index"))
+    # Numbering looks at the names alone, one per file; the contents are not opened for it.
+    names = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+    number = F.row_number().over(Window.orderBy("file")) - 1
     rows = files.select("file", F.posexplode("articles").alias("position", "article"))
-    return rows.join(numbered, "file").select("article.*", "window_index", "position")
-
-
-def _file_number(file: str):
-    from pyspark.sql import Window
-
-    return (F.row_number().over(Window.orderBy(file)) - 1).cast("int")
+    return rows.join(names.select("file", number.alias("window_index")), "file").select(
+        "article.*", "window_index", "position"
+    )
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:

@@ -20,8 +20,7 @@ def test_entry(spark):
 
 
 def test_every_oracle_belongs_to_a_query():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"extract_pages"}
+    assert set(oracle_sql()) == set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(queries()))

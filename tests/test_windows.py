@@ -48,6 +48,7 @@ def model(offsets, total, step, cap):
 
 @pytest.mark.parametrize("seed,total,hours,cap", [
     (1, 7200, 1, 3), (2, 10000, 2, 5), (3, 3601.5, 1, 2), (4, 5400.25, None, 4), (5, 86400, 24, 10), (6, 3, None, 1),
+    (7, 400000, None, 4), (8, 2**18, 60, 3),
 ])
 def test_halving_against_recursion(seen, seed, total, hours, cap):
     pick = random.Random(seed)
