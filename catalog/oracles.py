@@ -202,7 +202,7 @@ PAGE_LANGUAGE = "regexp_extract(html, '<html lang=\"([^\"]*)\"', 1)"
 def _unescaped(text: str) -> str:
     """The character references that occur in the given pages."""
     for name, sign in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
-        text = f"replace({text}, '&{name};', '{sign}')"
+        text = f"regexp_replace({text}, '&{name};?', '{sign}', 'g')"
     return f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
 
 
