@@ -128,18 +128,20 @@ def _visits(seconds: DataFrame, grid: _Grid) -> DataFrame:
     any other is accounted for by its parent.
     """
     depths = range(max(grid.depth, 1))
-    levels = seconds.withColumns({"lo0": F.lit(0).cast("long"), "size0": grid.seconds(F.col("base"))})
-    for depth in depths[1:]:
-        lo, size = F.col(f"lo{depth - 1}"), F.col(f"size{depth - 1}")
-        half = F.shiftright(size, 1)
-        levels = levels.withColumn("right", (F.col("second") >= lo + half).cast("long")).withColumns({
-            f"lo{depth}": lo + F.col("right") * half,
-            f"size{depth}": F.shiftright(size + F.col("right"), 1),
-        })
-    nodes = F.array(*(F.struct(F.col(f"lo{d}").alias("lo"), F.col(f"size{d}").alias("size")) for d in depths))
+    steps = []
+    for at, above in zip(depths[1:], depths, strict=False):
+        half = f"shiftright(size{above}, 1)"
+        steps += [
+            f"CAST(second >= lo{above} + {half} AS BIGINT) AS right{at}",
+            f"lo{above} + right{at} * {half} AS lo{at}",
+            f"shiftright(size{above} + right{at}, 1) AS size{at}",
+        ]
+    nodes = ", ".join(f"named_struct('lo', lo{at}, 'size', size{at})" for at in depths)
     return (
-        levels.select("base", "second", "rows", F.posexplode(nodes).alias("depth", "node"))
-        .select("base", "depth", "node.lo", "node.size", "second", "rows").filter("size >= 2 OR depth = 0")
+        seconds.select("base", "second", "rows", F.lit(0).cast("long").alias("lo0"), grid.seconds(F.col("base")).alias("size0"))
+        .selectExpr("*", *steps)
+        .selectExpr("base", "second", "rows", f"posexplode(array({nodes})) AS (depth, node)")
+        .selectExpr("base", "depth", "node.lo", "node.size", "second", "rows").filter("size >= 2 OR depth = 0")
     )
 
 
@@ -176,8 +178,8 @@ def _tree(seconds: DataFrame, grid: _Grid, max_rows: int) -> DataFrame:
     alone = F.array(window(depth, lo, size, rows, F.lit(True)))
     emitted = F.when(
         full(rows, size), F.concat(itself, F.filter(halves, lambda part: part["leaf"]))
-    ).when(depth == 0, alone)
-    return nodes.select("base", F.inline(emitted))
+    ).otherwise(alone)
+    return nodes.filter(full(rows, size) | (depth == 0)).select("base", F.inline(emitted))
 
 
 def _block(second: Column) -> Column:
