@@ -358,7 +358,9 @@ ORACLES: dict[str, str] = {
            'average_tone' AS metric, count(tone)::DOUBLE AS norm, NULL::VARCHAR AS label,
            'supplied-timeline' AS source
     FROM feed GROUP BY date_trunc('day', seen_at)""",
-    "trend_source": "SELECT 'supplied-timeline' AS trend_source",
+    "trend_source": _with(TIMELINE) + """
+    SELECT CASE WHEN count(v) > 0 THEN 'supplied-timeline' ELSE 'article-bucket-fallback' END AS trend_source
+    FROM points""",
     "analysis_targets": """
     SELECT 'article_count' AS trend_metric, 'average_tone' AS sentiment_metric,
            'Nation 7 | für | the the | nation 1' AS tracked_entities, 'day' AS bucket_size,

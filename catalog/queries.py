@@ -207,8 +207,7 @@ def _sentiment(spark: SparkSession, folder: str) -> DataFrame:
 
 def _series_source(spark: SparkSession, folder: str) -> DataFrame:
     points = series.normalize_timeline(views.timeline(spark, folder), "article_count")
-    trend = series.trend_series(views.feed(spark, folder), points, "day")
-    return series.series_source(trend, "trend_source")
+    return series.series_source(points, series.SUPPLIED, series.FALLBACK, "trend_source")
 
 
 def _targets(spark: SparkSession, folder: str) -> DataFrame:

@@ -129,11 +129,13 @@ def sentiment_series(timeline: DataFrame | None, size: str, source: str = SUPPLI
     return None if timeline is None else from_timeline(timeline, size, "weighted_average", source)
 
 
-def series_source(series: DataFrame | None, name: str) -> DataFrame | None:
-    """One row naming where a series came from; ``not_available`` for one without rows."""
-    if series is None:
-        return None
-    return series.agg(F.coalesce(F.max("source"), F.lit(NO_SOURCE)).alias(name))
+def series_source(rows: DataFrame, present: str, absent: str, name: str) -> DataFrame:
+    """One row naming where a series came from, by whether ``rows`` has any.
+
+    For a trend these are the timeline's rows before rebucketing, readable or not; for sentiment, the series.
+    """
+    source = F.when(rows.exists(), F.lit(present)).otherwise(F.lit(absent))
+    return rows.sparkSession.range(1).select(source.alias(name))
 
 
 def entity_tracking(articles: DataFrame, size: str, seen: str = "seen_at") -> DataFrame:

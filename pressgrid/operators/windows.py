@@ -20,7 +20,6 @@ from pressgrid.operators.predicates import bounds, in_range
 from pressgrid.plans.request import Sort, TimeRange
 
 SECOND = 1_000_000  # microseconds
-_SALTS = 64
 _BLOCK_BITS = 16  # ordered work inside a base window is cut into blocks of 2^16 seconds
 
 
@@ -255,11 +254,10 @@ def cap_per_window(
     """
     limit = int(articles.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if max_rows > limit:
-        salt = F.spark_partition_id() % F.lit(_SALTS)
-        rough = F.row_number().over(Window.partitionBy(window, "_salt").orderBy(*order))
+        rough = F.row_number().over(Window.partitionBy(window, "_part").orderBy(*order))
         articles = (
-            articles.withColumn("_salt", salt).withColumn("_rough", rough)
-            .filter(F.col("_rough") <= max_rows).drop("_salt", "_rough")
+            articles.withColumn("_part", F.spark_partition_id()).withColumn("_rough", rough)
+            .filter(F.col("_rough") <= max_rows).drop("_part", "_rough")
         )
     place = F.row_number().over(Window.partitionBy(window).orderBy(*order))
     return (

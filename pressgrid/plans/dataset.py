@@ -16,6 +16,9 @@ from pressgrid.operators.predicates import CORPUS_TEXT, LISTED_TEXT, article_pre
 from pressgrid.operators.quality import quality_summary
 from pressgrid.operators.series import (
     COMPUTED,
+    FALLBACK,
+    NO_SOURCE,
+    SUPPLIED,
     TONE_METRIC,
     VOLUME_METRIC,
     entity_tracking,
@@ -108,20 +111,38 @@ def build_dataset(
     tree = cache(lambda: window_tree(selected(), span, hours, cap))
 
     @cache
-    def trend() -> DataFrame:
+    def volume() -> DataFrame | None:
         if timeline is not None:
-            return trend_series(articles(), normalize_timeline(timeline, VOLUME_METRIC), size)
-        if not request.include_timeline:
-            return trend_series(articles(), None, size)
-        # Computed from the corpus: where this has no rows there are no articles to fall back on either.
-        hits = volume_timeline(corpus.filter(in_range(span)), article_predicate(spec, texts), size)
-        return from_timeline(hits, size, "sum", COMPUTED)
+            return normalize_timeline(timeline, VOLUME_METRIC)
+        if request.include_timeline:
+            return volume_timeline(corpus.filter(in_range(span)), article_predicate(spec, texts), size)
+        return None
+
+    def trend() -> DataFrame:
+        if timeline is None and request.include_timeline:
+            # Computed from the corpus: where this has no rows there are no articles to fall back on either.
+            return from_timeline(volume(), size, "sum", COMPUTED)
+        return trend_series(articles(), volume(), size)
+
+    def trend_source() -> DataFrame:
+        if volume() is None:
+            return spark.range(1).select(F.lit(FALLBACK).alias("trend_source"))
+        return series_source(volume(), SUPPLIED if timeline is not None else COMPUTED, FALLBACK, "trend_source")
+
+    tone_source = SUPPLIED if tone is not None else COMPUTED
 
     @cache
-    def sentiment() -> DataFrame:
+    def sentiment() -> DataFrame | None:
         if tone is not None:
             return sentiment_series(normalize_timeline(tone, TONE_METRIC), size)
-        return sentiment_series(tone_timeline(selected(), size), size, COMPUTED)
+        if request.include_tone_timeline:
+            return sentiment_series(tone_timeline(selected(), size), size, COMPUTED)
+        return None
+
+    def sentiment_source() -> DataFrame:
+        if sentiment() is None:
+            return spark.range(1).select(F.lit(NO_SOURCE).alias("sentiment_source"))
+        return series_source(sentiment(), tone_source, NO_SOURCE, "sentiment_source")
 
     builders: dict[str, Callable[[], DataFrame | None]] = {
         "articles": articles,
@@ -133,11 +154,11 @@ def build_dataset(
         "windows": lambda: adaptive_windows(selected(), span, hours, cap),
         "coverage": lambda: coverage_summary(tree(), unique(), cap, hours, request.deduplicate),
         "warnings": lambda: coverage_warnings(tree(), cap),
-        "trend_source": lambda: series_source(trend(), "trend_source"),
+        "trend_source": trend_source,
+        "sentiment_source": sentiment_source,
     }
     if tone is not None or request.include_tone_timeline:
         builders["sentiment_series"] = sentiment
-        builders["sentiment_source"] = lambda: series_source(sentiment(), "sentiment_source")
     if request.scrape_articles:
         builders["enrichment"] = lambda: enrichment_summary(articles(), request.scrape_limit)
         builders["enrichment_errors"] = lambda: enrichment_errors(articles())

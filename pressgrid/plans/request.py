@@ -149,9 +149,11 @@ class Request:
 
     @classmethod
     def from_dict(cls, values: dict[str, Any]) -> Request:
-        """A request as written in request files; absent or null options take their defaults."""
+        """A request as written in request files. Absent options take their defaults, as do null ones other than
+        switches, for which null means off."""
         known = {item.name for item in fields(cls)}
         given = {name: value for name, value in values.items() if name in known and value is not None}
+        given |= {item.name: bool(values[item.name]) for item in fields(cls) if item.type == "bool" and item.name in values}
         given["filters"] = Filters.from_dict(values.get("filters"))
         given["date_range"] = TimeRange.from_dict(values.get("date_range"))
         for name in ("max_records", "batch_window_hours", "scrape_limit"):

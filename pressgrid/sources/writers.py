@@ -42,12 +42,23 @@ def write_articles_csv(articles: DataFrame, path: str) -> None:
     )
 
 
+def _as_json(rows: DataFrame) -> DataFrame:
+    """Times in ISO form, and the kept source record as an object instead of text."""
+    columns = {}
+    for name, kind in rows.dtypes:
+        if kind.startswith("timestamp"):
+            columns[name] = iso_utc(F.col(name))
+        elif name == "raw" and kind == "string":
+            columns[name] = F.parse_json(name)
+    return rows.withColumns(columns)
+
+
 def write_sections(sections: Mapping[str, DataFrame], path: str, fmt: str = "parquet") -> None:
     """Each section as a table of its own under ``path``. Text is UTF-8, nothing is escaped to ASCII."""
     for name, rows in sections.items():
         if fmt == "json":
             # Explicit nulls: a contract tells a null field from a missing one.
-            rows.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{name}")
+            _as_json(rows).write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{name}")
         else:
             rows.write.mode("overwrite").format(fmt).save(f"{path}/{name}")
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from pressgrid import Filters, Request, Sort, TimeRange, build_dataset
+from pressgrid import Filters, Request, Sort, TimeRange, build_dataset, write_sections
 from pressgrid.plans.contracts import CONTRACTS
 from pressgrid.operators.quality import violations
 from pressgrid.schemas import LISTED_POINT
@@ -96,6 +96,17 @@ def test_timelines_from_the_corpus_and_enrichment(spark, corpus):
         build_dataset(corpus, request(scrape_articles=True))
 
 
+def test_all_tables_can_be_written(spark, corpus, tmp_path):
+    tables = build_dataset(corpus, request())
+    write_sections(tables, str(tmp_path), "json")
+    assert {p.name for p in tmp_path.iterdir()} == set(tables)
+    trend = spark.read.text(str(tmp_path / "trend_series"))
+    known = {**CONTRACTS["trend_series"]["properties"], "source": {"type": "string"}}
+    assert violations(trend, {**CONTRACTS["trend_series"], "properties": known}, "value", json="value").count() == 0
+    windows = spark.read.text(str(tmp_path / "windows"))
+    assert violations(windows, CONTRACTS["windows"], "value", json="value").count() == 0
+
+
 def test_without_deduplication(corpus):
     tables = build_dataset(corpus, request(deduplicate=False, include_timeline=False))
     assert tables["articles"].count() == 3 and tables["coverage"].first().duplicates_removed == 0

@@ -116,8 +116,9 @@ def test_trend_falls_back_only_without_any_row(raw, points):
     assert [(r.value, r.source) for r in trend_series(rows, given, "hour").collect()] == [(7.0, "supplied-timeline")]
     assert trend_series(rows, unreadable, "hour").count() == 0
     assert sentiment_series(None, "day") is None
-    assert series_source(sentiment_series(empty, "day"), "s").first().s == "not_available"
-    assert series_source(trend_series(rows, given, "day"), "s").first().s == "supplied-timeline"
+    for rows_given, name in ((given, "supplied"), (unreadable, "supplied"), (empty, "none")):
+        assert series_source(rows_given, "supplied", "none", "s").first().s == name
+    assert series_source(sentiment_series(unreadable, "day"), "supplied", "none", "s").first().s == "none"
 
 
 def test_timelines_from_articles(raw):
