@@ -167,12 +167,18 @@ def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     })
 
 
-def one_page_per_url(pages: DataFrame, order: str = "page_id") -> DataFrame:
-    """A single landed page for each address: the first in ``order``. Repeats go before the shuffle."""
-    first = Window.partitionBy("url").orderBy(order)
+def landed_pages(pages: DataFrame, addresses: DataFrame, order: str = "page_id") -> DataFrame:
+    """One landed page for each of the addresses: the first in ``order``, which must not be null.
+
+    Which page that is comes from addresses and ``order`` alone, counted up before any shuffle. The HTML then
+    moves once, spread by both, so that copies of one address do not meet in one task.
+    """
+    named = pages.withColumn("url", strip(F.col("url")))
+    first = named.groupBy("url").agg(F.min(order).alias(order)).join(addresses.distinct(), "url", "left_semi")
+    once = F.row_number().over(Window.partitionBy("url", order).orderBy(F.lit(0)))
     return (
-        pages.withColumn("url", strip(F.col("url")))
-        .withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") == 1).drop("_rank")
+        named.join(first, ["url", order], "left_semi")
+        .withColumn("_copy", once).filter(F.col("_copy") == 1).drop("_copy")
     )
 
 
@@ -207,12 +213,11 @@ def enrich_articles(
             .withColumn("_wanted", F.coalesce("_wanted", F.lit(False))).drop("_fetch_key")
         )
     addresses = keyed.filter("_wanted").filter(~F.col("_key").startswith(" ")).select(F.col("_key").alias("url"))
-    landed = pages.withColumn("url", strip(F.col("url"))).join(addresses, "url", "left_semi")
     known = {
         "final_url": F.col("final_url") if "final_url" in pages.columns else F.col("url"),
         "content_type": F.col("content_type") if "content_type" in pages.columns else F.lit(None).cast("string"),
     }
-    read = extract_pages(one_page_per_url(landed, order).withColumns(known))
+    read = extract_pages(landed_pages(pages, addresses, order).withColumns(known))
     looked_up = read.select(
         F.col("url").alias("_key"),
         F.struct(

@@ -82,9 +82,8 @@ def build_dataset(
     ``text``); ``tie`` orders articles seen at the same moment. Timelines that are not supplied are computed
     from the corpus, if the request includes them.
 
-    The selected, the collected and the finished articles are each written to shared storage once, when
-    first needed, and everything else starts from there: the corpus text is read by one pass per use of the
-    filters. With ``staged=False`` nothing runs until a table is used, at the price of one plan from the
+    The selected, collected, unique and finished articles are each written to shared storage once, when first
+    needed, and everything else starts from there: the corpus text is read by one pass per use of the filters. With ``staged=False`` nothing runs until a table is used, at the price of one plan from the
     corpus per table.
     """
     if request.scrape_articles and pages is None:
@@ -101,7 +100,7 @@ def build_dataset(
     # The full text serves the filters only; it takes no part in any shuffle.
     selected = cache(lambda: kept(select_articles(corpus, spec, span, texts).drop("text", "seen_date"), "selected"))
     raw = cache(lambda: kept(collect_articles(selected(), span, hours, cap, sort, tie=tie), "raw"))
-    unique = cache(lambda: dedup_articles(raw()) if request.deduplicate else raw())
+    unique = cache(lambda: kept(dedup_articles(raw()), "unique") if request.deduplicate else raw())
     enriched = cache(
         lambda: enrich_articles(unique(), pages, request.scrape_limit, sort) if request.scrape_articles else unique()
     )

@@ -146,3 +146,12 @@ def test_limit_counts_rows_without_address(raw, pages):
 def test_limit_one_golden(raw, pages):
     totals = enrichment_summary(enrich_articles(raw(dict(url="https://a/1")), pages, 1), 1).first()
     assert (totals.attempted, totals.succeeded) == (1, 1)
+
+
+def test_copies_of_one_address(spark, raw):
+    """A third of all pages share an address, some of them even their number."""
+    copies = [(i // 2, "https://hot" if i % 3 == 0 else f"https://x/{i}", f"<p>{i // 2}</p>") for i in range(900)]
+    pages = spark.createDataFrame(copies, "page_id int, url string, html string").repartition(8)
+    rows = raw(*(dict(url="https://hot") for _ in range(40)), dict(url="https://x/1"))
+    found = enrich_articles(rows, pages).collect()
+    assert len(found) == 41 and {r.scraped.text for r in found} == {"0"}
