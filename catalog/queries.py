@@ -247,7 +247,7 @@ def _collect(max_rows: int) -> Query:
 def _capped(spark: SparkSession, folder: str) -> DataFrame:
     rows = windows.assign_windows(views.feed(spark, folder), JANUARY, 24)
     order = windows.remote_order(Sort.TONE_HIGH, tie=("event_id",))
-    return windows.cap_per_window(rows, 75, order, "index").select("event_id", "index", "position")
+    return windows.cap_per_window(rows, 75, order, ("index",)).select("event_id", "index", "position")
 
 
 def _coverage(spark: SparkSession, folder: str) -> DataFrame:

@@ -244,7 +244,7 @@ def adaptive_windows(
 
 
 def cap_per_window(
-    articles: DataFrame, max_rows: int, order: Sequence[Column], window: str = "window_index"
+    articles: DataFrame, max_rows: int, order: Sequence[Column], window: Sequence[str] = ("window_index",)
 ) -> DataFrame:
     """At most ``max_rows`` rows of each window, in the given order, numbered by ``position``.
 
@@ -254,12 +254,12 @@ def cap_per_window(
     """
     limit = int(articles.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if max_rows > limit:
-        rough = F.row_number().over(Window.partitionBy(window, "_part").orderBy(*order))
+        rough = F.row_number().over(Window.partitionBy(*window, "_part").orderBy(*order))
         articles = (
             articles.withColumn("_part", F.spark_partition_id()).withColumn("_rough", rough)
             .filter(F.col("_rough") <= max_rows).drop("_part", "_rough")
         )
-    place = F.row_number().over(Window.partitionBy(window).orderBy(*order))
+    place = F.row_number().over(Window.partitionBy(*window).orderBy(*order))
     return (
         articles.withColumn("_place", place).filter(F.col("_place") <= max_rows)
         .withColumn("position", F.col("_place") - 1).drop("_place")
@@ -314,12 +314,13 @@ def collect_articles(
         marks.withColumn("leaf", latest).filter("kind = 1")
         .select(F.col("base").alias("_base"), F.col("second").alias("_second"), begins.cast("int").alias("window_index"))
     )
-    ts = F.col(seen)
-    placed = (
-        inside.withColumn("_base", grid.index(ts)).withColumn("_second", grid.second(ts))
-        .join(lookup, ["_base", "_second"]).drop("_base", "_second")
-    )
-    return cap_per_window(placed, max_rows, remote_order(sort, seen, tie))
+    ts, order = F.col(seen), remote_order(sort, seen, tie)
+    keyed = inside.withColumn("_base", grid.index(ts)).withColumn("_second", grid.second(ts))
+    # No row beyond the cap of its own second can be within the cap of its leaf. Cutting here keeps a crowded
+    # second from reaching the join, which then finds its left side partitioned and sorted already.
+    thinned = cap_per_window(keyed, max_rows, order, ("_base", "_second")).drop("position")
+    placed = thinned.join(lookup, ["_base", "_second"]).drop("_base", "_second")
+    return cap_per_window(placed, max_rows, order)
 
 
 def coverage_summary(
