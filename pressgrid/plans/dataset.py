@@ -83,8 +83,8 @@ def build_dataset(
     from the corpus, if the request includes them.
 
     The selected, collected, unique and finished articles are each written to shared storage once, when first
-    needed, and everything else starts from there: the corpus text is read by one pass per use of the filters. With ``staged=False`` nothing runs until a table is used, at the price of one plan from the
-    corpus per table.
+    needed, and everything else starts from there: the corpus text is read by one pass per use of the filters.
+    With ``staged=False`` nothing runs until a table is used, at the price of one plan from the corpus per table.
     """
     if request.scrape_articles and pages is None:
         raise ValueError("enrichment needs a table of landed pages")

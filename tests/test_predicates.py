@@ -3,7 +3,6 @@ from __future__ import annotations
 import pytest
 
 from pressgrid.operators.predicates import article_predicate, in_range, select_articles, span
-from pressgrid.operators.articles import article_space  # noqa: F401
 from pressgrid.plans.request import Filters, Near, Request, Sort, TimeRange
 
 ROWS = (
