@@ -431,6 +431,20 @@ ORACLES: dict[str, str] = {
       'ok' AS scrape_status, '' AS scraped_title, '' AS scraped_description, '' AS scraped_published_at,
       '' AS scraped_language, length(text)::VARCHAR AS scraped_text_length, '' AS scraped_excerpt
     FROM corpus""",
+    "write_articles_csv": _with(FEED) + """
+    SELECT coalesce(sha256(url), '') AS article_id, title, coalesce(url, '') AS url, '' AS mobile_url,
+      strftime(seen_at, '%Y-%m-%dT%H:%M:%SZ') AS seen_at, domain, language, sourcecountry AS source_country,
+      '' AS social_image_url, '' AS matched_keywords,
+      array_to_string(list_filter(['Nation 7', 'click', 'nation 1', 'click'], lambda t: contains(
+        lower(concat_ws(' ', title, domain, sourcecountry)), lower(t))), ' | ') AS matched_entities,
+      '' AS requested_themes, 'not_requested' AS scrape_status, '' AS scraped_title, '' AS scraped_description,
+      '' AS scraped_published_at, '' AS scraped_language, '0' AS scraped_text_length, '' AS scraped_excerpt
+    FROM feed""",
+    "write_sections_json": _volume("day"),
+    "write_sections_parquet": _volume("day"),
+    "landed_corpus": _with(FEED) + """
+    SELECT event_id, url, strftime(seen_at, '%Y-%m-%d') AS seen_date FROM feed
+    WHERE language = 'German' AND seen_at BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-09 12:00:00'""",
     "quality_violations": """
     SELECT conv_id AS record_id, '$.role' AS path, 'enum' AS rule,
            'expected one of [''user'', ''assistant''], got ' || role AS detail, count(*) AS n

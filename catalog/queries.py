@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,16 @@ from pressgrid.operators.predicates import CORPUS_TEXT
 from pressgrid.plans.contracts import CONTRACTS
 from pressgrid.plans.dataset import build_dataset
 from pressgrid.plans.request import Filters, Near, Request, Sort, TimeRange
-from pressgrid.sources import flatten_articles
+from pressgrid.schemas import SERIES
+from pressgrid.sources import (
+    flatten_articles,
+    land_articles,
+    read_corpus,
+    shared_folder,
+    write_articles_csv,
+    write_sections,
+)
+from pressgrid.sources.writers import FLAT_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -367,6 +377,37 @@ def _dataset(name: str, *columns: str) -> Query:
     return run
 
 
+def _target(spark: SparkSession, name: str) -> str:
+    """A new place on shared storage for a table that is written and read back."""
+    return f"{shared_folder(spark)}/pressgrid-{uuid4().hex}/{name}"
+
+
+def _csv(spark: SparkSession, folder: str) -> DataFrame:
+    where = _target(spark, "csv")
+    write_articles_csv(_feed_articles(spark, folder), where)
+    schema = ", ".join(f"{name} string" for name in FLAT_COLUMNS)
+    back = spark.read.schema(schema).options(header=True, quote='"', escape='"').csv(where)
+    return back.na.fill("")
+
+
+def _sections(fmt: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        where = _target(spark, fmt)
+        write_sections({"trend_series": series.volume_series(views.feed(spark, folder), "day")}, where, fmt)
+        return _text_series(spark.read.schema(SERIES).format(fmt).load(f"{where}/trend_series"))
+
+    return run
+
+
+def _landed(spark: SparkSession, folder: str) -> DataFrame:
+    where = _target(spark, "corpus")
+    land_articles(views.feed(spark, folder), where)
+    found = predicates.select_articles(
+        read_corpus(spark, where), Filters(source_languages=("german",)), TimeRange("2024-01-05", "2024-01-09T12:00:00Z")
+    )
+    return found.select("event_id", "url", F.date_format("seen_date", "yyyy-MM-dd").alias("seen_date"))
+
+
 QUERIES: dict[str, Query] = {
     "volume_minute": _volume("minute"),
     "volume_hour": _volume("hour"),
@@ -416,6 +457,10 @@ QUERIES: dict[str, Query] = {
     "enrich_summary": _enrich_summary,
     "enrich_errors": _enrich_errors,
     "flat_articles": _flat,
+    "write_articles_csv": _csv,
+    "write_sections_json": _sections("json"),
+    "write_sections_parquet": _sections("parquet"),
+    "landed_corpus": _landed,
     "quality_violations": _violations,
     "quality_json_violations": _json_violations,
     "quality_summary": _quality_summary,
