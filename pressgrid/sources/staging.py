@@ -7,13 +7,22 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+SETTING = "spark.checkpoint.dir"
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where none is named (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder named by ``spark.checkpoint.dir``, which every executor must reach.
+
+    Only a local session, whose executors share the driver's disk, gets a folder of its own where none is named;
+    a cluster without the setting raises ``ValueError``.
+    """
+    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {SETTING} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="pressgrid-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.conf.set(SETTING, folder)
     return folder.rstrip("/")
 
 
