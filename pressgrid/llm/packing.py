@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 CAPACITY = 4096
 END_ID = 2
 #: Words whose ids one task remembers before it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_200_000
+#: Words whose texts are encoded together.
+GROUP_WORDS = 100_000
 #: Sequences that one task may number.
 PER_TASK = 1 << 40
 
@@ -47,8 +49,6 @@ class WordEncoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Encode new chunks in one line and cut it by their numbers of units; one by one where these do not agree."""
-        if len(self.known) + len(chunks) > CACHE_WORDS:
-            self.known.clear()
         plain = [x for x in chunks if "<|" not in x]
         units = np.cumsum([len(_UNIT.findall(x)) for x in plain])
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -61,18 +61,26 @@ class WordEncoder:
         rest = [x for x in chunks if "<|" in x]
         self.known.update(zip(rest, self._alone(rest)))
 
-    def __call__(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        chunks = _CHUNK.findall(text)
-        parts = []
-        for at in range(0, len(chunks), CACHE_WORDS // 4):
-            part = chunks[at : at + CACHE_WORDS // 4]
-            if new := list(set(part).difference(self.known)):
-                self._learn(new)
-                if not all(map(self.known.__contains__, part)):  # the memory was full and has been cleared
-                    self._learn(list(set(part).difference(self.known)))
-            parts += map(self.known.__getitem__, part)
-        return b"".join(parts)
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        group, size = [], 0
+        for text in texts:
+            group.append(_CHUNK.findall(text))
+            size += len(group[-1])
+            if size >= GROUP_WORDS:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, group: list[list[str]]) -> Iterator[bytes]:
+        wanted = set().union(*group)
+        if new := list(wanted.difference(self.known)):
+            if len(self.known) + len(new) > CACHE_WORDS:
+                self.known.clear()
+                new = list(wanted)
+            self._learn(new)
+        for chunks in group:
+            yield b"".join(map(self.known.__getitem__, chunks))
 
 
 encoder = lru_cache(maxsize=2)(WordEncoder)
@@ -131,8 +139,8 @@ def _pack(batches: Iterator[pd.DataFrame], path: str, capacity: int, end_id: int
 
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch["doc_id"].array, batch["text"]):
-            ids = encode(text or "") + end
+        for doc_id, own_ids in zip(batch["doc_id"].array, encode([x or "" for x in batch["text"]])):
+            ids = own_ids + end
             total, start = len(ids) // 4, 0
             for length in cuts(total, capacity):
                 own = ids[4 * start : 4 * (start + length)]
