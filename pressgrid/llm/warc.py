@@ -257,5 +257,5 @@ def read_archives(folder: str, manifest: DataFrame, keep_payload: bool = True) -
     record count other than the manifest's raises. Archives are streamed: memory holds one record and one batch.
     """
     schema = RECORD if keep_payload else RECORD.replace(" payload binary,", "")
-    spread = manifest.repartition("path")
+    spread = manifest.repartition(max(manifest.count(), 1))  # a task for each archive: few rows stand for many bytes
     return spread.mapInPandas(lambda batches: _read(batches, folder, keep_payload), schema)
