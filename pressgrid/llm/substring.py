@@ -17,7 +17,7 @@ COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14,
 #: Words that an anchor must span to be worth sending.
 LEAST_ANCHOR = 6
 
-KEYS = ["__order", "__hash"]
+KEYS = ["__order", "__part"]
 
 
 def cover_for(window: int) -> tuple[int, tuple[int, ...], int]:
@@ -43,13 +43,15 @@ class _Words:
         return np.frombuffer(b"".join([digest(line[a:b]) for a, b in cuts]), dtype="<i8").reshape(-1, 2)
 
 
-ROWS = "h1 long, h2 long, __order long, __hash long, place int, known binary"
+#: Anchors are found by 64 bits, as a false find costs one window; windows are told apart by 128.
+ANCHOR_ROWS = "h1 long, __order long, __part int, place int, known binary"
+WINDOW_ROWS = "h1 long, h2 long, __order long, __part int, place int, known binary"
 
 
 def _shipped(documents: list, found: list[tuple[np.ndarray, np.ndarray]], earliest: bool) -> pd.DataFrame:
-    """Rows of ``ROWS`` for the hashes of one batch, each hash sent once.
+    """Rows of ``WINDOW_ROWS`` for the hashes of one batch, each hash sent once.
 
-    ``documents`` holds (order, hash) and ``found`` the places and hashes of each. A hash that the batch repeats is sent
+    ``documents`` holds (order, part) and ``found`` the places and hashes of each. A hash that the batch repeats is sent
     with its first place; its other places (or, unless ``earliest``, all of them) are settled here and go as one ``known`` row
     for each document. So a passage shared by many documents takes one row a batch.
     """
@@ -69,7 +71,7 @@ def _shipped(documents: list, found: list[tuple[np.ndarray, np.ndarray]], earlie
         settled = np.bincount(group)[group] > 1
     sent = pd.DataFrame({
         "h1": hashes[first, 0], "h2": hashes[first, 1], "__order": order[owner[first]],
-        "__hash": np.array([d[1] for d in documents], dtype=np.int64)[owner[first]], "place": places[first].astype("int32"),
+        "__part": np.array([d[1] for d in documents], dtype=np.int32)[owner[first]], "place": places[first].astype("int32"),
     })
     sent["known"] = None
     known = []
@@ -78,8 +80,10 @@ def _shipped(documents: list, found: list[tuple[np.ndarray, np.ndarray]], earlie
         whose, where = owner[settled][by], places[settled][by].astype("<i4")
         cuts = np.flatnonzero(whose[1:] != whose[:-1]) + 1
         for part, doc in zip(np.split(where, cuts), whose[[0, *cuts]]):
-            known.append((documents[doc][1], doc, *documents[doc], -1, part.tobytes()))
-    return pd.concat([sent, pd.DataFrame(known, columns=list(sent.columns))], ignore_index=True) if known else sent
+            known.append((hash(documents[doc]), int(doc), *documents[doc], -1, part.tobytes()))  # spread over tasks
+    if known:
+        sent = pd.concat([sent, pd.DataFrame(known, columns=list(sent.columns))], ignore_index=True)
+    return sent if earliest else sent.drop(columns="h2")
 
 
 def _flush(documents: list, found: list, earliest: bool) -> Iterator[pd.DataFrame]:
@@ -93,7 +97,7 @@ def _anchors(batches: Iterator[pd.DataFrame], window: int, most: int) -> Iterato
     period, cover, span = cover_for(window)
     documents, found, held = [], [], 0
     for batch in batches:
-        for order, own, text in zip(batch["__order"], batch["__hash"], batch["__text"]):
+        for order, own, text in zip(batch["__order"], batch["__part"], batch["__text"]):
             words = _Words(text)
             if len(words.words) < window:
                 continue
@@ -184,35 +188,36 @@ def remove_repeats(
     place of each is found. Texts are shuffled once, by document, and that exchange serves all three steps. A passage
     shared by very many documents is reduced to one row for each batch of a task before it is sent.
 
-    Words are runs without ASCII white space. Null and empty texts have no words; null ids come before all others.
-    Rows that repeat id and text are judged alike, none of them earlier than the other. Columns of ``docs`` with the names of
+    Words are runs without ASCII white space. Null and empty texts have no words. Rows without an id have no place in the
+    order: they keep all their words and take none from others. Rows that repeat id and text are judged alike, none of
+    them earlier than the other; different texts of one id are told apart by 32 bits of a hash. Columns of ``docs`` with the names of
     results are replaced. An empty table gives no rows.
     """
     added = ("n_words", "n_removed", "kept_text", "kept_sha256", "removed")
     kept = [x for x in docs.columns if x != text_column and x not in added]
-    order = F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63)))
-    texts = docs.select(
-        *kept, F.col(text_column).alias("__text"), order.alias("__order"), F.xxhash64(text_column).alias("__hash")
-    )
-    digests = docs.select(
-        order.alias("__order"), F.xxhash64(text_column).alias("__hash"), F.md5(text_column).alias("digest")
-    ).filter("digest is not null")
+    order, digest = F.col(id_column).cast("long"), F.xxhash64(text_column)
+    own = docs.withColumns({"__order": order, "__part": F.shiftright(digest, 32).cast("int")})
+    texts = own.filter(order.isNotNull()).select(*kept, F.col(text_column).alias("__text"), *KEYS)
+    digests = own.filter(order.isNotNull() & F.col(text_column).isNotNull()).select(
+        *KEYS, F.md5(text_column).alias("digest"))
     first = digests.groupBy("digest").agg(F.min("__order").alias("first"))
     copies = digests.join(first, "digest").filter("__order > first").select(*KEYS).distinct()
-
-    def once(rows: DataFrame) -> Window:
-        return Window.partitionBy(F.col("known").isNull(), "h1", "h2")
-
-    anchors = texts.join(copies, KEYS, "left_anti").mapInPandas(lambda b: _anchors(b, window, batch_hashes), ROWS)
-    shared = anchors.withColumn("n", F.count(F.lit(1)).over(once(anchors))).filter("n > 1 or known is not null")
-    windows = texts.join(_gathered(shared), KEYS).mapInPandas(lambda b: _windows(b, window, batch_hashes), ROWS)
-    later = windows.withColumn(
-        "n", F.rank().over(once(windows).orderBy("__order", "place"))
-    ).filter("n > 1 or known is not null")
+    settled = F.col("known").isNotNull()
+
+    anchors = texts.join(copies, KEYS, "left_anti").mapInPandas(lambda b: _anchors(b, window, batch_hashes), ANCHOR_ROWS)
+    alike = Window.partitionBy(settled, "h1")
+    shared = anchors.withColumn("n", F.count(F.lit(1)).over(alike)).filter((F.col("n") > 1) | settled)
+    windows = texts.join(_gathered(shared), KEYS).mapInPandas(lambda b: _windows(b, window, batch_hashes), WINDOW_ROWS)
+    rank = F.rank().over(Window.partitionBy(settled, "h1", "h2").orderBy("__order", "place"))
+    later = windows.withColumn("n", rank).filter((F.col("n") > 1) | settled)
     marked = texts.join(copies.withColumn("copy", F.lit(True)), KEYS, "left").join(_gathered(later), KEYS, "left")
+    nameless = own.filter(order.isNull()).select(
+        *kept, F.col(text_column).alias("__text"), *KEYS, F.lit(False).alias("copy"),
+        F.lit(None).cast("array<int>").alias("places"), F.lit(None).cast("array<binary>").alias("known"),
+    )
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([
         *(f"`{x}` {types[x]}" for x in kept), "n_words long", "n_removed long", "kept_text string", "kept_sha256 string",
         "removed array<struct<start:int,end:int>>",
     ])
-    return marked.mapInPandas(lambda b: _kept(b, window), schema)
+    return marked.unionByName(nameless, allowMissingColumns=True).mapInPandas(lambda b: _kept(b, window), schema)
