@@ -204,13 +204,14 @@ def remove_repeats(
     copies = digests.join(first, "digest").filter("__order > first").select(*KEYS).distinct()
     settled = F.col("known").isNotNull()
 
-    anchors = texts.join(copies, KEYS, "left_anti").mapInPandas(lambda b: _anchors(b, window, batch_hashes), ANCHOR_ROWS)
+    flagged = texts.join(copies.withColumn("copy", F.lit(True)), KEYS, "left")  # alike in each step: one exchange of texts
+    anchors = flagged.filter("copy is null").mapInPandas(lambda b: _anchors(b, window, batch_hashes), ANCHOR_ROWS)
     alike = Window.partitionBy(settled, "h1")
     shared = anchors.withColumn("n", F.count(F.lit(1)).over(alike)).filter((F.col("n") > 1) | settled)
     windows = texts.join(_gathered(shared), KEYS).mapInPandas(lambda b: _windows(b, window, batch_hashes), WINDOW_ROWS)
     rank = F.rank().over(Window.partitionBy(settled, "h1", "h2").orderBy("__order", "place"))
     later = windows.withColumn("n", rank).filter((F.col("n") > 1) | settled)
-    marked = texts.join(copies.withColumn("copy", F.lit(True)), KEYS, "left").join(_gathered(later), KEYS, "left")
+    marked = flagged.join(_gathered(later), KEYS, "left")
     nameless = own.filter(order.isNull()).select(
         *kept, F.col(text_column).alias("__text"), *KEYS, F.lit(False).alias("copy"),
         F.lit(None).cast("array<int>").alias("places"), F.lit(None).cast("array<binary>").alias("known"),
