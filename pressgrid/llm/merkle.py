@@ -95,8 +95,8 @@ def with_next_text(docs: DataFrame, blocks: int | None = None) -> DataFrame:
         F.coalesce(F.lead("block").over(Window.orderBy("block")), F.min("block").over(Window.partitionBy(F.lit(1))))
         .alias("to"), F.col("block").alias("from"), "head_id",
     )
-    guests = rows.alias("d").join(
-        above.alias("h"), (F.col("d.block") == F.col("h.from")) & F.col("d.doc_id").eqNullSafe(F.col("h.head_id"))
+    guests = rows.alias("d").join(  # as many rows as there are ranges: small enough to broadcast
+        F.broadcast(above.alias("h")), (F.col("d.block") == F.col("h.from")) & F.col("d.doc_id").eqNullSafe(F.col("h.head_id"))
     ).select("d.doc_id", "d.text", F.col("h.to").alias("block"), F.lit(1).alias("guest"))
     together = rows.withColumn("guest", F.lit(0)).unionByName(guests)
     order = Window.partitionBy("block").orderBy("guest", F.desc_nulls_last("doc_id"), F.desc_nulls_last("text"))
