@@ -17,7 +17,7 @@ COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14,
 #: Words that an anchor must span to be worth sending.
 LEAST_ANCHOR = 6
 
-KEYS = ["__order", "__part"]
+PART = 32
 
 
 def cover_for(window: int) -> tuple[int, tuple[int, ...], int]:
@@ -43,22 +43,24 @@ class _Words:
         return np.frombuffer(b"".join([digest(line[a:b]) for a, b in cuts]), dtype="<i8").reshape(-1, 2)
 
 
-#: Anchors are found by 64 bits, as a false find costs one window; windows are told apart by 128.
-ANCHOR_ROWS = "h1 long, __order long, __part int, place int, known binary"
-WINDOW_ROWS = "h1 long, h2 long, __order long, __part int, place int, known binary"
+#: Anchors are found by 64 bits, as a false find costs one window; windows are told apart by 96. The
+#: place of a window has the part of its text (a hash that tells texts of one id apart) in its upper half.
+ANCHOR_ROWS = "h1 long, __order long, place long, known binary"
+WINDOW_ROWS = "h1 long, h2 int, __order long, place long, known binary"
 
 
 def _shipped(documents: list, found: list[tuple[np.ndarray, np.ndarray]], earliest: bool) -> pd.DataFrame:
-    """Rows of ``WINDOW_ROWS`` for the hashes of one batch, each hash sent once.
+    """Rows of ``WINDOW_ROWS`` (or ``ANCHOR_ROWS``) for the hashes of one batch, each hash sent once.
 
     ``documents`` holds (order, part) and ``found`` the places and hashes of each. A hash that the batch repeats is sent
-    with its first place; its other places (or, unless ``earliest``, all of them) are settled here and go as one ``known`` row
-    for each document. So a passage shared by many documents takes one row a batch.
+    with its first place; its other places (or, unless ``earliest``, all of them) are settled here and go as one ``known``
+    row for each document. So a passage shared by many documents takes one row a batch.
     """
     owner = np.repeat(np.arange(len(found)), [len(places) for places, _ in found])
     places = np.concatenate([places for places, _ in found])
     hashes = np.concatenate([values for _, values in found])
     order = np.array([d[0] for d in documents], dtype=np.int64)
+    part = np.array([d[1] for d in documents], dtype=np.int64) << PART if earliest else np.zeros_like(order)
     at = np.lexsort((places, order[owner], hashes[:, 1], hashes[:, 0]))
     owner, places, hashes = owner[at], places[at], hashes[at]
     first = np.ones(len(at), dtype=bool)
@@ -70,8 +72,8 @@ def _shipped(documents: list, found: list[tuple[np.ndarray, np.ndarray]], earlie
     else:
         settled = np.bincount(group)[group] > 1
     sent = pd.DataFrame({
-        "h1": hashes[first, 0], "h2": hashes[first, 1], "__order": order[owner[first]],
-        "__part": np.array([d[1] for d in documents], dtype=np.int32)[owner[first]], "place": places[first].astype("int32"),
+        "h1": hashes[first, 0], "h2": (hashes[first, 1] >> 32).astype("int32"), "__order": order[owner[first]],
+        "place": part[owner[first]] | places[first],
     })
     sent["known"] = None
     known = []
@@ -79,8 +81,8 @@ def _shipped(documents: list, found: list[tuple[np.ndarray, np.ndarray]], earlie
         by = np.argsort(owner[settled], kind="stable")
         whose, where = owner[settled][by], places[settled][by].astype("<i4")
         cuts = np.flatnonzero(whose[1:] != whose[:-1]) + 1
-        for part, doc in zip(np.split(where, cuts), whose[[0, *cuts]]):
-            known.append((hash(documents[doc]), int(doc), *documents[doc], -1, part.tobytes()))  # spread over tasks
+        for own, doc in zip(np.split(where, cuts), whose[[0, *cuts]]):
+            known.append((hash(documents[doc]), 0, order[doc], part[doc], own.tobytes()))  # spread over tasks
     if known:
         sent = pd.concat([sent, pd.DataFrame(known, columns=list(sent.columns))], ignore_index=True)
     return sent if earliest else sent.drop(columns="h2")
@@ -117,10 +119,12 @@ def _windows(batches: Iterator[pd.DataFrame], window: int, most: int) -> Iterato
     period, _, _ = cover_for(window)
     documents, found, held = [], [], 0
     for batch in batches:
-        for order, own, text, places, known in zip(*(batch[x] for x in [*KEYS, "__text", "places", "known"])):
+        for order, own, text, places, known in zip(
+            *(batch[x] for x in ("__order", "__part", "__text", "places", "known"))
+        ):
             words = _Words(text)
             last = len(words.words) - window
-            anchors = _places(places, known)
+            anchors = _places(places, known, None)
             change = np.zeros(last + 2, dtype=np.int64)
             np.add.at(change, np.clip(anchors - (period - 1), 0, last + 1), 1)
             np.add.at(change, np.clip(anchors + 1, 0, last + 1), -1)
@@ -134,22 +138,28 @@ def _windows(batches: Iterator[pd.DataFrame], window: int, most: int) -> Iterato
     yield from _flush(documents, found, earliest=True)
 
 
-def _places(places, known) -> np.ndarray:
-    parts = [np.asarray(places if places is not None else [], dtype=np.int64)]
-    parts += [np.frombuffer(x, dtype="<i4").astype(np.int64) for x in (known if known is not None else [])]
-    return np.concatenate(parts)
+def _places(places, known, part: int | None) -> np.ndarray:
+    """Places of a document's rows, single and packed; with ``part`` those of that text alone."""
+    single = np.asarray(places if places is not None else [], dtype=np.int64)
+    packed = known if known is not None else []
+    if part is not None:
+        single = single[single >> PART == part] & 0xFFFFFFFF
+        packed = [x for x in packed if x["place"] >> PART == part]
+    return np.concatenate([single, *(np.frombuffer(x["known"], dtype="<i4").astype(np.int64) for x in packed)])
 
 
 def _kept(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for text, copy, places, known in zip(*(batch[x] for x in ("__text", "copy", "places", "known"))):
+        for text, part, copies, places, known in zip(
+            *(batch[x] for x in ("__text", "__part", "copies", "places", "known"))
+        ):
             words = _Words(text)
             count = len(words.words)
             gone = np.zeros(count, dtype=bool)
-            if copy is True or copy is np.True_:
+            if copies is not None and part in copies:
                 gone[:] = count >= window
-            elif len(marks := _places(places, known)):
+            elif len(marks := _places(places, known, part)):
                 change = np.zeros(count + 1, dtype=np.int64)
                 np.add.at(change, marks, 1)
                 np.add.at(change, marks + window, -1)
@@ -161,15 +171,16 @@ def _kept(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame
                 count, removed, kept.decode("utf-8", "surrogatepass"), hashlib.sha256(kept).hexdigest(),
                 [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)],
             ))
-        out = batch.drop(columns=["__text", "copy", "places", "known", *KEYS]).reset_index(drop=True)
+        out = batch.drop(columns=["__text", "copies", "places", "known", "__order", "__part"]).reset_index(drop=True)
         names = ["n_words", "n_removed", "kept_text", "kept_sha256", "removed"]
         yield pd.concat([out, pd.DataFrame(rows, columns=names, dtype=object)], axis=1)
 
 
 def _gathered(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*KEYS).agg(
-        F.collect_list(F.when(F.col("known").isNull(), F.col("place"))).alias("places"),
-        F.collect_list("known").alias("known"),
+    packed = F.col("known").isNotNull()
+    return rows.groupBy("__order").agg(
+        F.collect_list(F.when(~packed, F.col("place"))).alias("places"),
+        F.collect_list(F.when(packed, F.struct("place", "known"))).alias("known"),
     )
 
 
@@ -185,7 +196,7 @@ def remove_repeats(
     A text equal to that of a smaller id repeats all of it, so such copies are settled by a digest and skip the rest. In
     the others only windows at cover positions modulo a period are hashed; two equal windows of full length always share
     one such anchor. Anchors that occur twice are extended: the whole windows around them are hashed and the earliest
-    place of each is found. Texts are shuffled once, by document, and that exchange serves all three steps. A passage
+    place of each is found. Texts are shuffled once, by id, and that exchange serves all three steps. A passage
     shared by very many documents is reduced to one row for each batch of a task before it is sent.
 
     Words are runs without ASCII white space. Null and empty texts have no words. Rows without an id have no place in the
@@ -195,27 +206,27 @@ def remove_repeats(
     """
     added = ("n_words", "n_removed", "kept_text", "kept_sha256", "removed")
     kept = [x for x in docs.columns if x != text_column and x not in added]
-    order, digest = F.col(id_column).cast("long"), F.xxhash64(text_column)
-    own = docs.withColumns({"__order": order, "__part": F.shiftright(digest, 32).cast("int")})
-    texts = own.filter(order.isNotNull()).select(*kept, F.col(text_column).alias("__text"), *KEYS)
+    order, part = F.col(id_column).cast("long"), F.shiftright(F.xxhash64(text_column), 32).cast("int")
+    own = docs.withColumns({"__order": order, "__part": part})
+    texts = own.filter(order.isNotNull()).select(*kept, F.col(text_column).alias("__text"), "__order", "__part")
     digests = own.filter(order.isNotNull() & F.col(text_column).isNotNull()).select(
-        *KEYS, F.md5(text_column).alias("digest"))
+        "__order", "__part", F.md5(text_column).alias("digest"))
     first = digests.groupBy("digest").agg(F.min("__order").alias("first"))
-    copies = digests.join(first, "digest").filter("__order > first").select(*KEYS).distinct()
+    copies = digests.join(first, "digest").filter("__order > first").groupBy("__order").agg(
+        F.collect_set("__part").alias("copies"))
     settled = F.col("known").isNotNull()
 
-    flagged = texts.join(copies.withColumn("copy", F.lit(True)), KEYS, "left")  # alike in each step: one exchange of texts
-    anchors = flagged.filter("copy is null").mapInPandas(lambda b: _anchors(b, window, batch_hashes), ANCHOR_ROWS)
+    flagged = texts.join(copies, "__order", "left")  # alike in each step: one exchange of texts
+    fresh = flagged.filter(F.col("copies").isNull() | ~F.array_contains("copies", F.col("__part")))
+    anchors = fresh.mapInPandas(lambda b: _anchors(b, window, batch_hashes), ANCHOR_ROWS)
     alike = Window.partitionBy(settled, "h1")
     shared = anchors.withColumn("n", F.count(F.lit(1)).over(alike)).filter((F.col("n") > 1) | settled)
-    windows = texts.join(_gathered(shared), KEYS).mapInPandas(lambda b: _windows(b, window, batch_hashes), WINDOW_ROWS)
-    rank = F.rank().over(Window.partitionBy(settled, "h1", "h2").orderBy("__order", "place"))
+    windows = texts.join(_gathered(shared), "__order").mapInPandas(
+        lambda b: _windows(b, window, batch_hashes), WINDOW_ROWS)
+    rank = F.rank().over(Window.partitionBy(settled, "h1", "h2").orderBy("__order", F.col("place").bitwiseAND(0xFFFFFFFF)))
     later = windows.withColumn("n", rank).filter((F.col("n") > 1) | settled)
-    marked = flagged.join(_gathered(later), KEYS, "left")
-    nameless = own.filter(order.isNull()).select(
-        *kept, F.col(text_column).alias("__text"), *KEYS, F.lit(False).alias("copy"),
-        F.lit(None).cast("array<int>").alias("places"), F.lit(None).cast("array<binary>").alias("known"),
-    )
+    marked = flagged.join(_gathered(later), "__order", "left")
+    nameless = own.filter(order.isNull()).select(*kept, F.col(text_column).alias("__text"), "__order", "__part")
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([
         *(f"`{x}` {types[x]}" for x in kept), "n_words long", "n_removed long", "kept_text string", "kept_sha256 string",
