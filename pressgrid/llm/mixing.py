@@ -35,8 +35,8 @@ def text_form(text: Column, tokens: Column) -> Column:
 def tempered(cells: DataFrame, margin: str, power: float = TEMPER) -> DataFrame:
     """Target shares of a margin in proportion to a power of its tokens: ``margin``, ``share``."""
     sums = cells.groupBy(margin).agg(F.pow(F.sum("tokens"), F.lit(power)).alias("part"))
-    total = sums.agg(F.sum("part").alias("whole"))
-    return sums.crossJoin(total).select(margin, (F.col("part") / F.col("whole")).alias("share"))  # one row beside it
+    whole = sums.agg(F.sum("part")).first()[0] or 1.0
+    return sums.select(margin, (F.col("part") / whole).alias("share"))
 
 
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
@@ -48,9 +48,8 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
     shares = {}
     for margin, target in targets.items():
         here = target.join(cells.select(margin).distinct(), margin).select(margin, F.col("share").cast("double"))
-        total = here.agg(F.sum("share").alias("whole"))
-        shares[margin] = stage(
-            here.crossJoin(total).select(margin, (F.col("share") / F.col("whole")).alias("share")), "shares")
+        whole = here.agg(F.sum("share")).first()[0] or 1.0
+        shares[margin] = stage(here.select(margin, (F.col("share") / whole).alias("share")), "shares")
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
     mass = now.agg(F.sum("weight")).first()[0] or 0.0
     for _ in range(rounds):
