@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 CAPACITY = 4096
 END_ID = 2
 #: Words whose ids one task remembers before it starts anew.
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 600_000
 #: Words whose texts are encoded together.
 GROUP_WORDS = 100_000
 #: Sequences that one task may number.
@@ -28,6 +28,13 @@ _CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 _UNIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
+def _units(chunk: str) -> int:
+    """Units of a chunk: one for letters alone, two where a single mark follows them."""
+    if chunk.isalpha():
+        return 1
+    return 2 if chunk[-1] in ".,!?;:" and chunk[:-1].isalpha() else len(_UNIT.findall(chunk))
+
+
 class WordEncoder:
     """Ids of a text, put together from those of its chunks between white space, which are remembered.
 
@@ -50,7 +57,7 @@ class WordEncoder:
     def _learn(self, chunks: list[str]) -> None:
         """Encode new chunks in one line and cut it by their numbers of units; one by one where these do not agree."""
         plain = [x for x in chunks if "<|" not in x]
-        units = np.cumsum([len(_UNIT.findall(x)) for x in plain])
+        units = np.cumsum([_units(x) for x in plain])
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(plain) and len(ends) == units[-1] and ends[-1:] == len(ids):
@@ -150,6 +157,7 @@ def _pack(batches: Iterator[pd.DataFrame], path: str, capacity: int, end_id: int
                 yield frame(rows)
                 rows = []
         yield frame(rows)
+    encode.known.clear()  # the worker may serve other tasks next
     yield frame(bins.close())
 
 
