@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,7 +22,6 @@ GROUP_WORDS = 100_000
 #: Sequences that one task may number.
 PER_TASK = 1 << 40
 
-_CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 #: What the vocabulary's pre-tokenizer takes as one unit (a fixed value of the tokenizer file).
 _UNIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
@@ -35,51 +33,65 @@ def _units(chunk: str) -> int:
     return 2 if chunk[-1] in ".,!?;:" and chunk[:-1].isalpha() else len(_UNIT.findall(chunk))
 
 
+def _chunks(text: str) -> list[bytes]:
+    """What lies between ASCII white space, with A-Z lower-cased as the tokenizer does next.
+
+    Case is kept where that could matter before: with combining marks, which may compose with a small letter only, and
+    with the marks of special tokens.
+    """
+    data = text.encode("utf-8", "surrogatepass")
+    return (data if b"\xcc" in data or b"\xcd" in data or b"<|" in data else data.lower()).split()
+
+
 class WordEncoder:
     """Ids of a text, put together from those of its chunks between white space, which are remembered.
 
-    For a tokenizer that drops white space and never merges across it. ``word_end`` marks the last token of a unit.
+    For a tokenizer that lower-cases, drops white space and never merges across it. ``word_end`` marks the last token of
+    a unit.
     """
 
     def __init__(self, path: str, word_end: str = "</w>"):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[at for token, at in vocabulary.items() if token.endswith(word_end)]] = True
 
-    def _alone(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u4") for x in found]
+
+    def _alone(self, chunks: list[bytes]) -> None:
+        self.known.update(zip(chunks, (x.tobytes() for x in self._ids([x.decode() for x in chunks]))))
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: list[bytes]) -> None:
         """Encode new chunks in one line and cut it by their numbers of units; one by one where these do not agree."""
-        plain = [x for x in chunks if "<|" not in x]
-        units = np.cumsum([_units(x) for x in plain])
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
+        plain = [x for x in chunks if b"<|" not in x]
+        line = b" ".join(plain).decode()
+        units = np.cumsum([_units(x) for x in line.split(" ")]) if plain else np.zeros(1, dtype=int)
+        ids = self._ids([line])[0]
         ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(plain) and len(ends) == units[-1] and ends[-1:] == len(ids):
-            line, cuts = ids.tobytes(), [0, *(4 * ends[units - 1]).tolist()]
-            self.known.update(zip(plain, (line[a:b] for a, b in zip(cuts, cuts[1:]))))
+        if plain and len(units) == len(plain) and len(ends) == units[-1] and ends[-1:] == len(ids):
+            data, cuts = ids.tobytes(), [0, *(4 * ends[units - 1]).tolist()]
+            self.known.update(zip(plain, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
         else:
-            self.known.update(zip(plain, self._alone(plain)))
-        rest = [x for x in chunks if "<|" in x]
-        self.known.update(zip(rest, self._alone(rest)))
+            self._alone(plain)
+        self._alone([x for x in chunks if b"<|" in x])
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         group, size = [], 0
         for text in texts:
-            group.append(_CHUNK.findall(text))
+            group.append(_chunks(text))
             size += len(group[-1])
             if size >= GROUP_WORDS:
                 yield from self._group(group)
                 group, size = [], 0
         yield from self._group(group)
 
-    def _group(self, group: list[list[str]]) -> Iterator[bytes]:
+    def _group(self, group: list[list[bytes]]) -> Iterator[bytes]:
         wanted = set().union(*group)
         if new := list(wanted.difference(self.known)):
             if len(self.known) + len(new) > CACHE_WORDS:
@@ -157,7 +169,6 @@ def _pack(batches: Iterator[pd.DataFrame], path: str, capacity: int, end_id: int
                 yield frame(rows)
                 rows = []
         yield frame(rows)
-    encode.known.clear()  # the worker may serve other tasks next
     yield frame(bins.close())
 
 
