@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 CAPACITY = 4096
 END_ID = 2
 #: Words whose ids one task remembers before it starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 900_000
 #: Words whose texts are encoded together.
 GROUP_WORDS = 100_000
 #: Sequences that one task may number.
