@@ -44,9 +44,9 @@ class _Words:
 
 
 #: Anchors are found by 64 bits, as a false find costs one window; windows are told apart by 96. The
-#: lower half of ``h2`` is the part of the text: a hash that tells texts of one id apart.
-ANCHOR_ROWS = "h1 long, __order long, place int, known binary"
-WINDOW_ROWS = "h1 long, h2 long, __order long, place int, known binary"
+#: place of a window has the part of its text, a hash that tells texts of one id apart, in its upper half.
+ANCHOR_ROWS = "h1 long, place long, __order long, known binary"
+WINDOW_ROWS = "h1 long, h2 int, place long, __order long, known binary"
 
 
 def _shipped(documents: list, found: list[tuple[np.ndarray, np.ndarray]], earliest: bool) -> pd.DataFrame:
@@ -60,20 +60,21 @@ def _shipped(documents: list, found: list[tuple[np.ndarray, np.ndarray]], earlie
     places = np.concatenate([places for places, _ in found])
     hashes = np.concatenate([values for _, values in found])
     order = np.array([d[0] for d in documents], dtype=np.int64)
-    part = np.array([d[1] for d in documents], dtype=np.int64) & 0xFFFFFFFF
-    at = np.lexsort((places, order[owner], hashes[:, 1], hashes[:, 0]))
-    owner, places, hashes = owner[at], places[at], hashes[at]
+    part = np.array([d[1] for d in documents], dtype=np.int64) << PART if earliest else np.zeros_like(order)
+    full = part[owner] | places
+    at = np.lexsort((full, order[owner], hashes[:, 1], hashes[:, 0]))
+    owner, places, hashes, full = owner[at], places[at], hashes[at], full[at]
     first = np.ones(len(at), dtype=bool)
     first[1:] = (hashes[1:] != hashes[:-1]).any(axis=1)
     group = np.cumsum(first) - 1
     head = np.flatnonzero(first)[group]
     if earliest:  # strictly later than the first place: repeated rows of one document are not
-        settled = (order[owner] != order[owner[head]]) | (places != places[head])
+        settled = (order[owner] != order[owner[head]]) | (full != full[head])
     else:
         settled = np.bincount(group)[group] > 1
     sent = pd.DataFrame({
-        "h1": hashes[first, 0], "h2": hashes[first, 1] >> PART << PART | part[owner[first]],
-        "__order": order[owner[first]], "place": places[first].astype("int32"),
+        "h1": hashes[first, 0], "h2": (hashes[first, 1] >> PART).astype("int32"), "place": full[first],
+        "__order": order[owner[first]],
     })
     sent["known"] = None
     known = []
@@ -82,7 +83,7 @@ def _shipped(documents: list, found: list[tuple[np.ndarray, np.ndarray]], earlie
         whose, where = owner[settled][by], places[settled][by].astype("<i4")
         cuts = np.flatnonzero(whose[1:] != whose[:-1]) + 1
         for own, doc in zip(np.split(where, cuts), whose[[0, *cuts]]):
-            known.append((hash(documents[doc]), part[doc], order[doc], -1, own.tobytes()))  # spread over tasks
+            known.append((hash(documents[doc]), 0, part[doc], order[doc], own.tobytes()))  # spread over tasks
     if known:
         sent = pd.concat([sent, pd.DataFrame(known, columns=list(sent.columns))], ignore_index=True)
     return sent if earliest else sent.drop(columns="h2")
@@ -201,7 +202,8 @@ def remove_repeats(
 
     Words are runs without ASCII white space. Null and empty texts have no words. Rows without an id have no place in the
     order: they keep all their words and take none from others. Rows that repeat id and text are judged alike, none of
-    them earlier than the other; different texts of one id are told apart by 32 bits of a hash. Columns of ``docs`` with the names of
+    them earlier than the other; different texts of one id are told apart, and
+    ordered, by 32 bits of a hash. Columns of ``docs`` with the names of
     results are replaced. An empty table gives no rows.
     """
     added = ("n_words", "n_removed", "kept_text", "kept_sha256", "removed")
@@ -223,10 +225,8 @@ def remove_repeats(
     shared = anchors.withColumn("n", F.count(F.lit(1)).over(alike)).filter((F.col("n") > 1) | settled)
     windows = texts.join(_gathered(shared), "__order").mapInPandas(
         lambda b: _windows(b, window, batch_hashes), WINDOW_ROWS)
-    rank = F.rank().over(Window.partitionBy(settled, "h1", F.shiftright("h2", PART)).orderBy("__order", "place"))
-    later = windows.withColumn("n", rank).filter((F.col("n") > 1) | settled).withColumn(
-        "place", F.shiftleft("h2", PART).bitwiseOR(F.col("place").cast("long").bitwiseAND(0xFFFFFFFF))
-    )
+    rank = F.rank().over(Window.partitionBy(settled, "h1", "h2").orderBy("__order", "place"))
+    later = windows.withColumn("n", rank).filter((F.col("n") > 1) | settled)
     marked = flagged.join(_gathered(later), "__order", "left")
     nameless = own.filter(order.isNull()).select(*kept, F.col(text_column).alias("__text"), "__order", "__part")
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
