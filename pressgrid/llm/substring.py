@@ -121,7 +121,7 @@ def _windows(batches: Iterator[pd.DataFrame], window: int, most: int) -> Iterato
     documents, found, held = [], [], 0
     for batch in batches:
         for order, own, text, places, known in zip(
-            *(batch[x] for x in ("__order", "__part", "__text", "places", "known"))
+            *(batch[x] for x in ("__order", "__part", "__text", "__places", "__known"))
         ):
             words = _Words(text)
             last = len(words.words) - window
@@ -153,7 +153,7 @@ def _kept(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame
     for batch in batches:
         rows = []
         for text, part, copies, places, known in zip(
-            *(batch[x] for x in ("__text", "__part", "copies", "places", "known"))
+            *(batch[x] for x in ("__text", "__part", "__copies", "__places", "__known"))
         ):
             words = _Words(text)
             count = len(words.words)
@@ -172,7 +172,7 @@ def _kept(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame
                 count, removed, kept.decode("utf-8", "surrogatepass"), hashlib.sha256(kept).hexdigest(),
                 [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)],
             ))
-        out = batch.drop(columns=["__text", "copies", "places", "known", "__order", "__part"]).reset_index(drop=True)
+        out = batch.drop(columns=["__text", "__copies", "__places", "__known", "__order", "__part"]).reset_index(drop=True)
         names = ["n_words", "n_removed", "kept_text", "kept_sha256", "removed"]
         yield pd.concat([out, pd.DataFrame(rows, columns=names, dtype=object)], axis=1)
 
@@ -180,8 +180,8 @@ def _kept(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame
 def _gathered(rows: DataFrame) -> DataFrame:
     packed = F.col("known").isNotNull()
     return rows.groupBy("__order").agg(
-        F.collect_list(F.when(~packed, F.col("place"))).alias("places"),
-        F.collect_list(F.when(packed, F.struct("place", "known"))).alias("known"),
+        F.collect_list(F.when(~packed, F.col("place"))).alias("__places"),
+        F.collect_list(F.when(packed, F.struct("place", "known"))).alias("__known"),
     )
 
 
@@ -215,11 +215,11 @@ def remove_repeats(
         "__order", "__part", F.md5(text_column).alias("digest"))
     first = digests.groupBy("digest").agg(F.min("__order").alias("first"))
     copies = digests.join(first, "digest").filter("__order > first").groupBy("__order").agg(
-        F.collect_set("__part").alias("copies"))
+        F.collect_set("__part").alias("__copies"))
     settled = F.col("known").isNotNull()
 
     flagged = texts.join(copies, "__order", "left")  # alike in each step: one exchange of texts
-    fresh = flagged.filter(F.col("copies").isNull() | ~F.array_contains("copies", F.col("__part")))
+    fresh = flagged.filter(F.col("__copies").isNull() | ~F.array_contains("__copies", F.col("__part")))
     anchors = fresh.mapInPandas(lambda b: _anchors(b, window, batch_hashes), ANCHOR_ROWS)
     alike = Window.partitionBy(settled, "h1")
     shared = anchors.withColumn("n", F.count(F.lit(1)).over(alike)).filter((F.col("n") > 1) | settled)
