@@ -130,9 +130,10 @@ FILTERS = {
 }
 
 
-def _sort(note: str) -> str:
+def _sort(order: str) -> str:
     return _with(FEED) + f"""
-    SELECT event_id, seendate, round(tone, 6) AS tone, window_index, position FROM feed -- {note}"""
+    SELECT event_id, seendate, round(tone, 6) AS tone, window_index, position,
+           row_number() OVER (ORDER BY {order}) AS rank FROM feed"""
 
 
 def _rebucket(size: str, value: str) -> str:
@@ -329,11 +330,11 @@ ORACLES: dict[str, str] = {
     "dedup_count": _with(FEED, DEDUP) + """
     SELECT count(*) AS raw_article_count, count(*) FILTER (rn = 1) AS deduplicated_article_count,
            count(*) FILTER (rn > 1) AS duplicates_removed FROM ranked""",
-    "sort_date_desc": _sort("newest first"),
-    "sort_date_asc": _sort("oldest first"),
-    "sort_tone_desc": _sort("highest tone first"),
-    "sort_tone_asc": _sort("lowest tone first"),
-    "sort_relevance": _sort("fetch order"),
+    "sort_date_desc": _sort("seendate DESC, window_index, position"),
+    "sort_date_asc": _sort("seendate, window_index, position"),
+    "sort_tone_desc": _sort("window_index, tone DESC NULLS LAST, position"),
+    "sort_tone_asc": _sort("window_index, tone ASC NULLS LAST, position"),
+    "sort_relevance": _sort("window_index, position"),
     "timeline_normalize": _with(TIMELINE) + f"""
     SELECT strftime(moment, {ISO}) AS bucket_start, round(v, 6) AS value, 'article_count' AS metric,
            round(norm, 6) AS norm, NULL::VARCHAR AS label FROM points WHERE v IS NOT NULL""",
@@ -421,6 +422,24 @@ ORACLES: dict[str, str] = {
            count(*) FILTER (chosen AND state = 'error') AS failed,
            count(*) FILTER (NOT chosen OR state = 'skipped') AS skipped, 150 AS "limit"
     FROM (SELECT state, doc_id IN (SELECT doc_id FROM first) AS chosen FROM status)""",
+    "extract_pages_empty": f"""
+    SELECT page_id, url, CASE WHEN page_id % 20 = 0 THEN 'error' ELSE 'ok' END AS status, page_id % 20 <> 0 AS success,
+           CASE WHEN page_id % 20 = 0 THEN 'page has no content' END AS error,
+           CASE WHEN page_id % 20 <> 0 THEN nullif({PAGE_LANGUAGE}, '') END AS language FROM pages""",
+    "enrich_copies": _with(CORPUS, LINKED, STATUS) + """
+    SELECT doc_id, url, CASE WHEN state = 'ok' AND page_id % 20 = 0 THEN 'error' ELSE state END AS scrape_status,
+           CASE WHEN state = 'skipped' THEN 'missing url' WHEN state = 'error' THEN 'page not found'
+                WHEN page_id % 20 = 0 THEN 'page has no content' END AS scrape_error FROM status""",
+    "landed_windows": _with(FEED) + """
+    SELECT (date_diff('day', TIMESTAMP '2024-01-05', seen_at) + 1)::INTEGER AS index, count(*) AS articles FROM feed
+    WHERE seen_at BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-09 12:00:00' GROUP BY ALL""",
+    "read_articles": _with(FEED) + """
+    SELECT url, title, seendate, domain, language, sourcecountry, round(tone, 6) AS tone,
+           (row_number() OVER (PARTITION BY window_index ORDER BY position) - 1)::INTEGER AS position FROM feed""",
+    "dataset_quality": """
+    SELECT unnest(['articles', 'trend_series', 'entity_tracking', 'languages', 'source_countries', 'domains',
+                   'matched_entities', 'summary', 'windows', 'coverage', 'sentiment_series', 'enrichment']) AS contract,
+           0::BIGINT AS records_bad, true AS validated""",
     "enrich_errors": _with(CORPUS, LINKED, STATUS) + """
     SELECT window_index, position, url || ': page not found' AS error FROM status WHERE state = 'error'""",
     "flat_articles": _with(CORPUS) + f"""

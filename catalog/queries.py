@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog import views
@@ -20,8 +20,11 @@ from pressgrid.schemas import SERIES
 from pressgrid.sources import (
     flatten_articles,
     land_articles,
+    read_articles,
     read_corpus,
+    read_pages,
     shared_folder,
+    stage,
     write_articles_csv,
     write_sections,
 )
@@ -172,9 +175,14 @@ def _dedup_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _sort(sort: Sort) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return dedup.sort_articles(views.feed(spark, folder), sort).select(
-            "event_id", "seendate", F.round("tone", 6).alias("tone"), "window_index", "position"
-        )
+        # A row's rank is its place in its sorted partition and the rows of the partitions before it.
+        rows = stage(dedup.sort_articles(views.feed(spark, folder), sort).select(
+            "event_id", "seendate", F.round("tone", 6).alias("tone"), "window_index", "position",
+            F.spark_partition_id().alias("part"), (F.monotonically_increasing_id() % (1 << 33)).alias("place"),
+        ), "sorted")
+        counts = rows.groupBy("part").agg(F.count("*").alias("rows"))
+        before = counts.select("part", (F.sum("rows").over(Window.orderBy("part")) - F.col("rows")).alias("before"))
+        return rows.join(before, "part").withColumn("rank", F.col("before") + F.col("place") + 1).drop("part", "place", "before")
 
     return run
 
@@ -301,6 +309,44 @@ def _enrich_errors(spark: SparkSession, folder: str) -> DataFrame:
     return pages.enrichment_errors(_enriched(spark, folder))
 
 
+def _extract_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages of which every 20th has no HTML."""
+    rows = read_pages(spark, f"{folder}/pages.parquet")
+    rows = rows.withColumn("html", F.when(F.col("page_id") % 20 != 0, F.col("html")))
+    return pages.extract_pages(rows).select("page_id", "url", "status", "success", "error", "language")
+
+
+def _enrich_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Every 20th page without HTML, every tenth address with an earlier copy without HTML."""
+    rows = views.table(spark, folder, "pages").select("page_id", "url", "html")
+    rows = rows.withColumn("html", F.when(F.col("page_id") % 20 != 0, F.col("html")))
+    copies = rows.filter("page_id % 10 = 0").select(
+        (F.col("page_id") - (1 << 40)).alias("page_id"), "url", F.lit(None).cast("string").alias("html")
+    )
+    return pages.enrich_articles(views.linked(spark, folder), rows.unionByName(copies)).select(
+        "doc_id", "url", F.col("scraped.status").alias("scrape_status"), F.col("scraped.error").alias("scrape_error")
+    )
+
+
+def _read_articles(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed as response files, one a window, read back."""
+    where = _target(spark, "responses")
+    article = F.struct("position", "url", "title", "seendate", "domain", "language", "sourcecountry", "tone", "themes")
+    responses = views.feed(spark, folder).groupBy("window_index").agg(F.sort_array(F.collect_list(article)).alias("articles"))
+    responses.drop("window_index").write.option("maxRecordsPerFile", 1).json(where)
+    return read_articles(spark, where).select(
+        "url", "title", "seendate", "domain", "language", "sourcecountry", F.round("tone", 6).alias("tone"), "position"
+    )
+
+
+def _landed_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of a few days of a corpus that is partitioned by day."""
+    where = _target(spark, "corpus")
+    land_articles(views.feed(spark, folder), where)
+    days = TimeRange("2024-01-05", "2024-01-09T12:00:00Z")
+    return windows.assign_windows(read_corpus(spark, where), days, 24).groupBy("index").agg(F.count("*").alias("articles"))
+
+
 def _flat(spark: SparkSession, folder: str) -> DataFrame:
     return flatten_articles(
         art.normalize_articles(views.read_corpus_as_pages(spark, folder), KEYWORDS, PHRASES, ENTITIES, ("ENV",))
@@ -452,15 +498,19 @@ QUERIES: dict[str, Query] = {
     "coverage_summary": _coverage,
     "coverage_warnings": _warnings,
     "extract_pages": _extract,
+    "extract_pages_empty": _extract_empty,
     "enrich_articles": _enrich(None),
     "enrich_limit": _enrich(150),
     "enrich_summary": _enrich_summary,
     "enrich_errors": _enrich_errors,
+    "enrich_copies": _enrich_copies,
     "flat_articles": _flat,
     "write_articles_csv": _csv,
     "write_sections_json": _sections("json"),
     "write_sections_parquet": _sections("parquet"),
     "landed_corpus": _landed,
+    "landed_windows": _landed_windows,
+    "read_articles": _read_articles,
     "quality_violations": _violations,
     "quality_json_violations": _json_violations,
     "quality_summary": _quality_summary,
@@ -473,4 +523,5 @@ QUERIES: dict[str, Query] = {
     "dataset_summary": _dataset("summary"),
     "dataset_coverage": _dataset("coverage"),
     "dataset_domains": _dataset("domains", "value", "count"),
+    "dataset_quality": _dataset("quality", "contract", "records_bad", "validated"),
 }

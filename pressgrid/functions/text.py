@@ -125,14 +125,17 @@ def count_words(folded: Column, words: list[str]) -> Column:
 
 
 def words_within(folded: Column, words: list[str], distance: int) -> Column:
-    """True when all ``words`` occur inside one stretch of ``distance`` words.
+    """True when all ``words`` occur inside one stretch of ``distance`` words; a word given n times must occur n times.
 
-    One pass over the hits keeps the latest position of each word; the stretch ends at the current hit
-    and starts at the oldest of these positions, so no pair of positions is ever formed. Words absent
-    from the text as plain substrings rule it out before it is split.
+    One pass over the hits keeps the latest positions of each word, as many as the word is given times; the stretch
+    ends at the current hit and starts at the oldest of these positions, so no pair of positions is ever formed. Words
+    absent from the text as plain substrings rule it out before it is split.
     """
     wanted = list(dict.fromkeys(words))
     terms = F.array(*map(F.lit, wanted))
+    # One slot for each kept position, those of a word side by side with the latest last.
+    slots = [term for term, word in enumerate(wanted, 1) for _ in range(words.count(word))]
+    owners = F.array(*map(F.lit, slots))
     hits = F.filter(
         F.transform(
             F.split(folded, WORD_SEPARATOR),
@@ -141,13 +144,16 @@ def words_within(folded: Column, words: list[str], distance: int) -> Column:
         lambda hit: hit["slot"] > 0,
     )
     never = F.lit(-(1 << 30))
-    start = F.struct(F.array(*[never] * len(wanted)).alias("last"), F.lit(False).alias("found"))
+    start = F.struct(F.array(*[never] * len(slots)).alias("last"), F.lit(False).alias("found"))
 
     def step(state: Column, hit: Column) -> Column:
-        last = F.transform(
-            state["last"],
-            lambda at, slot: F.when(slot + 1 == hit["slot"], hit["at"]).otherwise(at),
-        )
+        def moved(at: Column, slot: Column) -> Column:
+            own, following = F.get(owners, slot) == hit["slot"], F.get(owners, slot + 1) == hit["slot"]
+            if len(slots) == len(wanted):
+                return F.when(own, hit["at"]).otherwise(at)
+            return F.when(own & following, F.get(state["last"], slot + 1)).when(own, hit["at"]).otherwise(at)
+
+        last = F.transform(state["last"], moved)
         span = hit["at"] - F.array_min(last)
         return F.struct(last.alias("last"), (state["found"] | (span <= distance)).alias("found"))
 

@@ -86,6 +86,7 @@ def normalize_articles(
     """
     page = _scraped_columns(articles)
     url = clean(F.col("url"))
+    parsed = seen_timestamp(F.col("seendate"), strict_dates)
     order = [c for c in ("window_index", "position") if c in articles.columns]
     listed = [c for c in articles.columns if c not in (*order, "text", "seen_at", "seen_date")]
     values = {
@@ -93,7 +94,7 @@ def normalize_articles(
         "title": clean(F.col("title")),
         "url": url,
         "mobile_url": clean(F.col("url_mobile")),
-        "seen_at": seen_timestamp(F.col("seendate"), strict_dates),
+        "seen_at": F.coalesce(F.col("seen_at"), parsed) if "seen_at" in articles.columns else parsed,
         "domain": clean(F.col("domain")),
         "language": clean(F.col("language")),
         "source_country": clean(F.col("sourcecountry")),

@@ -24,6 +24,7 @@ from pressgrid.plans.request import Sort
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EXCERPT_LENGTH = 280
+NO_CONTENT = "page has no content"
 # Where a field is looked up in a page's metadata, first non-empty entry first.
 DESCRIPTION_KEYS = ("og:description", "description", "twitter:description")
 PUBLISHED_KEYS = ("article:published_time", "parsely-pub-date", "pubdate", "date", "og:pubdate")
@@ -108,6 +109,9 @@ def _read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         pieces = []
         for html, charset in zip(batch.pop("_html"), batch.pop("_charset"), strict=True):
+            if html is None:
+                pieces.append({"error": NO_CONTENT})
+                continue
             try:
                 text = html if isinstance(html, str) else bytes(html).decode(charset or "utf-8", "replace")
                 pieces.append(page_pieces(text))
@@ -133,13 +137,11 @@ def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Article fields of each page, next to all columns of ``pages`` other than the HTML.
 
     ``html`` may be text, or bytes with their encoding in an optional ``charset`` column (UTF-8 if absent;
-    undecodable bytes are replaced). A page that cannot be read gets status ``error``.
+    undecodable bytes are replaced). A page that cannot be read, or has null HTML, gets status ``error``.
     """
     kept = [c for c in pages.columns if c not in (html, "charset")]
     charset = F.col("charset") if "charset" in pages.columns else F.lit(None).cast("string")
-    readable = pages.filter(F.col(html).isNotNull()).select(
-        *kept, F.col(html).alias("_html"), charset.alias("_charset")
-    )
+    readable = pages.select(*kept, F.col(html).alias("_html"), charset.alias("_charset"))
     schema = T.StructType(
         [pages.schema[c] for c in kept]
         + [T.StructField(f"_{field.name}", field.dataType) for field in _PIECES]
@@ -167,17 +169,25 @@ def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     })
 
 
-def landed_pages(pages: DataFrame, addresses: DataFrame, order: str = "page_id") -> DataFrame:
-    """One landed page for each of the addresses: the first in ``order``, which must not be null.
+def landed_pages(pages: DataFrame, addresses: DataFrame, order: str = "page_id", html: str = "html") -> DataFrame:
+    """One landed page for each of the addresses: the first in ``order`` of those with HTML, or of all if none has any.
 
-    Which page that is comes from addresses and ``order`` alone, counted up before any shuffle. The HTML then
-    moves once, spread by both, so that copies of one address do not meet in one task.
+    Nulls of ``order`` come last; copies that share it are told apart by their HTML. Which page to take comes from
+    addresses, ``order`` and the presence of HTML, counted up before any shuffle. The HTML then moves once, spread by
+    address and ``order``, so that copies of one address do not meet in one task.
     """
     named = pages.withColumn("url", strip(F.col("url")))
-    first = named.groupBy("url").agg(F.min(order).alias(order)).join(addresses.distinct(), "url", "left_semi")
-    once = F.row_number().over(Window.partitionBy("url", order).orderBy(F.lit(0)))
+    filled = F.col(html).isNotNull()
+    first = (
+        named.groupBy("url")
+        .agg(F.max(filled).alias("_filled"), F.min(F.when(filled, F.col(order))).alias("_read"), F.min(order).alias("_any"))
+        .join(addresses.distinct(), "url", "left_semi")
+        .select(F.col("url").alias("_url"), "_filled", F.when(F.col("_filled"), F.col("_read")).otherwise(F.col("_any")).alias("_order"))
+    )
+    chosen = (F.col("url") == F.col("_url")) & F.col(order).eqNullSafe(F.col("_order")) & (filled == F.col("_filled"))
+    once = F.row_number().over(Window.partitionBy("url", order).orderBy(F.col(html).asc_nulls_last()))
     return (
-        named.join(first, ["url", order], "left_semi")
+        named.join(first, chosen, "left_semi")
         .withColumn("_copy", once).filter(F.col("_copy") == 1).drop("_copy")
     )
 

@@ -136,9 +136,16 @@ def scope_tests(spec: Filters) -> list[Column]:
 
 
 def _repeats(spec: Filters) -> list[tuple[list[str], int]]:
-    """Repeated terms as words and counts, leaving out those that ask for nothing."""
-    wanted = [(fold_words(term), count) for term, count in spec.repeated_terms.items()]
-    return [(words, count) for words, count in wanted if words and count > 0]
+    """Repeated terms as words and counts, leaving out those whose count asks for nothing."""
+    return [(_words(term), count) for term, count in spec.repeated_terms.items() if count > 0]
+
+
+def _words(term: str) -> list[str]:
+    """The folded words of a term; one without letters or digits could never be counted and is refused."""
+    words = fold_words(term)
+    if not words:
+        raise ValueError(f"the term {term!r} has no letters or digits")
+    return words
 
 
 def text_test(spec: Filters, space: Column) -> Column | None:
@@ -159,7 +166,7 @@ def text_test(spec: Filters, space: Column) -> Column | None:
     for words, count in _repeats(spec):
         tests.append(space.contains(words[0]) & (count_words(space, words) >= count))
     for near in spec.proximity:
-        tests.append(words_within(space, fold_words(" ".join(near.terms)), near.distance))
+        tests.append(words_within(space, [word for term in near.terms for word in _words(term)], near.distance))
     return _all(tests) if tests else None
 
 
@@ -216,25 +223,32 @@ def in_range(date_range: TimeRange, column: str = "seen_at") -> Column:
     return test
 
 
+def within(articles: DataFrame, date_range: TimeRange, column: str = "seen_at") -> DataFrame:
+    """Articles inside the time range.
+
+    A ``seen_date`` column, by which landed tables are partitioned, is tested as well, so that directories outside
+    the range are never listed.
+    """
+    articles = articles.filter(in_range(date_range, column))
+    if column != "seen_at" or "seen_date" not in articles.columns:
+        return articles
+    limits = bounds(date_range)
+    if limits.start:
+        articles = articles.filter(F.col("seen_date") >= F.lit(limits.start.date()))
+    if limits.end:
+        articles = articles.filter(F.col("seen_date") <= F.lit(limits.end.date()))
+    return articles
+
+
 def select_articles(
     articles: DataFrame,
     spec: Filters,
     date_range: TimeRange | None = None,
     text_columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Articles that pass the filters and the time range.
-
-    A ``seen_date`` column, by which landed tables are partitioned, is tested as well, so that
-    directories outside the range are never listed.
-    """
+    """Articles that pass the filters and the time range."""
     if text_columns is None:
         text_columns = CORPUS_TEXT if "text" in articles.columns else LISTED_TEXT
     if date_range is not None:
-        articles = articles.filter(in_range(date_range))
-        limits = bounds(date_range)
-        if "seen_date" in articles.columns:
-            if limits.start:
-                articles = articles.filter(F.col("seen_date") >= F.lit(limits.start.date()))
-            if limits.end:
-                articles = articles.filter(F.col("seen_date") <= F.lit(limits.end.date()))
+        articles = within(articles, date_range)
     return articles.filter(article_predicate(spec, text_columns))

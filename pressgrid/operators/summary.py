@@ -59,7 +59,7 @@ def ranking(
     if name == "matched_entities":
         # Inside one article, entities appear in the order in which they were asked for.
         place = F.col("appearance").cast("decimal(38,0)") * F.lit(_MAX_TERMS) + F.col("at")
-        rows = rows.select("appearance", F.posexplode(column).alias("at", column))
+        rows = rows.select("appearance", F.posexplode_outer(column).alias("at", column))
         rows = rows.select(column, place.cast("decimal(38,0)").alias("appearance"))
     return ranked_counts(rows, column)
 

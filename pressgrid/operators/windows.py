@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressgrid.functions.times import iso_utc
-from pressgrid.operators.predicates import bounds, in_range
+from pressgrid.operators.predicates import bounds, within
 from pressgrid.plans.request import Sort, TimeRange
 
 SECOND = 1_000_000  # microseconds
@@ -106,7 +106,7 @@ def assign_windows(
 ) -> DataFrame:
     """Rows inside the range with the 1-based ``index`` of their fixed window, computed without a join."""
     grid = _Grid(date_range, hours)
-    return articles.filter(in_range(date_range, seen)).withColumn("index", grid.index(F.col(seen)) + 1)
+    return within(articles, date_range, seen).withColumn("index", grid.index(F.col(seen)) + 1)
 
 
 def _seconds(articles: DataFrame, grid: _Grid, seen: str) -> DataFrame:
@@ -223,7 +223,7 @@ def window_tree(
 ) -> DataFrame:
     """All windows visited while halving, inner ones and leaves, with bounds and row counts."""
     grid = _Grid(date_range, hours)
-    inside = articles.filter(in_range(date_range, seen))
+    inside = within(articles, date_range, seen)
     tree = _tree(_seconds(inside, grid, seen), grid, max_rows)
     base, lo = F.col("base"), F.col("lo")
     return tree.select(
@@ -238,7 +238,7 @@ def adaptive_windows(
 ) -> DataFrame:
     """The window table: leaves of the halving in time order, with their coverage."""
     grid = _Grid(date_range, hours)
-    inside = articles.filter(in_range(date_range, seen))
+    inside = within(articles, date_range, seen)
     leaves = _tree(_seconds(inside, grid, seen), grid, max_rows).filter("leaf")
     return _window_rows(_numbered(leaves), grid, max_rows)
 
@@ -294,7 +294,7 @@ def collect_articles(
     one block; the articles then look their second up by equality.
     """
     grid = _Grid(date_range, hours)
-    inside = articles.filter(in_range(date_range, seen)).drop("window_index", "position")
+    inside = within(articles, date_range, seen).drop("window_index", "position")
     seconds = _seconds(inside, grid, seen)
     leaves = _tree(seconds, grid, max_rows).filter("leaf")
     # A leaf marks every block it reaches into, so that each block can be searched on its own.

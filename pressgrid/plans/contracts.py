@@ -46,8 +46,9 @@ ARTICLE = record_contract(
      "scraped_text_length", "raw"),
     raw={"type": "object"},
 )
-TREND = record_contract(schemas.SERIES, ("bucket_start", "value", "metric"), metric={"enum": [VOLUME_METRIC]})
-SENTIMENT = record_contract(schemas.SERIES, ("bucket_start", "value", "metric"), metric={"enum": [TONE_METRIC]})
+_KEPT = ("bucket_start", "value", "metric", "source")
+TREND = record_contract(schemas.SOURCED_SERIES, _KEPT, metric={"enum": [VOLUME_METRIC]})
+SENTIMENT = record_contract(schemas.SOURCED_SERIES, _KEPT, metric={"enum": [TONE_METRIC]})
 
 
 def _table(**kinds: str | list[str]) -> dict[str, Any]:
@@ -58,7 +59,7 @@ def _table(**kinds: str | list[str]) -> dict[str, Any]:
 
 
 ENTITY_TRACKING = _table(bucket_start="string", entity="string", article_count="integer")
-RANKED = _table(value="string", count="integer")
+RANKED = _table(value="string", count="integer", first_at="number")
 WINDOW = _table(
     index="integer", start=["string", "null"], end=["string", "null"], timespan=["string", "null"],
     returned_articles="integer", truncated="boolean", split_depth="integer", adaptive_split="boolean",

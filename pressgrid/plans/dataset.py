@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
-from functools import cache, partial
+from functools import cache, partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressgrid.functions.times import seen_timestamp, use_utc
 from pressgrid.operators.articles import normalize_articles
-from pressgrid.operators.dedup import dedup_articles
+from pressgrid.operators.dedup import dedup_articles, fetch_order
 from pressgrid.operators.pages import enrich_articles, enrichment_errors, enrichment_summary
-from pressgrid.operators.predicates import CORPUS_TEXT, LISTED_TEXT, article_predicate, in_range, select_articles
+from pressgrid.operators.predicates import CORPUS_TEXT, LISTED_TEXT, article_predicate, select_articles, within
 from pressgrid.operators.quality import quality_summary
 from pressgrid.operators.series import (
     COMPUTED,
@@ -39,7 +39,7 @@ from pressgrid.operators.windows import (
     window_tree,
 )
 from pressgrid.plans.contracts import CONTRACTS
-from pressgrid.plans.request import Request
+from pressgrid.plans.request import Request, Sort
 from pressgrid.sources.staging import stage
 
 
@@ -114,7 +114,7 @@ def build_dataset(
         if timeline is not None:
             return normalize_timeline(timeline, VOLUME_METRIC)
         if request.include_timeline:
-            return volume_timeline(corpus.filter(in_range(span)), article_predicate(spec, texts), size)
+            return volume_timeline(within(corpus, span), article_predicate(spec, texts), size)
         return None
 
     def trend() -> DataFrame:
@@ -144,9 +144,9 @@ def build_dataset(
         return series_source(sentiment(), tone_source, NO_SOURCE, "sentiment_source")
 
     builders: dict[str, Callable[[], DataFrame | None]] = {
-        "articles": articles,
-        "trend_series": trend,
-        "entity_tracking": lambda: entity_tracking(articles(), size),
+        "articles": lambda: _in_order(articles(), sort),
+        "trend_series": lambda: trend().orderBy("bucket_start"),
+        "entity_tracking": lambda: entity_tracking(articles(), size).orderBy("bucket_start", "entity"),
         **{name: partial(ranking, articles, name, sort) for name in RANKINGS},
         "summary": lambda: dataset_summary(articles(), raw()),
         "analysis_targets": lambda: analysis_targets(spark, spec.entities, size),
@@ -157,15 +157,29 @@ def build_dataset(
         "sentiment_source": sentiment_source,
     }
     if tone is not None or request.include_tone_timeline:
-        builders["sentiment_series"] = sentiment
+        builders["sentiment_series"] = lambda: sentiment().orderBy("bucket_start")
     if request.scrape_articles:
         builders["enrichment"] = lambda: enrichment_summary(articles(), request.scrape_limit)
         builders["enrichment_errors"] = lambda: enrichment_errors(articles())
     if request.validate_schema:
-        builders["quality"] = lambda: quality_summary(articles(), _article_contract(articles()), "articles")
+        checked = [name for name in builders if name in CONTRACTS]
+        builders["quality"] = lambda: reduce(
+            DataFrame.unionAll, (_checked(name, articles() if name == "articles" else builders[name]()) for name in checked)
+        )
     return Dataset(builders)
 
 
+def _in_order(articles: DataFrame, sort: Sort) -> DataFrame:
+    """Finished articles in sort order. Positions follow the tone already, where tone was asked for."""
+    seen = F.col("seen_at")
+    first = {Sort.NEWEST: [seen.desc_nulls_last()], Sort.OLDEST: [seen.asc_nulls_first()]}.get(sort, [])
+    return articles.orderBy(*first, *fetch_order())
+
+
+def _checked(name: str, rows: DataFrame) -> DataFrame:
+    return quality_summary(rows, _article_contract(rows) if name == "articles" else CONTRACTS[name], name)
+
+
 def _article_contract(articles: DataFrame) -> dict:
     """The article contract, fetch-order columns of the table being allowed beside it."""
     contract = CONTRACTS["articles"]

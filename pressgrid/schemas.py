@@ -38,6 +38,8 @@ ARTICLE = _struct(
 )
 
 SERIES = _struct(bucket_start=TIMESTAMP, value=DOUBLE, metric=STRING, norm=DOUBLE, label=STRING)
+# A series in the buckets asked for, with the name of where it came from.
+SOURCED_SERIES = T.StructType([*SERIES, T.StructField("source", STRING)])
 
 # A timeline as a source lists it: alternative names for the same thing, all as text.
 LISTED_POINT = _struct(**{

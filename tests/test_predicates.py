@@ -44,6 +44,9 @@ def picked(raw):
     (dict(tone_abs_min=2, tone_abs_max=7), [0]),
     (dict(proximity=[Near(2, ("climate", "and"))]), [0]),
     (dict(proximity=[Near(1, ("climate", "and"))]), []),
+    (dict(proximity=[Near(5, ("emissions", "emissions"))]), [0]),  # a word asked for twice must occur twice
+    (dict(proximity=[Near(1, ("emissions", "emissions"))]), []),
+    (dict(proximity=[Near(9, ("policy", "policy"))]), []),
     (dict(repeated_terms={"emissions": 2}), [0]),
     (dict(repeated_terms={"emissions": 3}), []),
     (dict(exclude_terms=["sports"]), [0, 2, 3]),
@@ -67,6 +70,9 @@ def test_errors():
         article_predicate(Filters(keywords=[" "], repeated_terms={"x": 0}))
     with pytest.raises(ValueError, match="cannot be empty"):
         article_predicate(Filters(exact_phrases=['""']))
+    for spec in (Filters(keywords=["c"], repeated_terms={"@": 3}), Filters(proximity=[Near(1, ("c", "@"))])):
+        with pytest.raises(ValueError, match="no letters or digits"):
+            article_predicate(spec)
     with pytest.raises(ValueError, match="match_mode"):
         article_predicate(Filters(keywords=["a"], match_mode="most"))
     # The mode matters only where there is content to combine.
