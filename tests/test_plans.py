@@ -7,7 +7,9 @@ import pytest
 from catalog.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-PYTHON = ("extract_pages", "enrich_articles", "enrich_limit", "enrich_summary", "enrich_errors", "summary")
+PYTHON = (
+    "extract_pages", "extract_pages_empty", "enrich_articles", "enrich_copies", "enrich_limit", "enrich_summary", "enrich_errors", "summary",
+)
 
 
 def plan(spark, name):
