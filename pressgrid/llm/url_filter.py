@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressgrid.functions.text import let
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BUCKETS = 1 << 14
 #: Labelled addresses that a model may be fitted on; they are few by nature and judged by hand.
@@ -69,7 +71,7 @@ def path_of(url: Column) -> Column:
 
 
 def _part(url: Column, group: int) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^(?:(?!://).)*://([^/?#]*)([^?#]*)", group), F.lit(""))
+    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)([^?#]*)", group), F.lit(""))
 
 
 def listed(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
@@ -83,15 +85,21 @@ def listed(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def ngrams(host: Column, path: Column, sizes: Sequence[int] = (3, 4, 5)) -> Column:
-    """Character n-grams of host and path, each marked with where it comes from."""
-    def cut(framed: Column, mark: str, size: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length(framed) - size + 1, F.lit(1)))
-        return F.transform(starts, lambda at: F.concat(F.lit(mark), framed.substr(at, F.lit(size))))
+    """Character n-grams of host and path, each marked with where it comes from.
 
-    parts = [
-        cut(F.concat(F.lit("^"), text, F.lit("$")), mark, size) for mark, text in (("h", host), ("p", path)) for size in sizes
-    ]
-    return F.array_distinct(F.concat(*parts))
+    A text is parted into characters once, so that the work grows with its length and not with the square of it.
+    """
+    def cut(letters: Column, mark: str, size: int) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(letters) - size, F.lit(0)))
+        return F.transform(starts, lambda at: F.concat(
+            F.lit(mark), *(F.coalesce(F.get(letters, at + k), F.lit("")) for k in range(size))
+        ))
+
+    def all_sizes(text: Column, mark: str) -> Column:
+        framed = F.concat(F.lit("^"), text, F.lit("$"))
+        return let(F.split(framed, ""), lambda letters: F.concat(*(cut(letters, mark, size) for size in sizes)))
+
+    return F.array_distinct(F.concat(all_sizes(host, "h"), all_sizes(path, "p")))
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
