@@ -16,8 +16,8 @@ TABLES, PROBES, SECOND_AXES = 16, 40, 4
 SEED = 7
 #: Best axes of each of the two hashes that probes are combined from.
 DEPTH = 12
-#: Vectors of a bucket that are compared in one task.
-BUCKET_ROWS = 4096
+#: Vectors of a bucket that one group holds about, and probing queries.
+BUCKET_ROWS, BUCKET_QUERIES = 4096, 4096
 
 
 @lru_cache(maxsize=4)
@@ -127,8 +127,9 @@ def nearest_neighbours(
     A pseudo-rotation (three sign flips with Hadamard transforms) takes a unit vector to its nearest signed axis; two
     such hashes make a bucket. Every vector is indexed once a table, every query probes its likeliest buckets, and
     candidates are ranked by their exact cosine in double precision, ties to the smaller id. Equal vectors are indexed
-    once, with their ``k`` + 1 smallest ids, which loses no answer; queries with equal vectors are searched once. Large
-    buckets are split over tasks and their queries sent to each part. Vectors that are not ``usable``, or rows without
+    once, with their ``k`` + 1 smallest ids, which loses no answer; queries with equal vectors are searched once. The
+    vectors and the queries of a large bucket are both split by a hash, and each part of one meets each part of the other
+    in a group of bounded size. Vectors that are not ``usable``, or rows without
     an id, take no part. Only vectors of one length are compared. Repeated ids count as one row each: a row is not its
     own candidate, and neither are others of the same id. An empty table gives no rows.
     """
@@ -147,14 +148,21 @@ def nearest_neighbours(
     dealt = index.mapInPandas(lambda b: _hashed(b, 1, tables, second), shape)
     asked = queries.mapInPandas(lambda b: _hashed(b, probe, tables, second), shape).withColumnRenamed("key", "query")
     where = ["width", "table", "bucket"]
-    sizes = dealt.groupBy(where).agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).cast("int").alias("parts"))
-    dealt = dealt.join(sizes, where).withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int"))
-    spread = sizes.withColumnRenamed("parts", "copies")
-    asked = asked.join(spread, where).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    place = [*where, "part"]
-    found = asked.withColumnRenamed("query", "key").groupBy(place).cogroup(dealt.groupBy(place)).applyInPandas(
-        lambda q, r: _nearest(q, r, k + 1), "query binary, key binary, score double"
-    )
+    rows_in = dealt.groupBy(where).agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).cast("int").alias("row_parts"))
+    asked_in = asked.groupBy(where).agg(F.ceil(F.count(F.lit(1)) / BUCKET_QUERIES).cast("int").alias("query_parts"))
+    sizes = rows_in.join(asked_in, where)  # buckets that nobody asks for hold no answer
+
+    def blocks(side: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        """A row in its own part of the bucket, once for each part of the other side."""
+        named = sizes.select(*where, F.col(f"{own}s").alias("owns"), F.col(f"{other}s").alias("others"))
+        return side.join(named, where).withColumns({
+            own: F.pmod(F.xxhash64(key), "owns").cast("int"), other: F.explode(F.sequence(F.lit(0), F.col("others") - 1)),
+        }).withColumnRenamed(key, "key").drop("owns", "others")
+
+    block = [*where, "row_part", "query_part"]
+    found = blocks(asked, "query", "query_part", "row_part").groupBy(block).cogroup(
+        blocks(dealt, "key", "row_part", "query_part").groupBy(block)
+    ).applyInPandas(lambda q, r: _nearest(q, r, k + 1), "query binary, key binary, score double")
     best = found.groupBy("query", "key").agg(F.max("score").alias("score"))
     best = best.withColumn("place", F.rank().over(Window.partitionBy("query").orderBy(F.desc("score"))))
     best = best.filter(F.col("place") <= k + 1).drop("place")

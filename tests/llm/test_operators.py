@@ -162,6 +162,17 @@ def test_nearest_neighbours_odd(spark):
     assert ann.nearest_neighbours(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_nearest_neighbours_in_blocks(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    rows = [(n, [float(x) for x in draw.normal(size=4)]) for n in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asks = F.col("vec_id") % 3 == 0
+    whole = sorted(map(tuple, ann.nearest_neighbours(frame, asks, k=3, tables=2, probe=6).collect()))
+    monkeypatch.setattr(ann, "BUCKET_ROWS", 4)
+    monkeypatch.setattr(ann, "BUCKET_QUERIES", 4)
+    assert sorted(map(tuple, ann.nearest_neighbours(frame, asks, k=3, tables=2, probe=6).collect())) == whole
+
+
 # --- URL filter ---
 
 
@@ -183,6 +194,17 @@ def test_urls(spark):
     assert url_filter.judge_urls(frame.limit(0), RULES, model).count() == 0
 
 
+def test_url_ngrams(spark):
+    texts = [("", ""), ("a", "/"), ("é.org", "/x😀y/"), ("h" * 100_000, "/ab" * 100_000)]
+    frame = spark.createDataFrame(texts, "host string, path string")
+    for row in frame.select("host", "path", url_filter.ngrams(F.col("host"), F.col("path")).alias("grams")).collect():
+        wanted = {
+            mark + text[at : at + size] for mark, text in (("h", f"^{row.host}$"), ("p", f"^{row.path}$"))
+            for size in (3, 4, 5) for at in range(max(len(text) - size + 1, 1))
+        }
+        assert len(row.grams) == len(wanted) and set(row.grams) == wanted
+
+
 # --- quality ---
 
 
