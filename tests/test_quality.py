@@ -4,7 +4,7 @@ import pytest
 
 from pressgrid import normalize_articles, quality_summary, violations
 from pressgrid.plans.contracts import ARTICLE, CONTRACTS, TREND, record_contract
-from pressgrid.schemas import SERIES
+from pressgrid.schemas import SERIES, SOURCED_SERIES
 
 RECORD = {
     "type": "object", "additionalProperties": False, "required": ["id", "name", "kind"],
@@ -71,7 +71,10 @@ def test_typed_tables(spark, raw):
     assert (missing.path, missing.rule, missing.detail) == ("$", "required", "missing domain")
     (extra,) = violations(good.selectExpr("*", "1 AS more"), ARTICLE, "article_id").collect()
     assert (extra.rule, extra.detail) == ("extra", "unexpected more")
-    series = spark.createDataFrame([(None, 1.0, "article_count", None, None), (None, None, "clicks", 2.0, "l")], SERIES)
+    series = spark.createDataFrame(
+        [(None, 1.0, "article_count", None, None, "corpus-timeline"), (None, None, "clicks", 2.0, "l", "corpus-timeline")],
+        SOURCED_SERIES,
+    )
     found = sorted((r.path, r.rule) for r in violations(series, TREND, "metric").collect())
     assert found == [("$.bucket_start", "type"), ("$.bucket_start", "type"), ("$.metric", "enum"), ("$.value", "type")]
     wrong = spark.createDataFrame([("1", ["a", None])], "value string, tags array<string>")
