@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressgrid.sources.staging import stage
 
-#: Rounds of raking, each over all margins.
-ROUNDS = 8
+#: Rounds of raking, each over all margins, between two looks at what is left.
+ROUNDS = 4
+#: Largest distance of a share from its target at which raking ends.
+TOLERANCE = 1e-9
 #: Share of all tokens that a sample is to hold.
 BUDGET = 0.8
 #: Power of a margin's own share that the default target is proportional to: below 1 lifts small groups.
@@ -39,27 +41,42 @@ def tempered(cells: DataFrame, margin: str, power: float = TEMPER) -> DataFrame:
     return sums.select(margin, (F.col("part") / whole).alias("share"))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` with ``weight``: token mass scaled so that each margin has its target shares.
+def _over(margin: str) -> Column:
+    return F.sum("weight").over(Window.partitionBy(margin))
+
+
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
+    """``cells`` with ``weight``: token mass scaled so that each margin has its target shares, and ``residual``.
 
     ``targets`` gives ``share`` for the values of a margin; they are scaled to sum to one over the values that occur, and
-    values without a target get none of the mass. Every round is written to the shared folder.
+    values without a target get none of the mass. A margin is scaled by a sum over its cells, so nothing is joined;
+    every few rounds the cells are written to the shared folder. Raking goes on until no share is further from its target
+    than ``tolerance``, or, for targets that exclude each other, until the distance no longer shrinks; ``residual`` is the
+    largest distance that is left, the same for all cells.
     """
-    shares = {}
-    for margin, target in targets.items():
-        here = target.join(cells.select(margin).distinct(), margin).select(margin, F.col("share").cast("double"))
-        whole = here.agg(F.sum("share")).first()[0] or 1.0
-        shares[margin] = stage(here.select(margin, (F.col("share") / whole).alias("share")), "shares")
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
-    mass = now.agg(F.sum("weight")).first()[0] or 0.0
-    for _ in range(rounds):
-        for margin, share in shares.items():
-            sums = now.groupBy(margin).agg(F.sum("weight").alias("held"))
-            factor = sums.join(share, margin, "left").select(margin, F.when(
-                F.col("held") > 0, F.coalesce("share", F.lit(0.0)) * mass / F.col("held")).otherwise(0.0).alias("factor"))
-            now = now.join(factor, margin).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
+    shares = {margin: f"_share_{margin}" for margin in targets}
+    for margin, target in targets.items():
+        asked = target.select(margin, F.col("share").cast("double").alias(shares[margin]))
+        now = now.join(asked, margin, "left").na.fill(0.0, [shares[margin]])
+    now = stage(now, "cells")
+    alone = {share: F.col(share) / F.count("*").over(Window.partitionBy(margin)) for margin, share in shares.items()}
+    mass, *wholes = now.select("weight", *(part.alias(share) for share, part in alone.items())).agg(
+        F.sum("weight"), *map(F.sum, alone)
+    ).first()
+    mass = mass or 0.0
+    wanted = {m: F.col(share) / (whole or 1.0) for (m, share), whole in zip(shares.items(), wholes, strict=True)}
+    far = [F.abs(_over(m) / (mass or 1.0) - share) for m, share in wanted.items()]
+    left = float("inf")
+    while True:
+        for _ in range(ROUNDS):
+            for margin, share in wanted.items():
+                held = _over(margin)
+                now = now.withColumn("weight", F.when(held > 0, F.col("weight") * (share * mass / held)).otherwise(0.0))
         now = stage(now, "raked")
-    return now
+        before, left = left, now.select(F.greatest(F.lit(0.0), *far).alias("far")).agg(F.max("far")).first()[0] or 0.0
+        if left <= tolerance or left > 0.99 * before:
+            return now.drop(*shares.values()).withColumn("residual", F.lit(left))
 
 
 def calibrate(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
@@ -90,7 +107,7 @@ def even(doc_id: Column, seed: int) -> Column:
 
 def mix(
     docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, margins: Sequence[str] = ("source", "lang", "topic"),
-    budget: float = BUDGET, rounds: int = ROUNDS, seed: int = 17, id_column: str = "doc_id", text_column: str = "text",
+    budget: float = BUDGET, tolerance: float = TOLERANCE, seed: int = 17, id_column: str = "doc_id", text_column: str = "text",
     topic: Column | None = None,
 ) -> DataFrame:
     """``docs`` with ``topic``, ``tokens``, ``weight`` (of one token), ``probability`` and ``sampled``.
@@ -99,7 +116,7 @@ def mix(
     each margin (by default tempered shares of the table's own), and each document is sampled with its cell's calibrated
     probability, by a hash of its id. Only sums over cells are shuffled; texts stay where they are read, and a source
     that holds most rows is summed within each task first. ``topic`` may be given as a column; without one, and without a
-    column of that name, it is what the text looks like. A null margin value is a value of its own, written as ''. Null
+    column of that name, it is what the text looks like. A null margin value counts as ''. Null
     and empty texts count one token. Repeated rows share their fate; rows without an id are sampled at probability 1 only. Columns of
     ``docs`` with the names of results are replaced. An empty table gives no rows.
     """
@@ -110,7 +127,7 @@ def mix(
     base = base.withColumns({m: F.coalesce(F.col(m).cast("string"), F.lit("")) for m in margins})
     cells = stage(base.groupBy(*margins).agg(F.sum("tokens").alias("tokens")), "cells")
     wanted = targets or {m: tempered(cells, m) for m in margins}
-    found = stage(calibrate(rake(cells, wanted, rounds), budget), "calibrated").select(
+    found = stage(calibrate(rake(cells, wanted, tolerance), budget), "calibrated").select(
         *margins, (F.col("weight") / F.col("tokens")).alias("weight"), "probability"
     )
     chance = F.col("probability")

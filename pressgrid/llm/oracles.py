@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pressgrid.llm.mixing import BUDGET, ROUNDS
+from pressgrid.llm.mixing import BUDGET
 
 MARGINS = ("source", "lang", "topic")
 
@@ -45,7 +45,7 @@ FROM digits
 
 
 def _mixing() -> str:
-    """Raking unrolled: one table for each margin and round."""
+    """Raking unrolled: one table for each margin and round, more rounds than the given tables need."""
     parts = [r"""
 docs AS MATERIALIZED (
     SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
@@ -66,7 +66,7 @@ share_{m} AS MATERIALIZED (
     SELECT {m}, sqrt(sum(tokens)) / sum(sqrt(sum(tokens))) OVER () AS share FROM c0 GROUP BY {m}
 )""")
     step = 0
-    for _ in range(ROUNDS):
+    for _ in range(24):
         for m in MARGINS:
             parts.append(f"""
 c{step + 1} AS MATERIALIZED (

@@ -148,7 +148,9 @@ def cuts(total: int, capacity: int) -> list[int]:
 COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "sequence_id", "offset")
 
 
-def _pack(batches: Iterator[pd.DataFrame], path: str, capacity: int, end_id: int, keep_ids: bool, remember: int):
+def _pack(
+    batches: Iterator[pd.DataFrame], path: str, capacity: int, end_id: int, keep_ids: bool, remember: int, release: bool
+):
     encode, end = encoder(path, remember), np.array([end_id], dtype="<u4").tobytes()
     bins = HarmonicBins(capacity, TaskContext.get().partitionId() * PER_TASK)
 
@@ -171,12 +173,14 @@ def _pack(batches: Iterator[pd.DataFrame], path: str, capacity: int, end_id: int
                 rows = []
         yield frame(rows)
     yield frame(bins.close())
+    if release:
+        encoder.cache_clear()
 
 
 def pack_documents(
     docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text",
     capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = True,
-    remember: int = CACHE_WORDS,
+    remember: int = CACHE_WORDS, release: bool = False,
 ) -> DataFrame:
     """One row per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``.
 
@@ -185,11 +189,12 @@ def pack_documents(
     k pieces and nothing is padded. Each task packs its own rows: no shuffle, no shared state, memory bounded by one
     open bin a class and a cache of fixed size. Null and empty texts are the end id alone; repeated rows and null ids
     are packed like others, each row once; an empty table gives no rows. ``capacity`` must be a power of two.
-    ``remember`` words stay in a worker's memory, about 200 bytes each, also between its tasks.
+    ``remember`` words stay in a worker's memory, about 200 bytes each, also between its tasks; with ``release`` a task
+    gives them back when it ends.
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long," + (
         " ids binary," if keep_ids else "") + " sequence_id long, offset long"
-    return rows.mapInPandas(lambda batches: _pack(batches, tokenizer_path, capacity, end_id, keep_ids, remember), schema)
+    return rows.mapInPandas(lambda batches: _pack(batches, tokenizer_path, capacity, end_id, keep_ids, remember, release), schema)
