@@ -30,10 +30,20 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each near-duplicate group; documents without an id are kept."""
+    """The document of smallest id of each near-duplicate group; documents without an id are kept.
+
+    Rows that share an id but not their text are told apart by their fingerprints.
+    """
     groups = stage(simhash.near_duplicates(docs, width=4, reach=4), "groups")
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    later = F.col("doc_id") != F.col("component_id")
+    ids = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(later).alias("all"), F.max(later).alias("any")).filter("any")
+    left = docs.join(ids.filter("all"), "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    some = ids.filter("NOT all").select("doc_id")
+    mixed = left.join(some, "doc_id", "left_semi").withColumn("fingerprint", simhash.fingerprint(F.col("text"), 4))
+    first = groups.filter(~later).select("doc_id", F.conv("fingerprint", 16, -10).cast("long").alias("fingerprint"))
+    return left.join(some, "doc_id", "left_anti").select(*COLUMNS).unionByName(
+        mixed.join(first, ["doc_id", "fingerprint"], "left_semi").select(*COLUMNS)
+    )
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +64,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences with their token ids."""
-    return packing.pack_documents(docs, tokenizer_path(), remember=150_000)
+    return packing.pack_documents(docs, tokenizer_path(), remember=150_000, release=True)
 
 
 STAGES = [
