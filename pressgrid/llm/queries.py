@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressgrid.llm import ann, merkle, mixing, packing, quality, simhash, substring, toxicity, url_filter, warc
+from pressgrid.llm import (
+    ann,
+    manifest,
+    merkle,
+    mixing,
+    nra,
+    packing,
+    pattern_packing,
+    quality,
+    simhash,
+    substring,
+    toxicity,
+    url_filter,
+    warc,
+)
 from pressgrid.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -24,10 +38,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def _url_filter(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,6 +94,19 @@ def _mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return pattern_packing.pack_by_patterns(docs, tokenizer_path("byte_bpe_50k.json"), keep_ids=False)
+
+
+def _manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.tampered_audit(_table(spark, folder, "documents"))
+
+
+def _search(spark: SparkSession, folder: str) -> DataFrame:
+    return nra.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": _url_filter,
     "op2_simhash": _simhash,
@@ -91,4 +118,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc": _warc,
     "op9_toxicity": _toxicity,
     "op10_mixing": _mixing,
+    "op11_pattern_packing": _pattern_packing,
+    "op12_manifest": _manifest,
+    "op13_search": _search,
 }
