@@ -213,7 +213,7 @@ def _forest(nodes: DataFrame, levels: int) -> list[DataFrame]:
     span, tiers = FAN ** (levels - 1), []
     while True:
         placed = nodes.withColumn("block", (F.col("position") / span).cast("long"))
-        tiers.append(stage(placed.groupBy("tree", "block").applyInPandas(partial(_grow, most=levels), _BLOCKS), "blocks"))
+        tiers.append(stage(placed.groupBy("tree", "block").applyInPandas(lambda key, rows: _grow(key, rows, levels), _BLOCKS), "blocks"))
         going = tiers[-1].filter(F.col("size") > span)
         if going.isEmpty():
             return tiers
@@ -237,7 +237,7 @@ def _descend(tiers: list[DataFrame], above: DataFrame, levels: int) -> DataFrame
         if blocks is tiers[0]:
             return reached
         opened = blocks.join(reached, ["tree", "block"]).groupBy("tree", "block")
-        going = opened.applyInPandas(partial(_paths, most=levels), _PATHS)
+        going = opened.applyInPandas(lambda key, rows: _paths(key, rows, levels), _PATHS)
     raise AssertionError
 
 
@@ -284,11 +284,12 @@ def audit(manifest: Manifest) -> DataFrame:
     nothing = F.lit(b"").alias("above")
     lowest = _descend(manifest.top, _ends(manifest.top, levels).select("tree", nothing), levels)
     blocks = manifest.top[0].join(lowest, ["tree", "block"]).groupBy("tree", "block")
-    over = blocks.applyInPandas(partial(_paths, most=levels), _PATHS).select("position", "above")
+    over = blocks.applyInPandas(lambda key, rows: _paths(key, rows, levels), _PATHS).select("position", "above")
     placed = stage(subroots.join(over, "position").select("tree", F.col("root").alias("subroot"), "above"), "above")
     reached = _descend(manifest.tiers, placed.select("tree", "above"), levels)
     opened = manifest.tiers[0].drop("root").join(reached, ["tree", "block"]).join(placed.select("tree", "subroot"), "tree")
-    return opened.groupBy("tree", "block").applyInPandas(partial(_audit, root=manifest.root), _AUDIT)
+    root = manifest.root
+    return opened.groupBy("tree", "block").applyInPandas(lambda key, rows: _audit(key, rows, root), _AUDIT)
 
 
 def lowered(text: Column) -> Column:
