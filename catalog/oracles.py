@@ -385,6 +385,13 @@ ORACLES: dict[str, str] = {
       SELECT event_id, (date_diff('day', TIMESTAMP '2024-01-01', seen_at) + 1)::INTEGER AS index,
              row_number() OVER (PARTITION BY date_trunc('day', seen_at) ORDER BY tone DESC, event_id) AS place
       FROM feed) WHERE place <= 75""",
+    "capped_articles_large": _with(FEED) + """
+    SELECT event_id, 1 AS index, (place - 1)::INTEGER AS position FROM (
+      SELECT event_id, row_number() OVER (ORDER BY tone DESC, event_id) AS place FROM feed
+      WHERE seen_at BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-31') WHERE place <= 5000""",
+    "collect_articles_uncapped": _with(FEED) + """
+    SELECT event_id, 0 AS window_index, (row_number() OVER (ORDER BY seen_at DESC, event_id) - 1)::INTEGER AS position
+    FROM feed WHERE seen_at BETWEEN TIMESTAMP '2024-01-13 12:00:00' AND TIMESTAMP '2024-01-20 12:00:00'""",
     "coverage_summary": _with(
         FEED, tree("feed", 100), _placed("feed", "seen_at DESC, event_id", 100)
     ) + """,

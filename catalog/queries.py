@@ -262,10 +262,21 @@ def _collect(max_rows: int) -> Query:
     return lambda spark, folder: _collected(spark, folder, max_rows).select("event_id", "window_index", "position")
 
 
-def _capped(spark: SparkSession, folder: str) -> DataFrame:
-    rows = windows.assign_windows(views.feed(spark, folder), JANUARY, 24)
-    order = windows.remote_order(Sort.TONE_HIGH, tie=("event_id",))
-    return windows.cap_per_window(rows, 75, order, ("index",)).select("event_id", "index", "position")
+def _capped(max_rows: int, hours: int | None) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rows = windows.assign_windows(views.feed(spark, folder), JANUARY, hours)
+        order = windows.remote_order(Sort.TONE_HIGH, tie=("event_id",))
+        key = windows.order_key(Sort.TONE_HIGH)
+        return windows.cap_per_window(rows, max_rows, order, ("index",), key).select("event_id", "index", "position")
+
+    return run
+
+
+def _uncapped(spark: SparkSession, folder: str) -> DataFrame:
+    """All articles of a relative range, which is one window."""
+    week = TimeRange(timespan="7days", as_of="2024-01-20T12:00:00Z")
+    rows = windows.collect_articles(views.feed(spark, folder), week, 24, None, Sort.NEWEST, tie=("event_id",))
+    return rows.select("event_id", "window_index", "position")
 
 
 def _coverage(spark: SparkSession, folder: str) -> DataFrame:
@@ -494,7 +505,9 @@ QUERIES: dict[str, Query] = {
     "adaptive_windows": _adaptive_windows,
     "collect_articles": _collect(MAX_ROWS),
     "collect_articles_tight": _collect(1),
-    "capped_articles": _capped,
+    "collect_articles_uncapped": _uncapped,
+    "capped_articles": _capped(75, 24),
+    "capped_articles_large": _capped(5000, None),
     "coverage_summary": _coverage,
     "coverage_warnings": _warnings,
     "extract_pages": _extract,

@@ -2,8 +2,9 @@
 
 A window that holds ``max_rows`` rows or more is halved until its parts hold fewer, or last under two
 seconds. Halving depends on the bounds only, so each second's path through the halves is a function of
-its offset. Counting rows along those paths gives the complete tree in one aggregation: no loop, no
-action on the driver, and the articles themselves are reduced to per-second counts first.
+its offset. The tree is counted in bands of a few levels, from the bottom: only seconds inside a full window at
+the top of a band are unfolded to its levels, and the band above works on one sum for each of these windows.
+Nothing runs on the driver, and the articles themselves are reduced to per-second counts first.
 """
 
 from __future__ import annotations
@@ -16,11 +17,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressgrid.functions.times import iso_utc
+from pressgrid.operators.places import numbered
 from pressgrid.operators.predicates import bounds, within
 from pressgrid.plans.request import Sort, TimeRange
+from pressgrid.sources.staging import STAGES, Stages
 
 SECOND = 1_000_000  # microseconds
 _BLOCK_BITS = 16  # ordered work inside a base window is cut into blocks of 2^16 seconds
+_BAND = 6  # levels of the window tree that are unfolded together
+_SALTS = 64  # parts in which rows that share a cut-off second are first ranked
+_LAST = (1 << 63) - 1
 
 
 def _whole(value: Column, unit: int) -> Column:
@@ -37,6 +43,8 @@ class _Grid:
         self.timespan = date_range.timespan
         self.closed = limits.start is not None and limits.end is not None
         self.total = (limits.end - limits.start) // timedelta(microseconds=1) if self.closed else 0
+        if self.total >= SECOND << 31:
+            raise ValueError("a time range of more than 68 years cannot be numbered in seconds; leave an end open")
         whole = self.timespan or not self.closed or hours is None or self.total == 0
         self.step = max(self.total, 1) if whole else hours * 3600 * SECOND
         self.size = 1 if whole else -(-self.total // self.step)
@@ -119,32 +127,63 @@ def _seconds(articles: DataFrame, grid: _Grid, seen: str) -> DataFrame:
     return keys.groupBy("base", "second").agg(F.count("*").alias("rows"))
 
 
-def _visits(seconds: DataFrame, grid: _Grid) -> DataFrame:
-    """One row per second and divisible window around it: (base, depth, lo, size, second, rows).
+def _path(last: int, size: Column) -> Column:
+    """The windows around ``second``, one for each depth below ``last``, of a base window of ``size`` seconds.
 
-    Each level is plain arithmetic on the one before. A window of ``size`` seconds has halves of ``size // 2``
-    and the rest; one under two seconds repeats itself, and only base windows are kept at that size, because
-    any other is accounted for by its parent.
+    A window of ``size`` seconds has halves of ``size // 2`` and the rest; one under two seconds repeats itself.
     """
-    depths = range(max(grid.depth, 1))
-    steps = []
-    for at, above in zip(depths[1:], depths, strict=False):
-        half = f"shiftright(size{above}, 1)"
-        steps += [
-            f"CAST(second >= lo{above} + {half} AS BIGINT) AS right{at}",
-            f"lo{above} + right{at} * {half} AS lo{at}",
-            f"shiftright(size{above} + right{at}, 1) AS size{at}",
-        ]
-    nodes = ", ".join(f"named_struct('lo', lo{at}, 'size', size{at})" for at in depths)
+
+    def half_of(node: Column) -> Column:
+        middle = node["lo"] + F.shiftright(node["size"], 1)
+        right = F.col("second") >= middle
+        return F.struct(
+            F.when(right, middle).otherwise(node["lo"]).alias("lo"),
+            F.shiftright(node["size"] + right.cast("long"), 1).alias("size"),
+        )
+
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("lo"), size.alias("size")))
+    depths = F.array(*map(F.lit, range(1, last))).cast("array<int>")
+    return F.aggregate(depths, whole, lambda path, _: F.concat(path, F.array(half_of(F.element_at(path, -1)))))
+
+
+def _band_nodes(units: DataFrame, first: int, last: int) -> DataFrame:
+    """Windows of the depths from ``first`` up to below ``last`` with their rows and those of their left halves.
+
+    ``units`` are windows of depth ``last``, or seconds, with the path to them.
+    """
+    in_left = "CASE WHEN second < node.lo + shiftright(node.size, 1) THEN rows ELSE 0 END"
+    band = F.slice("path", first + 1, last - first)
     return (
-        seconds.select("base", "second", "rows", F.lit(0).cast("long").alias("lo0"), grid.seconds(F.col("base")).alias("size0"))
-        .selectExpr("*", *steps)
-        .selectExpr("base", "second", "rows", f"posexplode(array({nodes})) AS (depth, node)")
-        .selectExpr("base", "depth", "node.lo", "node.size", "second", "rows").filter("size >= 2 OR depth = 0")
+        units.select("base", "top", "second", "rows", F.posexplode(band).alias("level", "node"))
+        .filter("node.size >= 2 OR level = 0")
+        .groupBy("base", "top", (F.col("level") + first).alias("depth"), "node.lo", "node.size")
+        .agg(F.sum("rows").alias("rows"), F.sum(F.expr(in_left)).alias("left")).drop("top")
     )
 
 
-def _tree(seconds: DataFrame, grid: _Grid, max_rows: int) -> DataFrame:
+def _nodes(seconds: DataFrame, grid: _Grid, max_rows: int) -> DataFrame:
+    """(base, depth, lo, size, rows, left) of all full windows, of the base windows, and of some others.
+
+    A band's topmost windows are summed where their seconds lie together; those that are not full are not opened.
+    """
+    depths = max(grid.depth, 1)
+    base_size = grid.seconds(F.col("base"))
+    units, found = seconds, None
+    for first in reversed(range(0, depths, _BAND)):
+        last = min(first + _BAND, depths)
+        located = units.select("base", "second", "rows", _path(last, base_size).alias("path"))
+        located = located.withColumn("top", F.get("path", F.lit(first))["lo"])
+        opened = located
+        if first:
+            held = F.sum("rows").over(Window.partitionBy("base", "top"))
+            opened = located.withColumn("held", held).filter(F.col("held") >= max_rows)
+            units = located.groupBy("base", F.col("top").alias("second")).agg(F.sum("rows").alias("rows"))
+        nodes = _band_nodes(opened, first, last)
+        found = nodes if found is None else found.unionByName(nodes)
+    return found
+
+
+def _tree(seconds: DataFrame, grid: _Grid, max_rows: int | None) -> DataFrame:
     """Every window the halving visits: (base, depth, lo, size, rows, leaf)."""
     # Base windows without rows are visited too.
     empty = grid.table(seconds.sparkSession).select(
@@ -152,14 +191,18 @@ def _tree(seconds: DataFrame, grid: _Grid, max_rows: int) -> DataFrame:
     )
     depth, lo, size, rows, left = map(F.col, ("depth", "lo", "size", "rows", "left"))
     half = F.shiftright(size, 1)
-    in_left = F.when(F.col("second") < lo + half, rows).otherwise(F.lit(0))
-    nodes = (
-        _visits(seconds.unionByName(empty), grid)
-        .groupBy("base", "depth", "lo", "size").agg(F.sum(rows).alias("rows"), F.sum(in_left).alias("left"))
-    )
+    seconds = seconds.unionByName(empty)
+    if max_rows is None or not grid.splits:
+        # Nothing is halved.
+        whole = seconds.groupBy("base").agg(F.sum("rows").alias("rows"))
+        return whole.select(
+            "base", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("lo"), grid.seconds(F.col("base")).alias("size"),
+            "rows", F.lit(True).alias("leaf"),
+        )
+    nodes = _nodes(seconds, grid, max_rows)
 
     def full(n: Column, length: Column) -> Column:
-        return (n >= max_rows) & (length >= 2) & F.lit(grid.splits)
+        return (n >= max_rows) & (length >= 2)
 
     def window(level: Column, at: Column, length: Column, n: Column, leaf: Column) -> Column:
         return F.struct(
@@ -204,22 +247,31 @@ def _numbered(leaves: DataFrame) -> DataFrame:
     )
 
 
-def _window_rows(leaves: DataFrame, grid: _Grid, max_rows: int) -> DataFrame:
+def _returned(rows: Column, max_rows: int | None) -> Column:
+    return rows if max_rows is None else F.least(rows, F.lit(max_rows).cast("long"))
+
+
+def _reached(rows: Column, max_rows: int | None) -> Column:
+    """Whether a window holds as many rows as are taken from one."""
+    return F.lit(False) if max_rows is None else rows >= max_rows
+
+
+def _window_rows(leaves: DataFrame, grid: _Grid, max_rows: int | None) -> DataFrame:
     base, lo = F.col("base"), F.col("lo")
     return leaves.select(
         "index",
         grid.start(base, lo).alias("start"),
         grid.end(base, lo + F.col("size")).alias("end"),
         F.lit(grid.timespan).cast("string").alias("timespan"),
-        F.least("rows", F.lit(max_rows).cast("long")).alias("returned_articles"),
-        (F.col("rows") >= max_rows).alias("truncated"),
+        _returned(F.col("rows"), max_rows).alias("returned_articles"),
+        _reached(F.col("rows"), max_rows).alias("truncated"),
         F.col("depth").cast("int").alias("split_depth"),
         (F.col("depth") > 0).alias("adaptive_split"),
     )
 
 
 def window_tree(
-    articles: DataFrame, date_range: TimeRange, hours: int | None, max_rows: int, seen: str = "seen_at"
+    articles: DataFrame, date_range: TimeRange, hours: int | None, max_rows: int | None, seen: str = "seen_at"
 ) -> DataFrame:
     """All windows visited while halving, inner ones and leaves, with bounds and row counts."""
     grid = _Grid(date_range, hours)
@@ -234,7 +286,7 @@ def window_tree(
 
 
 def adaptive_windows(
-    articles: DataFrame, date_range: TimeRange, hours: int | None, max_rows: int, seen: str = "seen_at"
+    articles: DataFrame, date_range: TimeRange, hours: int | None, max_rows: int | None, seen: str = "seen_at"
 ) -> DataFrame:
     """The window table: leaves of the halving in time order, with their coverage."""
     grid = _Grid(date_range, hours)
@@ -243,27 +295,85 @@ def adaptive_windows(
     return _window_rows(_numbered(leaves), grid, max_rows)
 
 
+def _spread(rows: DataFrame) -> Column:
+    """One of ``_SALTS`` parts, from all of a row's values that can be hashed."""
+    plain = [name for name, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    return F.pmod(F.xxhash64(*plain), F.lit(_SALTS))
+
+
+def _first_rows(rows: DataFrame, groups: Sequence[str], max_rows: int, need: Column, order: Sequence[Column]) -> DataFrame:
+    """The first ``need`` (at most ``max_rows``) rows of each group: first of each part of a group, then of what is left."""
+    part = F.row_number().over(Window.partitionBy(*groups, "_salt").orderBy(*order))
+    whole = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
+    few = rows.withColumn("_salt", _spread(rows)).withColumn("_place", part).filter(F.col("_place") <= max_rows)
+    return few.withColumn("_place", whole).filter(F.col("_place") <= need).drop("_salt", "_place")
+
+
+def _cuts(keys: DataFrame, groups: Sequence[str], max_rows: int) -> DataFrame:
+    """(groups, _cut, _need) of groups beyond ``max_rows``: the key at which they reach it, and how many rows of that key are taken.
+
+    ``keys`` (groups, _key, _rows) are summed along the key: block sums first, then the keys of a block.
+    """
+    blocks = keys.groupBy(*groups, F.shiftright("_key", _BLOCK_BITS).alias("_block")).agg(F.sum("_rows").alias("_held"))
+    over_blocks = F.sum("_held").over(Window.partitionBy(*groups).orderBy("_block"))
+    reached = (
+        blocks.withColumn("_before", over_blocks - F.col("_held"))
+        .filter((F.col("_before") <= max_rows) & (F.col("_before") + F.col("_held") > max_rows))
+        .select(*groups, "_block", "_before")
+    )
+    inside = keys.withColumn("_block", F.shiftright("_key", _BLOCK_BITS)).join(reached, [*groups, "_block"])
+    over_keys = F.sum("_rows").over(Window.partitionBy(*groups).orderBy("_key"))
+    before = F.col("_before") + over_keys - F.col("_rows")
+    return (
+        inside.withColumn("_need", F.lit(max_rows) - before)
+        .filter((F.col("_need") >= 0) & (F.col("_need") < F.col("_rows")))
+        .select(*groups, F.col("_key").alias("_cut"), "_need")
+    )
+
+
+def _cut_rows(rows: DataFrame, cuts: DataFrame, groups: Sequence[str], max_rows: int, order: Sequence[Column]) -> DataFrame:
+    """Rows before their group's cut, the rows needed of the cut itself, and all rows of groups without one."""
+    marked = rows.join(cuts, [*groups], "left")
+    kept = marked.filter(F.col("_cut").isNull() | (F.col("_key") < F.col("_cut"))).drop("_cut", "_need", "_key")
+    tied = marked.filter(F.col("_key") == F.col("_cut")).drop("_cut", "_key")
+    return kept.unionByName(_first_rows(tied, groups, max_rows, F.col("_need"), order).drop("_need"))
+
+
 def cap_per_window(
-    articles: DataFrame, max_rows: int, order: Sequence[Column], window: Sequence[str] = ("window_index",)
+    articles: DataFrame, max_rows: int | None, order: Sequence[Column], window: Sequence[str] = ("window_index",),
+    key: Column | None = None, stages: Stages = STAGES,
 ) -> DataFrame:
     """At most ``max_rows`` rows of each window, in the given order, numbered by ``position``.
 
-    Spark cuts each window before the shuffle when the cap is small; above that size a first cut runs on
-    the part of the window that each task already holds, so that a crowded window is never sorted by one
-    task alone.
+    ``key`` is a whole number that never falls along the order, such as the second for date orders. Counts of it, summed along
+    each window, give the key at which the window reaches its cap: rows before it are kept and rows beyond it dropped by
+    comparison, whatever the cap. Only rows of that one key are ranked, in parts that are dealt out by their values, so that
+    no task orders a crowded second by itself; without a key all rows of a crowded window are. Positions are numbered
+    among kept rows. With no cap all rows are kept, and numbered by a range-partitioned sort.
     """
-    limit = int(articles.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if max_rows > limit:
-        rough = F.row_number().over(Window.partitionBy(*window, "_part").orderBy(*order))
-        articles = (
-            articles.withColumn("_part", F.spark_partition_id()).withColumn("_rough", rough)
-            .filter(F.col("_rough") <= max_rows).drop("_part", "_rough")
-        )
+    window = list(window)
+    if max_rows is None:
+        return numbered(articles, order, stages.keep, window, "position").withColumn("position", F.col("position").cast("int"))
+    keyed = articles.withColumn("_key", (F.lit(0) if key is None else key).cast("long"))
+    counts = keyed.groupBy(*window, "_key").agg(F.count("*").alias("_rows"))
+    rows = _cut_rows(keyed, _cuts(counts, window, max_rows), window, max_rows, order)
     place = F.row_number().over(Window.partitionBy(*window).orderBy(*order))
-    return (
-        articles.withColumn("_place", place).filter(F.col("_place") <= max_rows)
-        .withColumn("position", F.col("_place") - 1).drop("_place")
-    )
+    return rows.withColumn("position", place - 1)
+
+
+def order_key(sort: Sort, seen: str = "seen_at") -> Column:
+    """A whole number that never falls along :func:`remote_order`: seconds, or tone in steps of 1/1024."""
+    second = F.unix_seconds(F.col(seen).cast("timestamp"))
+    tone = F.floor(F.greatest(F.least(F.col("tone"), F.lit(1e12)), F.lit(-1e12)) * 1024)
+    match Sort(sort):
+        case Sort.OLDEST:
+            return F.coalesce(second, F.lit(-_LAST))
+        case Sort.TONE_HIGH:
+            return F.coalesce(F.when(F.isnan("tone"), F.lit(-_LAST)).otherwise(-tone), F.lit(_LAST))
+        case Sort.TONE_LOW:
+            return F.when(F.isnan("tone"), F.lit(_LAST - 1)).otherwise(F.coalesce(tone, F.lit(_LAST)))
+        case _:
+            return F.coalesce(-second, F.lit(_LAST))
 
 
 def remote_order(sort: Sort, seen: str = "seen_at", tie: Sequence[str] = ("url", "title")) -> list[Column]:
@@ -282,12 +392,13 @@ def collect_articles(
     articles: DataFrame,
     date_range: TimeRange,
     hours: int | None,
-    max_rows: int,
+    max_rows: int | None,
     sort: Sort = Sort.RELEVANCE,
     seen: str = "seen_at",
     tie: Sequence[str] = ("url", "title"),
+    stages: Stages = STAGES,
 ) -> DataFrame:
-    """Rows of all leaf windows, each capped at ``max_rows``, in fetch order.
+    """Rows of all leaf windows, each capped at ``max_rows``, in fetch order; without a cap all rows of the range.
 
     ``window_index`` is the second, counted from the start of the range, at which the row's leaf begins, and
     ``position`` the row's place inside it. A second is matched to its leaf among the seconds and leaves of
@@ -295,6 +406,11 @@ def collect_articles(
     """
     grid = _Grid(date_range, hours)
     inside = within(articles, date_range, seen).drop("window_index", "position")
+    ts, order = F.col(seen), remote_order(sort, seen, tie)
+    if max_rows is None or not grid.splits:
+        begins = grid.index(ts).cast("long") * F.lit(grid.step // SECOND)
+        placed = inside.withColumn("window_index", F.coalesce(begins, F.lit(0)).cast("int"))
+        return cap_per_window(placed, max_rows, order, key=order_key(sort, seen), stages=stages)
     seconds = _seconds(inside, grid, seen)
     leaves = _tree(seconds, grid, max_rows).filter("leaf")
     # A leaf marks every block it reaches into, so that each block can be searched on its own.
@@ -314,17 +430,21 @@ def collect_articles(
         marks.withColumn("leaf", latest).filter("kind = 1")
         .select(F.col("base").alias("_base"), F.col("second").alias("_second"), begins.cast("int").alias("window_index"))
     )
-    ts, order = F.col(seen), remote_order(sort, seen, tie)
     keyed = inside.withColumn("_base", grid.index(ts)).withColumn("_second", grid.second(ts))
-    # No row beyond the cap of its own second can be within the cap of its leaf. Cutting here keeps a crowded
-    # second from reaching the join, which then finds its left side partitioned and sorted already.
-    thinned = cap_per_window(keyed, max_rows, order, ("_base", "_second")).drop("position")
-    placed = thinned.join(lookup, ["_base", "_second"]).drop("_base", "_second")
-    return cap_per_window(placed, max_rows, order)
+    # Only a second can hold more than the cap, as any longer window would have been halved. Cutting it here keeps a
+    # crowded second from reaching the join.
+    crowded = seconds.filter(F.col("rows") > max_rows).select(
+        F.col("base").alias("_base"), F.col("second").alias("_second"), F.lit(0).cast("long").alias("_cut"),
+        F.lit(max_rows).cast("long").alias("_need"),
+    )
+    keyed = _cut_rows(keyed.withColumn("_key", F.lit(0).cast("long")), crowded, ["_base", "_second"], max_rows, order)
+    placed = keyed.join(lookup, ["_base", "_second"]).drop("_base", "_second")
+    place = F.row_number().over(Window.partitionBy("window_index").orderBy(*order))
+    return placed.withColumn("position", place - 1).filter(F.col("position") < max_rows)
 
 
 def coverage_summary(
-    tree: DataFrame, deduplicated: DataFrame, max_rows: int, hours: int | None = 24, deduplicate: bool = True
+    tree: DataFrame, deduplicated: DataFrame, max_rows: int | None, hours: int | None = 24, deduplicate: bool = True
 ) -> DataFrame:
     """One row of totals over a :func:`window_tree` and the articles left after deduplication."""
     kept = deduplicated.select(
@@ -333,7 +453,7 @@ def coverage_summary(
     )
     both = tree.select("base", "depth", "rows", "leaf").unionByName(kept)
     leaf, inner = F.col("leaf"), ~F.col("leaf")
-    returned = F.when(leaf, F.least("rows", F.lit(max_rows).cast("long")))
+    returned = F.when(leaf, _returned(F.col("rows"), max_rows))
     totals = both.agg(
         F.count_if(F.col("depth") == 0).alias("base_windows"),
         F.count_if(leaf).alias("batch_count"),
@@ -341,7 +461,7 @@ def coverage_summary(
         F.count_if(inner).alias("split_window_count"),
         F.coalesce(F.sum(returned), F.lit(0)).alias("raw_article_count"),
         F.count_if(F.col("leaf").isNull()).alias("deduplicated_article_count"),
-        F.count_if(leaf & (F.col("rows") >= max_rows)).alias("truncated_window_count"),
+        F.count_if(leaf & _reached(F.col("rows"), max_rows)).alias("truncated_window_count"),
     )
     removed = F.col("raw_article_count") - F.col("deduplicated_article_count")
     return totals.select(
@@ -354,7 +474,7 @@ def coverage_summary(
     )
 
 
-def coverage_warnings(tree: DataFrame, max_rows: int) -> DataFrame:
+def coverage_warnings(tree: DataFrame, max_rows: int | None) -> DataFrame:
     """One message per full window of a :func:`window_tree`, ordered as a depth-first walk meets them."""
     described = F.coalesce(
         F.concat(F.lit("timespan="), F.col("timespan")),
@@ -367,7 +487,7 @@ def coverage_warnings(tree: DataFrame, max_rows: int) -> DataFrame:
         F.lit("splitting into smaller windows")
     )
     return (
-        tree.filter(F.col("rows") >= max_rows)
+        tree.filter(_reached(F.col("rows"), max_rows))
         .select(
             "start", F.col("depth").alias("split_depth"),
             F.concat(

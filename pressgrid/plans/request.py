@@ -122,11 +122,11 @@ class TimeRange:
 
 @dataclass(frozen=True)
 class Request:
-    """One analysis request. ``max_records`` is the most rows taken from one time window."""
+    """One analysis request. ``max_records`` is the most rows taken from one time window; without it all are taken."""
 
     filters: Filters
     date_range: TimeRange = TimeRange()
-    max_records: int = 75
+    max_records: int | None = None
     sort: Sort = Sort.RELEVANCE
     include_timeline: bool = True
     include_tone_timeline: bool = True

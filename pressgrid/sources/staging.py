@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
@@ -35,3 +36,44 @@ def stage(rows: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     path = f"{folder or shared_folder(spark)}/pressgrid-{uuid4().hex}/{name}"
     rows.write.mode("overwrite").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+class Stages:
+    """Owner of steps that several results start from; ``close`` (or leaving a ``with`` block) gives them up.
+
+    Without a folder a step is persisted on the executors' disks. Nothing runs when it is named: Spark computes it with
+    the first action that needs it, once for equal plans, and computes lost parts anew. With a ``folder``, which all executors must
+    reach, a step is written there when it is named, and survives the loss of every executor.
+    """
+
+    def __init__(self, folder: str | None = None) -> None:
+        self.folder = folder
+        self._held: list[DataFrame] = []
+        self._written: list[tuple[SparkSession, str]] = []
+
+    def keep(self, rows: DataFrame, name: str = "rows") -> DataFrame:
+        if self.folder is None:
+            self._held.append(rows.persist(StorageLevel.DISK_ONLY))
+            return rows
+        spark, path = rows.sparkSession, f"{self.folder.rstrip('/')}/pressgrid-{uuid4().hex}"
+        self._written.append((spark, path))
+        rows.write.parquet(f"{path}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{path}/{name}")
+
+    def close(self) -> None:
+        while self._held:
+            self._held.pop().unpersist()
+        while self._written:
+            spark, path = self._written.pop()
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+
+#: Owner of steps that no one else owns; ``STAGES.close()`` gives them up.
+STAGES = Stages()

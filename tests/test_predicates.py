@@ -124,5 +124,5 @@ def test_request_from_dict():
     assert request.filters.keywords == ("climate change",)
     assert request.filters.proximity[0].distance == 5 and request.filters.repeated_terms == {"emissions": 2}
     assert request.sort is Sort.NEWEST and request.bucket_size == "hour"
-    assert request.batch_window_hours == 24 and request.max_records == 75 and request.deduplicate
+    assert request.batch_window_hours == 24 and request.max_records is None and request.deduplicate
     assert not Request.from_dict({"deduplicate": None}).deduplicate and Request.from_dict({}).sort is Sort.RELEVANCE
