@@ -189,6 +189,13 @@ def _collect(max_rows: int) -> str:
     SELECT event_id, leaf AS window_index, place::INTEGER AS position FROM placed"""
 
 
+def _warnings(max_rows: int) -> str:
+    return f"""
+    SELECT depth AS split_depth, '{max_rows} articles or more in the window ' || {_at('lo')} || ' to ' || {_at('hi')} || ': '
+      || CASE WHEN hi - lo >= 2000000 THEN 'it is read in halves' ELSE 'any further ones are left out' END AS message
+    FROM nodes WHERE n >= {max_rows}"""
+
+
 STATUS = """
 status AS (
   SELECT *, CASE WHEN coalesce(url, '') = '' THEN 'skipped' WHEN page_url IS NOT NULL THEN 'ok' ELSE 'error' END
@@ -240,6 +247,14 @@ DATASET_WHERE = """
 SELECTED = f"""
 selected AS (SELECT * FROM linked WHERE {DATASET_WHERE})
 """
+TWICE = "twice AS (SELECT *, 0 AS copy FROM selected UNION ALL SELECT *, 1 AS copy FROM selected)"
+UNIQUE = """
+uniq AS (
+  SELECT * FROM twice QUALIFY row_number() OVER (
+    PARTITION BY CASE WHEN coalesce(url, '') <> '' THEN 'url:' || lower(url)
+                      ELSE 'fallback:' || lower(title) || '|' || epoch(seen_at) || '|' || lower(domain) END
+    ORDER BY seen_at, doc_id, copy) = 1)
+"""
 DATASET_TREE = tree("selected", 20)
 DATASET_PLACED = _placed("selected", "seen_at DESC, doc_id", 20)
 
@@ -248,7 +263,7 @@ faults AS (
   SELECT event_id AS record_id, '$' AS path, 'required' AS rule, 'missing id' AS detail
     FROM events WHERE event_id % 9 = 0
   UNION ALL SELECT event_id, '$.id', 'type', 'expected integer, got boolean' FROM events WHERE event_id % 9 = 1
-  UNION ALL SELECT event_id, '$.id', 'type', 'expected integer, got number' FROM events WHERE event_id % 9 = 2
+  UNION ALL SELECT event_id, '$.id', 'type', 'expected integer, got number' FROM events WHERE event_id % 9 IN (2, 3, 4)
   UNION ALL SELECT event_id, '$.kind', 'enum',
       'expected one of [''click'', ''view'', ''signup'', ''purchase''], got error'
     FROM events WHERE event_type = 'error'
@@ -283,7 +298,8 @@ ORACLES: dict[str, str] = {
     "rank_country": _rank("sourcecountry"),
     "rank_domain": _rank("domain"),
     "rank_entity": _with(FEED) + """
-    SELECT entity AS value, count(*) AS count, min(fetch_key::HUGEINT * 100000 + place - 1)::VARCHAR AS first_at
+    SELECT entity AS value, count(*) AS count,
+           min({'a': fetch_key, 'b': place - 1}).a || '/' || min({'a': fetch_key, 'b': place - 1}).b AS first_at
     FROM (SELECT fetch_key, unnest(['Nation 7', 'click', 'nation 1', 'click']) AS entity,
                  unnest([1, 2, 3, 4]) AS slot, lower(concat_ws(' ', title, domain, sourcecountry)) AS space
           FROM feed) e
@@ -294,7 +310,8 @@ ORACLES: dict[str, str] = {
     WHERE contains(space, lower(entity)) GROUP BY entity""",
     "rank_country_newest": _with(FEED) + """
     SELECT sourcecountry AS value, count(*) AS count,
-           min(-epoch(seen_at)::BIGINT::HUGEINT * 10000000000000000000 + fetch_key)::VARCHAR AS first_at
+           min({'a': -epoch(seen_at)::BIGINT, 'b': fetch_key}).a || '/' || min({'a': -epoch(seen_at)::BIGINT, 'b': fetch_key}).b
+             AS first_at
     FROM feed GROUP BY sourcecountry""",
     "summary": _with(CORPUS, LINKED, STATUS) + """
     SELECT count(*) AS article_count, 2 * count(*) AS raw_article_count, count(*) AS duplicates_removed,
@@ -406,10 +423,7 @@ ORACLES: dict[str, str] = {
            count(*) FILTER (idx IS NOT NULL AND n >= 100) AS truncated_window_count
     FROM (SELECT nodes.n, leaves.idx FROM nodes LEFT JOIN leaves USING (lo, hi, depth)), kept""",
     "coverage_warnings": _with(FEED, tree("feed", 100)) + f"""
-    SELECT depth AS split_depth, 'article window ' || {_at('lo')} || ' to ' || {_at('hi')}
-      || ' reached max_records=100; ' || CASE WHEN hi - lo >= 2000000 THEN 'splitting into smaller windows'
-         ELSE 'results may be truncated' END AS message
-    FROM nodes WHERE n >= 100""",
+    {_warnings(100)}""",
     "extract_pages": _with(PAGE_TEXT) + f"""
     SELECT page_id, url, 'ok' AS status, title, NULL::VARCHAR AS description, NULL::VARCHAR AS published_at,
       nullif({PAGE_LANGUAGE}, '') AS language, NULL::VARCHAR AS canonical_url, nullif(text, '') AS text,
@@ -423,6 +437,19 @@ ORACLES: dict[str, str] = {
     UNION ALL
     SELECT doc_id, url, NULL, 'not_requested', false, NULL, NULL FROM status
     WHERE doc_id NOT IN (SELECT doc_id FROM first)""",
+    "enrich_half": _with(CORPUS, LINKED, STATUS) + """,
+    half AS (
+      SELECT doc_id FROM linked ORDER BY seen_at DESC, window_index, position LIMIT (SELECT count(*) // 2 FROM linked))
+    SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM half) THEN state ELSE 'not_requested' END AS scrape_status
+    FROM status""",
+    "enrich_crowded": _with(CORPUS, LINKED) + f""",
+    shared AS (
+      SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN (SELECT min(url) FROM pages) ELSE url END AS url FROM linked),
+    landed AS (SELECT url, arg_min(html, page_id) AS html FROM pages GROUP BY url)
+    SELECT doc_id, s.url,
+           CASE WHEN coalesce(s.url, '') = '' THEN 'skipped' WHEN p.url IS NULL THEN 'error' ELSE 'ok' END AS scrape_status,
+           p.url AS scraped_final_url, nullif({PAGE_LANGUAGE}, '') AS scraped_language
+    FROM shared s LEFT JOIN landed p ON p.url = s.url""",
     "enrich_summary": _with(CORPUS, LINKED, STATUS, FIRST) + """
     SELECT true AS requested, count(*) FILTER (chosen AND state <> 'skipped') AS attempted,
            count(*) FILTER (chosen AND state = 'ok') AS succeeded,
@@ -442,7 +469,23 @@ ORACLES: dict[str, str] = {
     WHERE seen_at BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-09 12:00:00' GROUP BY ALL""",
     "read_articles": _with(FEED) + """
     SELECT url, title, seendate, domain, language, sourcecountry, round(tone, 6) AS tone,
+           (dense_rank() OVER (ORDER BY window_index) - 1)::INTEGER AS window_index,
            (row_number() OVER (PARTITION BY window_index ORDER BY position) - 1)::INTEGER AS position FROM feed""",
+    "read_timeline": """
+    SELECT CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y%m%dT%H%M%SZ') WHEN 1 THEN strftime(ts, '%Y%m%d')
+                             WHEN 2 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') ELSE strftime(ts, '%Y%m%d%H%M%S') END AS date,
+           CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN round(value, 6) END AS value,
+           CASE WHEN event_id % 11 = 0 THEN 7.0::DOUBLE END AS count,
+           CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 5 = 1 THEN 0.0 ELSE user_id::DOUBLE END AS norm
+    FROM events""",
+    "match_term_table": f"""
+    WITH items AS (SELECT regexp_split_to_array(text, '\\s+') AS w FROM benchmark),
+    terms AS (
+      SELECT DISTINCT trim(unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN generate_series(1, len(w) - 1)])), {SPACES}) AS term
+      FROM items),
+    turns AS (SELECT DISTINCT conv_id, turn, role, text, replace(lower(text), 'ß', 'ss') AS space FROM conversations)
+    SELECT term, count(*) AS turns, min(conv_id) AS first_conv
+    FROM turns JOIN terms ON contains(space, replace(lower(term), 'ß', 'ss')) WHERE term <> '' GROUP BY term""",
     "dataset_quality": """
     SELECT unnest(['articles', 'trend_series', 'entity_tracking', 'languages', 'source_countries', 'domains',
                    'matched_entities', 'summary', 'windows', 'coverage', 'sentiment_series', 'enrichment']) AS contract,
@@ -511,4 +554,38 @@ ORACLES: dict[str, str] = {
     FROM (SELECT leaves.idx FROM nodes LEFT JOIN leaves USING (lo, hi, depth))""",
     "dataset_domains": _with(CORPUS, LINKED, SELECTED) + """
     SELECT domain AS value, count(*) AS count FROM selected GROUP BY domain""",
+    "dataset_sentiment": _with(CORPUS, LINKED, SELECTED) + f"""
+    SELECT strftime(date_trunc('day', seen_at), {ISO}) AS bucket_start, round(avg(tone), 6) AS value,
+           'average_tone' AS metric, count(tone)::DOUBLE AS norm, NULL::VARCHAR AS label, 'corpus-timeline' AS source
+    FROM selected GROUP BY date_trunc('day', seen_at)""",
+    "dataset_enrichment": _with(CORPUS, LINKED, SELECTED) + """
+    SELECT true AS requested, count(url) AS attempted, count(page_url) AS succeeded, count(url) - count(page_url) AS failed,
+           count(*) - count(url) AS skipped, NULL::INTEGER AS "limit" FROM selected""",
+    "dataset_matched_entities": _with(CORPUS, LINKED, SELECTED) + """
+    SELECT entity AS value, count(*) AS count FROM (
+      SELECT unnest(list_filter(['Nation 7', 'nation 1'], lambda t: contains(
+        lower(concat_ws(' ', title, domain, sourcecountry)), lower(t)))) AS entity FROM selected)
+    GROUP BY entity""",
+    "dataset_windows": _with(CORPUS, LINKED, SELECTED, TWICE, tree("twice", 2)) + f"""
+    SELECT idx AS index, {_at('lo')} AS start, {_at('hi')} AS "end", NULL::VARCHAR AS timespan,
+           least(n, 2) AS returned_articles, n >= 2 AS truncated, depth AS split_depth, depth > 0 AS adaptive_split
+    FROM leaves""",
+    "dataset_warnings": _with(CORPUS, LINKED, SELECTED, TWICE, tree("twice", 2)) + _warnings(2),
+    "dataset_summary_repeated": _with(CORPUS, LINKED, SELECTED, TWICE, UNIQUE) + """
+    SELECT count(*) AS article_count, (SELECT count(*) FROM twice) AS raw_article_count,
+           (SELECT count(*) FROM twice) - count(*) AS duplicates_removed, count(page_url) AS scraped_article_count,
+           count(*) - count(page_url) AS scrape_failed_count FROM uniq""",
+    "dataset_coverage_repeated": _with(CORPUS, LINKED, SELECTED, TWICE, UNIQUE, tree("twice", 2)) + """
+    SELECT true AS batching_enabled, 24 AS batch_window_hours, count(*) FILTER (idx IS NOT NULL) AS batch_count,
+           count(*) AS fetch_attempt_count, count(*) FILTER (idx IS NULL) AS split_window_count,
+           (SELECT count(*) FROM twice) AS raw_article_count, (SELECT count(*) FROM uniq) AS deduplicated_article_count,
+           (SELECT count(*) FROM twice) - (SELECT count(*) FROM uniq) AS duplicates_removed,
+           count(*) FILTER (idx IS NOT NULL AND n >= 2) AS truncated_window_count
+    FROM (SELECT nodes.n, leaves.idx FROM nodes LEFT JOIN leaves USING (lo, hi, depth))""",
+    "dataset_quality_repeated": _with(CORPUS, LINKED, SELECTED, TWICE, UNIQUE) + """
+    SELECT contract, CASE WHEN contract = 'articles' THEN bad ELSE 0 END AS records_bad,
+           contract <> 'articles' OR bad = 0 AS validated
+    FROM (SELECT unnest(['articles', 'trend_series', 'entity_tracking', 'languages', 'source_countries', 'domains',
+                         'matched_entities', 'summary', 'windows', 'coverage', 'sentiment_series', 'enrichment']) AS contract),
+         (SELECT count(*) FILTER (url IS NULL) AS bad FROM uniq)""",
 }

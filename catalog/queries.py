@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog import views
+from pressgrid.functions.numbers import to_number
 from pressgrid.functions.times import iso_utc
 from pressgrid.operators import articles as art
 from pressgrid.operators import dedup, pages, predicates, quality, series, summary, windows
@@ -23,6 +25,7 @@ from pressgrid.sources import (
     read_articles,
     read_corpus,
     read_pages,
+    read_timeline,
     shared_folder,
     stage,
     write_articles_csv,
@@ -119,6 +122,16 @@ def _match_terms(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _match_term_table(spark: SparkSession, folder: str) -> DataFrame:
+    """All words of the benchmark items, and pairs of neighbouring ones, in all turns of conversations."""
+    items = views.table(spark, folder, "benchmark").select(F.split("text", r"\s+").alias("words"))
+    pairs = F.zip_with("words", F.slice("words", 2, F.size("words")), lambda a, b: F.concat_ws(" ", a, b))
+    terms = items.select(F.explode(F.concat("words", pairs)).alias("term"))
+    turns = views.table(spark, folder, "conversations").withColumn("turn_id", F.struct("conv_id", "turn", "role", "text"))
+    found = art.match_term_table(turns, terms, F.col("text"), "turn_id")
+    return found.groupBy("term").agg(F.count("*").alias("turns"), F.min("turn_id.conv_id").alias("first_conv"))
+
+
 def _matched(spark: SparkSession, folder: str) -> DataFrame:
     return art.normalize_articles(views.read_corpus_as_pages(spark, folder), KEYWORDS, PHRASES, ENTITIES)
 
@@ -135,19 +148,19 @@ def _feed_articles(spark: SparkSession, folder: str) -> DataFrame:
     return art.normalize_articles(views.feed(spark, folder), entities=("Nation 7", "click", "nation 1", "click"))
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    return rows.select("value", "count", F.array_join(F.col("first_at").cast("array<string>"), "/").alias("first_at"))
+
+
 def _rank(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return summary.rankings(_feed_articles(spark, folder))[name].select(
-            "value", "count", F.col("first_at").cast("string").alias("first_at")
-        )
+        return _ranked(summary.rankings(_feed_articles(spark, folder))[name])
 
     return run
 
 
 def _rank_newest(spark: SparkSession, folder: str) -> DataFrame:
-    return summary.rankings(_feed_articles(spark, folder), Sort.NEWEST)["source_countries"].select(
-        "value", "count", F.col("first_at").cast("string").alias("first_at")
-    )
+    return _ranked(summary.rankings(_feed_articles(spark, folder), Sort.NEWEST)["source_countries"])
 
 
 def _summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -327,6 +340,26 @@ def _extract_empty(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract_pages(rows).select("page_id", "url", "status", "success", "error", "language")
 
 
+def _enrich_crowded(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of all articles share the address of one page."""
+    rows, found = views.linked(spark, folder), views.table(spark, folder, "pages")
+    one = found.agg(F.min("url")).scalar()
+    shared = rows.withColumn("url", F.when(F.col("doc_id") % 3 == 0, one).otherwise(F.col("url")))
+    return pages.enrich_articles(shared, found, crowd=1000).select(
+        "doc_id", "url", F.col("scraped.status").alias("scrape_status"), F.col("scraped.final_url").alias("scraped_final_url"),
+        F.col("scraped.language").alias("scraped_language"),
+    )
+
+
+def _enrich_half(spark: SparkSession, folder: str) -> DataFrame:
+    """A limit of half of all articles."""
+    rows = views.linked(spark, folder)
+    half = rows.count() // 2
+    return pages.enrich_articles(rows, views.table(spark, folder, "pages"), half, Sort.NEWEST).select(
+        "doc_id", F.coalesce("scraped.status", F.lit("not_requested")).alias("scrape_status")
+    )
+
+
 def _enrich_copies(spark: SparkSession, folder: str) -> DataFrame:
     """Every 20th page without HTML, every tenth address with an earlier copy without HTML."""
     rows = views.table(spark, folder, "pages").select("page_id", "url", "html")
@@ -340,16 +373,32 @@ def _enrich_copies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _read_articles(spark: SparkSession, folder: str) -> DataFrame:
-    """The feed as response files, one a window, read back."""
+    """The feed as response files, one a window and named in their order, read back."""
     where = _target(spark, "responses")
     article = F.struct("position", "url", "title", "seendate", "domain", "language", "sourcecountry", "tone", "themes")
     responses = views.feed(spark, folder).groupBy("window_index").agg(F.sort_array(F.collect_list(article)).alias("articles"))
-    responses.drop("window_index").write.option("maxRecordsPerFile", 1).json(where)
+    named = responses.select(F.lpad(F.col("window_index").cast("string"), 10, "0").alias("name"), "articles")
+    named.write.partitionBy("name").json(where)
     return read_articles(spark, where).select(
-        "url", "title", "seendate", "domain", "language", "sourcecountry", F.round("tone", 6).alias("tone"), "position"
+        "url", "title", "seendate", "domain", "language", "sourcecountry", F.round("tone", 6).alias("tone"), "window_index",
+        "position",
     )
 
 
+def _read_timeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Timeline points as payload files that hold other fields around them, and a second list behind them."""
+    where = _target(spark, "payloads")
+    points = F.collect_list(F.struct("event_id", "date", "value", "count", "norm"))
+    payload = F.to_json(F.struct(
+        F.lit("v1").alias("version"), F.array(F.lit("a"), F.lit("b")).alias("tags"), F.sort_array("points").alias("points"),
+        F.array(F.struct(F.lit("20240101").alias("date"), F.lit(1).alias("value"))).alias("alternative"),
+    ))
+    grouped = views.timeline(spark, folder).groupBy((F.col("event_id") / 1000).cast("long").alias("file")).agg(points.alias("points"))
+    grouped.select(payload.alias("value")).write.option("maxRecordsPerFile", 1).text(where)
+    numbers = (F.round(to_number(F.col(name)), 6).alias(name) for name in ("value", "count", "norm"))
+    return read_timeline(spark, where).select("date", *numbers)
+
+
 def _landed_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Windows of a few days of a corpus that is partitioned by day."""
     where = _target(spark, "corpus")
@@ -391,7 +440,9 @@ def _json_rows(spark: SparkSession, folder: str) -> DataFrame:
     return views.table(spark, folder, "events").selectExpr(
         "event_id",
         """concat('{', CASE WHEN event_id % 9 = 0 THEN '' WHEN event_id % 9 = 1 THEN '"id":true,'
-                           WHEN event_id % 9 = 2 THEN '"id":1.0,' ELSE concat('"id":', event_id, ',') END,
+                           WHEN event_id % 9 = 2 THEN '"id":1.0,' WHEN event_id % 9 = 3 THEN '"id":12345678901234567890.0,'
+                           WHEN event_id % 9 = 4 THEN '"id":1e3,' WHEN event_id % 9 = 5 THEN '"id":12345678901234567890,'
+                           WHEN event_id % 9 = 6 THEN concat('"id":', repeat('9', 45), ',') ELSE concat('"id":', event_id, ',') END,
                   '"kind":"', event_type, '",',
                   CASE WHEN event_id % 6 = 0 THEN '"more":1,' ELSE '' END,
                   '"value":', CASE WHEN event_id % 5 = 0 THEN 'null' WHEN event_id % 5 = 1 THEN '"high"'
@@ -421,15 +472,40 @@ REQUEST = Request(
 )
 
 
+# Everything twice, at most two rows a window: every window is halved down to its seconds, of which each is full.
+REPEATED = replace(REQUEST, max_records=2)
+# An address is never missing: every seventh document has none.
+ADDRESSED = {**CONTRACTS["articles"], "properties": {**CONTRACTS["articles"]["properties"], "url": {"type": "string"}}}
+
+
+def _plain(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    for name, kind in rows.dtypes:
+        if kind.startswith("timestamp"):
+            rows = rows.withColumn(name, iso_utc(F.col(name)))
+        elif kind == "double":
+            rows = rows.withColumn(name, F.round(name, 6))
+    return rows.select(*columns) if columns else rows
+
+
 def _dataset(name: str, *columns: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         tables = build_dataset(
             views.linked_corpus(spark, folder), REQUEST, views.table(spark, folder, "pages"), tie=("doc_id",)
         )
-        rows = tables[name]
-        if "bucket_start" in rows.columns:
-            rows = rows.withColumn("bucket_start", iso_utc(F.col("bucket_start")))
-        return rows.select(*columns) if columns else rows
+        return _plain(tables[name], columns)
+
+    return run
+
+
+def _repeated(name: str, *columns: str) -> Query:
+    """A table of the dataset over a corpus that holds every article twice."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        once = views.linked_corpus(spark, folder)
+        twice = dedup.union_fetches([once.withColumn("copy", F.lit(copy)) for copy in (0, 1)])
+        found = views.table(spark, folder, "pages")
+        tables = build_dataset(twice, REPEATED, found, tie=("doc_id", "copy"), contracts={"articles": ADDRESSED})
+        return _plain(tables[name], columns)
 
     return run
 
@@ -471,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "volume_day": _volume("day"),
     "normalize_articles": _normalize,
     "match_terms": _match_terms,
+    "match_term_table": _match_term_table,
     "entity_tracking_day": _entity_tracking("day"),
     "entity_tracking_hour": _entity_tracking("hour"),
     "rank_language": _rank("languages"),
@@ -514,6 +591,8 @@ QUERIES: dict[str, Query] = {
     "extract_pages_empty": _extract_empty,
     "enrich_articles": _enrich(None),
     "enrich_limit": _enrich(150),
+    "enrich_half": _enrich_half,
+    "enrich_crowded": _enrich_crowded,
     "enrich_summary": _enrich_summary,
     "enrich_errors": _enrich_errors,
     "enrich_copies": _enrich_copies,
@@ -524,6 +603,7 @@ QUERIES: dict[str, Query] = {
     "landed_corpus": _landed,
     "landed_windows": _landed_windows,
     "read_articles": _read_articles,
+    "read_timeline": _read_timeline,
     "quality_violations": _violations,
     "quality_json_violations": _json_violations,
     "quality_summary": _quality_summary,
@@ -537,4 +617,12 @@ QUERIES: dict[str, Query] = {
     "dataset_coverage": _dataset("coverage"),
     "dataset_domains": _dataset("domains", "value", "count"),
     "dataset_quality": _dataset("quality", "contract", "records_bad", "validated"),
+    "dataset_sentiment": _dataset("sentiment_series"),
+    "dataset_enrichment": _dataset("enrichment"),
+    "dataset_matched_entities": _dataset("matched_entities", "value", "count"),
+    "dataset_windows": _repeated("windows"),
+    "dataset_warnings": _repeated("warnings", "split_depth", "message"),
+    "dataset_summary_repeated": _repeated("summary"),
+    "dataset_coverage_repeated": _repeated("coverage"),
+    "dataset_quality_repeated": _repeated("quality", "contract", "records_bad", "validated"),
 }

@@ -7,10 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressgrid.functions.text import clean, fold, let, strip
+from pressgrid.functions.text import blank_to_null, clean, fold, let, strip
 from pressgrid.functions.times import seen_timestamp
 from pressgrid.operators.predicates import match_space
 from pressgrid.schemas import ARTICLE, SCRAPED
+from pressgrid.sources.staging import STAGES, Stages
+
+#: Longest pieces of text by which terms of a table are found, and how much of a word is cut up at once.
+_GRAM, _CHUNK = 3, 64
 
 
 def _scraped_columns(articles: DataFrame) -> dict[str, Column]:
@@ -52,6 +56,82 @@ def match_terms(space: Column, terms: Sequence[str]) -> Column:
     return let(fold(space), lambda text: _hits(text, wanted)) if wanted else _hits(space, wanted)
 
 
+def _grams(word: Column, size: Column) -> Column:
+    """All runs of ``size`` characters, each once; none of a shorter word."""
+    starts = F.when(F.length(word) >= size, F.sequence(F.lit(1), F.length(word) - size + 1))
+    runs = F.transform(starts, lambda at: F.substring(word, at, size))
+    return F.coalesce(F.array_distinct(runs), F.array().cast("array<string>"))
+
+
+def _chunks(word: Column) -> Column:
+    """Overlapping stretches of a word that together hold all its runs of up to ``_GRAM`` characters."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(word), F.lit(1)), F.lit(_CHUNK))
+    return F.transform(starts, lambda at: F.substring(word, at, F.lit(_CHUNK + _GRAM - 1)))
+
+
+def _anchored(terms: DataFrame, term: str) -> DataFrame:
+    """(term, folded, anchor, led, followed, single) of each term: its longest word, and whether words stand beside it."""
+    words = F.split("folded", " ")
+    longest = F.array_max(F.transform(words, lambda word, at: F.struct(
+        F.length(word).alias("size"), (-at).alias("before"), word.alias("word")
+    )))
+    last = F.size(words) - 1
+    return (
+        terms.select(blank_to_null(strip(F.col(term))).alias("term")).filter(F.col("term").isNotNull()).distinct()
+        .withColumn("folded", fold(F.col("term"))).withColumn("longest", longest)
+        .select(
+            "term", "folded", F.col("longest.word").alias("anchor"),
+            (F.col("longest.before") < 0).alias("led"), (F.col("longest.before") > -last).alias("followed"),
+            (last == 0).alias("single"),
+        )
+    )
+
+
+def match_term_table(
+    rows: DataFrame, terms: DataFrame, space: Column, id_column: str, term_column: str = "term", stages: Stages = STAGES
+) -> DataFrame:
+    """(``id_column``, ``term``) for every row whose text ``space`` contains the term, regardless of case.
+
+    For terms by the thousand, which come as a table; :func:`match_terms` gives the same answer for a few. A term is looked up
+    by its longest word, and that by its rarest run of up to three characters, in an inverted index of the words that
+    the texts are made of. Only words that share this run are compared with it, once for the whole table however often
+    they occur. Terms of one word are settled by that; a text is searched for a longer term only if it has a word that
+    the term's longest one fits. Null and empty terms are left out, repeated ones count once; a row without text has no matches.
+    ``id_column`` identifies a row.
+    """
+    texts = rows.select(F.col(id_column).alias("_id"), fold(space).alias("_text"))
+    wanted = _anchored(terms, term_column)
+    words = texts.select("_id", F.explode(F.array_distinct(F.split("_text", " "))).alias("word")).filter("word <> ''")
+    vocabulary = stages.keep(words.select("word").distinct(), "vocabulary")
+    sizes = range(1, _GRAM + 1)
+    index = (
+        vocabulary.select("word", F.explode(_chunks(F.col("word"))).alias("part"))
+        .select("word", F.explode(F.flatten(F.array(*(_grams(F.col("part"), F.lit(n)) for n in sizes)))).alias("gram")).distinct()
+    )
+    counts = index.groupBy("gram").agg(F.count("*").alias("words"))
+    own = F.least(F.length("anchor"), F.lit(_GRAM))
+    rarest = (
+        wanted.select("*", F.explode(_grams(F.col("anchor"), own)).alias("gram")).join(counts, "gram", "left")
+        .groupBy("term", "folded", "anchor", "led", "followed", "single")
+        .agg(F.min(F.struct(F.coalesce("words", F.lit(0)).alias("words"), F.col("gram"))).alias("rarest"))
+        .select("term", "folded", "anchor", "led", "followed", "single", F.col("rarest.gram").alias("gram"))
+    )
+    word, anchor = F.col("word"), F.col("anchor")
+    # A word led by another stands behind a space, so a word of the text begins with it; likewise at its end.
+    fits = (
+        F.when(F.col("led") & F.col("followed"), word == anchor)
+        .when(F.col("led"), F.startswith(word, anchor)).when(F.col("followed"), F.endswith(word, anchor))
+        .otherwise(F.contains(word, anchor))
+    )
+    held = stages.keep(index.join(rarest, "gram").filter(fits).select("word", "term", "folded", "single"), "words")
+    single = words.join(held.filter("single").select("word", "term"), "word").select("_id", "term").distinct()
+    longer = words.join(held.filter("NOT single").select("word", "term", "folded"), "word")
+    asked = longer.groupBy("_id").agg(F.collect_set(F.struct("term", "folded")).alias("_asked"))
+    found = F.filter("_asked", lambda term: F.contains(F.col("_text"), term["folded"]))
+    several = texts.join(asked, "_id").select("_id", F.explode(found).alias("term")).select("_id", "term.term")
+    return single.unionByName(several).withColumnRenamed("_id", id_column)
+
+
 def match_articles(
     articles: DataFrame, keywords: Sequence[str] = (), phrases: Sequence[str] = (), entities: Sequence[str] = ()
 ) -> DataFrame:

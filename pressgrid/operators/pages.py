@@ -18,13 +18,17 @@ from pyspark.sql import types as T
 
 from pressgrid.functions.text import blank_to_null, compact_whitespace, strip
 from pressgrid.operators.dedup import fetch_key, sort_columns
+from pressgrid.operators.places import numbered
 from pressgrid.plans.request import Sort
+from pressgrid.sources.staging import STAGES, Stages
 
 # Executors get the reading function itself, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EXCERPT_LENGTH = 280
 NO_CONTENT = "page has no content"
+#: Articles of one address that are enriched together.
+CROWD = 100_000
 # Where a field is looked up in a page's metadata, first non-empty entry first.
 DESCRIPTION_KEYS = ("og:description", "description", "twitter:description")
 PUBLISHED_KEYS = ("article:published_time", "parsely-pub-date", "pubdate", "date", "og:pubdate")
@@ -192,9 +196,28 @@ def landed_pages(pages: DataFrame, addresses: DataFrame, order: str = "page_id",
     )
 
 
-def first_articles(articles: DataFrame, limit: int, sort: Sort | str) -> DataFrame:
-    """Fetch keys of the first ``limit`` articles in sort order: a top-k of one number per row."""
-    return articles.orderBy(*sort_columns(sort)).limit(limit).select(fetch_key().alias("_fetch_key"))
+def first_articles(articles: DataFrame, limit: int, sort: Sort | str, stages: Stages = STAGES) -> DataFrame:
+    """Fetch keys of the first ``limit`` articles in sort order.
+
+    Sort keys alone are laid out by ranges, and a row's place follows from its place in its range and the sizes of the
+    ranges before; so any number of articles is found without gathering them in one task.
+    """
+    keys = articles.select("seendate", "window_index", "tone", "position")
+    placed = numbered(keys, sort_columns(sort), stages.keep)
+    return placed.filter(F.col("place") < limit).select(fetch_key().alias("_fetch_key"))
+
+
+def _dealt(keyed: DataFrame, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """``keyed`` with ``_salt``, and (_key, _salts) of the addresses that more than ``crowd`` articles share.
+
+    Such an address is dealt out in parts of about ``crowd`` articles.
+    """
+    crowded = (
+        keyed.groupBy("_key").agg(F.count("*").alias("_rows")).filter(F.col("_rows") > crowd)
+        .select("_key", F.ceil(F.col("_rows") / crowd).cast("int").alias("_salts"))
+    )
+    salt = F.pmod(F.xxhash64("window_index", "position"), F.coalesce("_salts", F.lit(1)))
+    return keyed.join(crowded, "_key", "left").withColumn("_salt", salt.cast("int")).drop("_salts"), crowded
 
 
 def enrich_articles(
@@ -203,12 +226,15 @@ def enrich_articles(
     limit: int | None = None,
     sort: Sort | str = Sort.RELEVANCE,
     order: str = "page_id",
+    crowd: int = CROWD,
+    stages: Stages = STAGES,
 ) -> DataFrame:
     """Articles with the landed page of their address as the column ``scraped``.
 
     Only the first ``limit`` articles in sort order are enriched, those without an address counting
     towards the limit; the rest keep a null ``scraped``. Pages are narrowed to the wanted addresses before
-    any HTML is read.
+    any HTML is read. Addresses are counted first: one that more than ``crowd`` articles share is dealt out over tasks, and
+    its page is repeated once for each part and no more.
     """
     url = F.coalesce(strip(F.col("url")), F.lit(""))
     # Rows without an address get keys that no address equals, spread so that they do not share a task.
@@ -217,7 +243,7 @@ def enrich_articles(
     if limit is None:
         keyed = keyed.withColumn("_wanted", F.lit(True))
     else:
-        chosen = first_articles(articles, limit, sort).withColumn("_wanted", F.lit(True))
+        chosen = first_articles(articles, limit, sort, stages).withColumn("_wanted", F.lit(True))
         keyed = (
             keyed.withColumn("_fetch_key", fetch_key()).join(chosen, "_fetch_key", "left")
             .withColumn("_wanted", F.coalesce("_wanted", F.lit(False))).drop("_fetch_key")
@@ -237,8 +263,11 @@ def enrich_articles(
             "text_length",
         ).alias("_page"),
     )
-    joined = keyed.join(looked_up, "_key", "left")
     page_type = looked_up.schema["_page"].dataType
+    dealt, crowded = _dealt(keyed, crowd)
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_salt")
+    repeated = looked_up.join(crowded, "_key", "left").select("_key", "_page", parts)
+    joined = dealt.join(repeated, ["_key", "_salt"], "left").drop("_salt")
 
     def failed(status: str, error: str, requested: Column) -> Column:
         values = {

@@ -52,11 +52,11 @@ def _expected(contract: dict[str, Any]) -> str:
 # --- JSON records -------------------------------------------------------------------------------
 
 
-def _json_type(value: Column) -> Column:
-    """The JSON type of a variant. Whole numbers beyond 64 bits arrive as decimals without a fraction,
-    as do numbers written like ``1.0``, which have at most 18 digits."""
+def _json_type(value: Column, text: Column) -> Column:
+    """The JSON type of a variant. ``text`` is the value as it is written, which tells apart the numbers that a variant
+    stores alike: beyond 64 bits, and like ``1.0``. It is looked at for those alone."""
     stored = F.schema_of_variant(value)
-    digits = F.regexp_extract(stored, r"^DECIMAL\((\d+),0\)$", 1)
+    whole = F.trim(text).rlike(r"^-?\d+$")
     return (
         F.when(value.isNull() | F.is_variant_null(value), F.lit("null"))
         .when(stored.startswith("OBJECT"), F.lit("object"))
@@ -64,8 +64,8 @@ def _json_type(value: Column) -> Column:
         .when(stored == "STRING", F.lit("string"))
         .when(stored == "BOOLEAN", F.lit("boolean"))
         .when(stored.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("integer"))
-        .when((digits != "") & (F.length(digits) == 2) & (digits >= "19"), F.lit("integer"))
-        .otherwise(F.lit("number"))
+        .when(stored.rlike(r"^DECIMAL\(\d+,[1-9]") | ~F.coalesce(whole, F.lit(False)), F.lit("number"))
+        .otherwise(F.lit("integer"))
     )
 
 
@@ -74,39 +74,41 @@ def _accepts(found: Column, kinds: Sequence[str]) -> Column:
     return found.isin(allowed)
 
 
-def _json_checks(value: Column, contract: dict[str, Any], path: Column) -> Column:
+def _json_checks(value: Column, text: Column, contract: dict[str, Any], path: Column) -> Column:
     """All violations at and below one value. Its type and its fields are looked up once."""
-    return let(_json_type(value), lambda found: _joined(_json_rules(value, found, contract, path)))
+    return let(_json_type(value, text), lambda found: _joined(_json_rules(value, text, found, contract, path)))
 
 
-def _json_rules(value: Column, found: Column, contract: dict[str, Any], path: Column) -> list[Column]:
+def _json_rules(value: Column, text: Column, found: Column, contract: dict[str, Any], path: Column) -> list[Column]:
     kinds, checks = _types(contract), []
     if kinds:
         checks.append(_when(
             ~_accepts(found, kinds), path, "type", F.concat(F.lit(f"{_expected(contract)}, got "), found)
         ))
     if "enum" in contract:
-        text = F.coalesce(F.try_variant_get(value, "$", "string"), F.lit("null"))
+        got = F.coalesce(F.try_variant_get(value, "$", "string"), F.lit("null"))
         allowed = ["null" if e is None else str(e) for e in contract["enum"]]
-        wrong = ~text.isin(allowed)
+        wrong = ~got.isin(allowed)
         if all(e is None or isinstance(e, str) for e in contract["enum"]):
             # A number that reads like an allowed word is not that word.
             wrong = wrong | ~found.isin("string", "null")
-        checks.append(_when(wrong, path, "enum", F.concat(F.lit(f"expected one of {allowed}, got "), text)))
+        checks.append(_when(wrong, path, "enum", F.concat(F.lit(f"expected one of {allowed}, got "), got)))
     if "object" in kinds:
         fields = F.try_variant_get(value, "$", "map<string,variant>")
-        inside = let(fields, lambda held: _joined(_field_rules(held, contract, path)))
+        inside = let(fields, lambda held: _joined(_field_rules(held, text, contract, path)))
         checks.append(F.when(found == "object", inside).otherwise(_none()))
     if "array" in kinds and contract.get("items"):
         per_item = F.transform(
             F.try_variant_get(value, "$", "array<variant>"),
-            lambda item, at: _json_checks(item, contract["items"], _element(path, at)),
+            lambda item, at: _json_checks(
+                item, F.get(F.from_json(text, "array<string>"), at), contract["items"], _element(path, at)
+            ),
         )
         checks.append(F.when(found == "array", F.flatten(per_item)).otherwise(_none()))
     return checks
 
 
-def _field_rules(held: Column, contract: dict[str, Any], path: Column) -> list[Column]:
+def _field_rules(held: Column, text: Column, contract: dict[str, Any], path: Column) -> list[Column]:
     names, checks = F.map_keys(held), []
     known = contract.get("properties", {})
     for key in contract.get("required", []):
@@ -117,8 +119,9 @@ def _field_rules(held: Column, contract: dict[str, Any], path: Column) -> list[C
             F.size(more) > 0, path, "extra", F.concat(F.lit("unexpected "), F.array_join(more, ", "))
         )))
     for key, rule in known.items():
+        own = F.try_element_at(F.from_json(text, "map<string,string>"), F.lit(key))
         checks.append(F.when(
-            F.array_contains(names, key), _json_checks(F.try_element_at(held, F.lit(key)), rule, _child(path, key))
+            F.array_contains(names, key), _json_checks(F.try_element_at(held, F.lit(key)), own, rule, _child(path, key))
         ).otherwise(_none()))
     return checks
 
@@ -187,7 +190,7 @@ def _checked(rows: DataFrame, contract: dict[str, Any], json: str | None) -> Col
     value = F.try_parse_json(F.col(json))
     unreadable = _when(F.lit(True), root, "json", F.lit("not a JSON value"))
     return let(value, lambda record: F.when(record.isNull(), unreadable).otherwise(
-        _json_checks(record, contract, root)
+        _json_checks(record, F.col(json), contract, root)
     ))
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,34 +11,36 @@ from pressgrid.operators.dedup import fetch_key
 from pressgrid.operators.series import TONE_METRIC, VOLUME_METRIC
 from pressgrid.plans.request import Sort
 
-_SHIFT = Decimal(10**19)  # above every fetch key
-_MAX_TERMS = 100_000
 
 
-def appearance(sort: Sort | str, seen: str = "seen_at") -> Column:
-    """A single number that grows along the sort order, for finding a value's first appearance.
-
-    Fixed-width numbers keep the minimum inside hash aggregation. Date orders put the seconds in front of
-    the fetch key, which takes a wide decimal.
-    """
+def appearance(sort: Sort | str, seen: str = "seen_at") -> list[Column]:
+    """Whole numbers that together grow along the sort order: for date orders the second, then the fetch key."""
     sort = Sort(sort)
     if sort not in (Sort.NEWEST, Sort.OLDEST):
-        return fetch_key()
+        return [fetch_key()]
     # Undated articles compare as empty text, hence before every date.
     seconds = F.coalesce(F.unix_seconds(F.col(seen).cast("timestamp")), F.lit(-(1 << 40)))
-    signed = -seconds if sort == Sort.NEWEST else seconds
-    return (signed.cast("decimal(13,0)") * F.lit(_SHIFT) + fetch_key().cast("decimal(19,0)")).cast("decimal(38,0)")
+    return [-seconds if sort == Sort.NEWEST else seconds, fetch_key()]
 
 
-def ranked_counts(rows: DataFrame, value: str, order: Column | str = "appearance") -> DataFrame:
-    """Values by falling count, ties by first appearance. Null and empty values are left out."""
-    order = F.col(order) if isinstance(order, str) else order
-    counts = (
-        rows.select(F.col(value).alias("value"), order.alias("_at"))
-        .filter(F.col("value").isNotNull() & (F.col("value") != ""))
-        .groupBy("value").agg(F.count("*").alias("count"), F.min("_at").alias("first_at"))
-    )
-    return counts.orderBy(F.col("count").desc(), F.col("first_at"))
+def ranked_counts(rows: DataFrame, value: str, order: Sequence[Column | str] = ("appearance",)) -> DataFrame:
+    """Values by falling count, ties by first appearance: ``value``, ``count``, ``first_at``. Null and empty values are left out.
+
+    ``order`` holds whole numbers, the first of most weight. The least of the first is found for all values by hash aggregation; each
+    further number is minimised among the rows that hold the least so far, which are joined by value. ``first_at`` lists the
+    numbers of a value's first row.
+    """
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
+    numbers = [f"_at{n}" for n in range(len(columns))]
+    held = rows.select(
+        F.col(value).alias("value"), *(c.cast("long").alias(n) for c, n in zip(columns, numbers, strict=True))
+    ).filter(F.col("value").isNotNull() & (F.col("value") != ""))
+    found = held.groupBy("value").agg(F.count("*").alias("count"), F.min(numbers[0]).alias(numbers[0]))
+    for at, number in enumerate(numbers[1:], 1):
+        least = found.select("value", *numbers[:at])
+        further = held.join(least, ["value", *numbers[:at]]).groupBy("value").agg(F.min(number).alias(number))
+        found = found.join(further, "value")
+    return found.orderBy(F.col("count").desc(), *numbers).select("value", "count", F.array(*numbers).alias("first_at"))
 
 
 RANKINGS = {
@@ -55,13 +56,15 @@ def ranking(
 ) -> DataFrame:
     """Ranked counts of one of ``RANKINGS``."""
     column = RANKINGS[name]
-    rows = (articles() if callable(articles) else articles).withColumn("appearance", appearance(sort))
+    rows, order = articles() if callable(articles) else articles, appearance(sort)
     if name == "matched_entities":
         # Inside one article, entities appear in the order in which they were asked for.
-        place = F.col("appearance").cast("decimal(38,0)") * F.lit(_MAX_TERMS) + F.col("at")
-        rows = rows.select("appearance", F.posexplode_outer(column).alias("at", column))
-        rows = rows.select(column, place.cast("decimal(38,0)").alias("appearance"))
-    return ranked_counts(rows, column)
+        names = [f"order{at}" for at in range(len(order))]
+        rows = rows.select(
+            *(c.alias(n) for c, n in zip(order, names, strict=True)), F.posexplode_outer(column).alias("at", column)
+        )
+        order = [*names, "at"]
+    return ranked_counts(rows, column, order)
 
 
 def rankings(articles: DataFrame, sort: Sort | str = Sort.RELEVANCE) -> dict[str, DataFrame]:

@@ -483,16 +483,12 @@ def coverage_warnings(tree: DataFrame, max_rows: int | None) -> DataFrame:
             F.coalesce(iso_utc(F.col("end")), F.lit("None")),
         ),
     )
-    outcome = F.when(F.col("leaf"), F.lit("results may be truncated")).otherwise(
-        F.lit("splitting into smaller windows")
-    )
+    outcome = F.when(F.col("leaf"), F.lit("any further ones are left out")).otherwise(F.lit("it is read in halves"))
     return (
         tree.filter(_reached(F.col("rows"), max_rows))
         .select(
             "start", F.col("depth").alias("split_depth"),
-            F.concat(
-                F.lit("article window "), described, F.lit(f" reached max_records={max_rows}; "), outcome
-            ).alias("message"),
+            F.concat(F.lit(f"{max_rows} articles or more in the window "), described, F.lit(": "), outcome).alias("message"),
         )
         .orderBy("start", "split_depth")
     )

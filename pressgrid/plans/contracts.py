@@ -59,7 +59,7 @@ def _table(**kinds: str | list[str]) -> dict[str, Any]:
 
 
 ENTITY_TRACKING = _table(bucket_start="string", entity="string", article_count="integer")
-RANKED = _table(value="string", count="integer", first_at="number")
+RANKED = _table(value="string", count="integer", first_at="array")
 WINDOW = _table(
     index="integer", start=["string", "null"], end=["string", "null"], timespan=["string", "null"],
     returned_articles="integer", truncated="boolean", split_depth="integer", adaptive_split="boolean",

@@ -40,7 +40,7 @@ from pressgrid.operators.windows import (
 )
 from pressgrid.plans.contracts import CONTRACTS
 from pressgrid.plans.request import Request, Sort
-from pressgrid.sources.staging import stage
+from pressgrid.sources.staging import Stages
 
 
 def _dated(corpus: DataFrame) -> DataFrame:
@@ -50,10 +50,14 @@ def _dated(corpus: DataFrame) -> DataFrame:
 
 
 class Dataset(Mapping):
-    """All result tables by name. A table is planned when it is first asked for, and runs when it is used."""
+    """All result tables by name. A table is planned when it is first asked for, and runs when it is used.
 
-    def __init__(self, builders: dict[str, Callable[[], DataFrame | None]]) -> None:
-        self._builders, self._tables = builders, {}
+    Steps that several tables start from belong to ``stages``; ``close`` gives them up, after which tables that were
+    named before compute them again, or are gone where they lay in a folder.
+    """
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame | None]], stages: Stages) -> None:
+        self._builders, self._tables, self.stages = builders, {}, stages
 
     def __getitem__(self, name: str) -> DataFrame | None:
         if name not in self._tables:
@@ -66,6 +70,15 @@ class Dataset(Mapping):
     def __len__(self) -> int:
         return len(self._builders)
 
+    def close(self) -> None:
+        self.stages.close()
+
+    def __enter__(self) -> Dataset:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
 
 def build_dataset(
     corpus: DataFrame,
@@ -75,16 +88,19 @@ def build_dataset(
     tone: DataFrame | None = None,
     tie: tuple[str, ...] = ("url", "title"),
     staged: bool = True,
+    folder: str | None = None,
+    contracts: Mapping[str, dict] | None = None,
 ) -> Dataset:
     """All result tables of a request.
 
     ``corpus`` holds landed articles (``schemas.LISTED_ARTICLE``, optionally with ``seen_at`` and the full
     ``text``); ``tie`` orders articles seen at the same moment. Timelines that are not supplied are computed
-    from the corpus, if the request includes them.
+    from the corpus, if the request includes them. ``contracts`` replaces record contracts of the quality report by name.
 
-    The selected, collected, unique and finished articles are each written to shared storage once, when first
-    needed, and everything else starts from there: the corpus text is read by one pass per use of the filters.
-    With ``staged=False`` nothing runs until a table is used, at the price of one plan from the corpus per table.
+    The selected, collected, unique and finished articles are shared by all tables, which the dataset owns until it is closed:
+    naming a table starts no job, the first action computes each shared step once and keeps it on the executors' disks.
+    With a ``folder`` that all executors reach they are written there as Parquet when first named, so that lost executors cost no
+    more than their own tasks. With ``staged=False`` nothing is kept, at the price of one plan from the corpus per table.
     """
     if request.scrape_articles and pages is None:
         raise ValueError("enrichment needs a table of landed pages")
@@ -93,16 +109,18 @@ def build_dataset(
     span, cap, sort = request.date_range, request.max_records, request.sort
     corpus = _dated(corpus)
     texts = CORPUS_TEXT if "text" in corpus.columns else LISTED_TEXT
+    stages, rules = Stages(folder), {**CONTRACTS, **(contracts or {})}
 
     def kept(rows: DataFrame, name: str) -> DataFrame:
-        return stage(rows, name) if staged else rows
+        return stages.keep(rows, name) if staged else rows
 
     # The full text serves the filters only; it takes no part in any shuffle.
     selected = cache(lambda: kept(select_articles(corpus, spec, span, texts).drop("text", "seen_date"), "selected"))
-    raw = cache(lambda: kept(collect_articles(selected(), span, hours, cap, sort, tie=tie), "raw"))
+    raw = cache(lambda: kept(collect_articles(selected(), span, hours, cap, sort, tie=tie, stages=stages), "raw"))
     unique = cache(lambda: kept(dedup_articles(raw()), "unique") if request.deduplicate else raw())
     enriched = cache(
-        lambda: enrich_articles(unique(), pages, request.scrape_limit, sort) if request.scrape_articles else unique()
+        lambda: enrich_articles(unique(), pages, request.scrape_limit, sort, stages=stages)
+        if request.scrape_articles else unique()
     )
     articles = cache(lambda: kept(
         normalize_articles(enriched(), spec.keywords, spec.exact_phrases, spec.entities, spec.themes), "articles"
@@ -164,9 +182,10 @@ def build_dataset(
     if request.validate_schema:
         checked = [name for name in builders if name in CONTRACTS]
         builders["quality"] = lambda: reduce(
-            DataFrame.unionAll, (_checked(name, articles() if name == "articles" else builders[name]()) for name in checked)
+            DataFrame.unionAll,
+            (_checked(name, articles() if name == "articles" else builders[name](), rules[name]) for name in checked),
         )
-    return Dataset(builders)
+    return Dataset(builders, stages)
 
 
 def _in_order(articles: DataFrame, sort: Sort) -> DataFrame:
@@ -176,15 +195,12 @@ def _in_order(articles: DataFrame, sort: Sort) -> DataFrame:
     return articles.orderBy(*first, *fetch_order())
 
 
-def _checked(name: str, rows: DataFrame) -> DataFrame:
-    return quality_summary(rows, _article_contract(rows) if name == "articles" else CONTRACTS[name], name)
-
-
-def _article_contract(articles: DataFrame) -> dict:
-    """The article contract, fetch-order columns of the table being allowed beside it."""
-    contract = CONTRACTS["articles"]
-    order = {name: {"type": "integer"} for name in ("window_index", "position") if name in articles.columns}
-    return {**contract, "properties": {**contract["properties"], **order}}
+def _checked(name: str, rows: DataFrame, contract: dict) -> DataFrame:
+    if name == "articles":
+        # Fetch-order columns of the table are allowed beside those of the contract.
+        order = {c: {"type": "integer"} for c in ("window_index", "position") if c in rows.columns}
+        contract = {**contract, "properties": {**contract["properties"], **order}}
+    return quality_summary(rows, contract, name)
 
 
 __all__ = ["Dataset", "build_dataset"]

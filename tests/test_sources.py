@@ -38,8 +38,8 @@ def test_timeline_files(spark, tmp_path):
       {"datetime": "20260416", "count": "3.5"}, {"date": "20260416", "value": ""}], "other": [{"date": "x", "value": 1}]}""")
     rows = normalize_timeline(read_timeline(spark, str(tmp_path)), "m")
     assert sorted((r.value, r.norm, r.label) for r in rows.collect()) == [(1.0, None, "L"), (2.0, 20.0, None), (3.5, None, None)]
-    assert normalize_timeline(read_timeline(spark, str(tmp_path), "other"), "m").count() == 1
-    assert read_timeline(spark, str(tmp_path), "absent").count() == 0
+    assert normalize_timeline(read_timeline(spark, str(tmp_path), ["absent", "other"]), "m").count() == 1
+    assert read_timeline(spark, str(tmp_path), ["absent", "query"]).count() == 0
 
 
 def test_pages_from_files(spark, tmp_path):

@@ -90,8 +90,7 @@ def test_golden_four_hours_with_cap_two(seen):
     assert (totals.truncated_window_count, totals.raw_article_count, totals.batching_enabled) == (0, 2, True)
     (warning,) = coverage_warnings(tree, 2).collect()
     assert warning.message == (
-        "article window 2024-01-01T00:00:00Z to 2024-01-01T04:00:00Z reached max_records=2; "
-        "splitting into smaller windows"
+        "2 articles or more in the window 2024-01-01T00:00:00Z to 2024-01-01T04:00:00Z: it is read in halves"
     )
 
 
@@ -101,7 +100,7 @@ def test_full_second_is_truncated(seen):
     (window,) = adaptive_windows(rows, span, 24, 5).collect()
     assert window.truncated and window.returned_articles == 5 and window.split_depth == 0
     (warning,) = coverage_warnings(window_tree(rows, span, 24, 5), 5).collect()
-    assert warning.message.endswith("results may be truncated")
+    assert warning.message.endswith("any further ones are left out")
     assert collect_articles(rows, span, 24, 3, tie=("id",)).count() == 3
 
 
@@ -118,7 +117,7 @@ def test_open_relative_and_empty_ranges(seen):
     relative = TimeRange(timespan="24h", as_of=START + timedelta(hours=1))
     (window,) = adaptive_windows(rows, relative, 24, 2).collect()
     assert window.timespan == "24h" and window.truncated
-    assert "timespan=24h reached" in coverage_warnings(window_tree(rows, relative, 24, 2), 2).first().message
+    assert "window timespan=24h: any" in coverage_warnings(window_tree(rows, relative, 24, 2), 2).first().message
     moment = TimeRange(START, START)
     (window,) = adaptive_windows(rows, moment, 24, 5).collect()
     assert window.start == window.end and window.returned_articles == 1
