@@ -25,10 +25,19 @@ TRIPLES_UP_TO = 4096
 #: Steps of the fit.
 STEPS = 400
 #: Words of a generation that a worker remembers, two generations at most, and words of texts that are encoded together.
-CACHE_WORDS, GROUP_WORDS = 400_000, 100_000
+CACHE_WORDS, GROUP_WORDS = 800_000, 30_000
 
 #: A space that does not lead into a word: it stays with what comes before it.
 _LOOSE = re.compile(r" (?:\s|\Z)")
+_LOOSE_ASCII = tuple(f" {c}" for c in " \t\n\v\f\r\x1c\x1d\x1e\x1f")
+#: Marks that are a unit of their own between a letter and a space.
+_MARKS = ".,;:!?"
+
+
+def _loose(text: str) -> bool:
+    if text.isascii():
+        return text.endswith(" ") or any(pair in text for pair in _LOOSE_ASCII)
+    return bool(_LOOSE.search(text))
 
 
 class SpaceEncoder:
@@ -48,6 +57,7 @@ class SpaceEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.leads = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.leads[[at for token, at in vocabulary.items() if token.startswith(lead)]] = True
+        self.marks = dict(zip(_MARKS, (x.tobytes() for x in self._ids(list(_MARKS))), strict=True))
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -56,7 +66,7 @@ class SpaceEncoder:
     def words(text: str) -> list[str]:
         """What stands between spaces that lead into a word; the first entry has no space before it."""
         parts = text.split(" ")
-        if not _LOOSE.search(text):
+        if not _loose(text):
             return parts
         words = parts[:1]
         for part in parts[1:]:
@@ -66,8 +76,17 @@ class SpaceEncoder:
                 words[-1] += " " + part
         return words
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode new words in one line and cut it at the leading spaces; alone where these do not agree."""
+    def _learn(self, words: set[str]) -> None:
+        """Ids of new words; one that ends in a mark is put together from its letters and the mark."""
+        marked = {x: x[:-1] for x in words if x[-1] in self.marks and x[:-1].isalpha()}
+        words = words.difference(marked)
+        words.update(x for x in marked.values() if x not in self.known and x not in self.older)
+        self._encode(list(words))
+        for word, letters in marked.items():
+            self.known[word] = (self.known.get(letters) or self.older[letters]) + self.marks[word[-1]]
+
+    def _encode(self, words: list[str]) -> None:
+        """Encode words in one line and cut it at the leading spaces; alone where these do not agree."""
         plain = [x for x in words if " " not in x and "<|" not in x]
         ids = self._ids([" " + " ".join(plain)])[0] if plain else np.empty(0, dtype="<u4")
         starts = np.flatnonzero(self.leads[ids])
@@ -98,7 +117,7 @@ class SpaceEncoder:
             self.older, self.known = self.known, {}
         again = new.intersection(self.older)
         self.known.update((x, self.older[x]) for x in again)
-        self._learn(list(new.difference(again)))
+        self._learn(new.difference(again))
         for at in missing:
             ids[at] = self.known[flat[at]]
         ends = accumulate((len(words) - 1 for words in group), initial=0)
