@@ -3,6 +3,7 @@ least squares, rounded, and what is left is packed by best fit on counts."""
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -25,7 +26,7 @@ TRIPLES_UP_TO = 4096
 #: Steps of the fit.
 STEPS = 400
 #: Words of a generation that a worker remembers, two generations at most, and words of texts that are encoded together.
-CACHE_WORDS, GROUP_WORDS = 800_000, 30_000
+CACHE_WORDS, GROUP_WORDS = 800_000, 100_000
 
 #: A space that does not lead into a word: it stays with what comes before it.
 _LOOSE = re.compile(r" (?:\s|\Z)")
@@ -50,6 +51,7 @@ class SpaceEncoder:
     def __init__(self, path: str, remember: int = CACHE_WORDS, lead: str = "Ġ"):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.remember, self.tokenizer = remember, Tokenizer.from_file(path)
         # When a generation of words is full a new one begins, and words met again move over to it.
         self.known: dict[str, bytes] = {}
