@@ -10,6 +10,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate, chain, pairwise
+from string import punctuation
 
 import numpy as np
 import pandas as pd
@@ -25,14 +26,14 @@ END_ID = 2
 TRIPLES_UP_TO = 4096
 #: Steps of the fit.
 STEPS = 400
-#: Words of a generation that a worker remembers, two generations at most, and words of texts that are encoded together.
-CACHE_WORDS, GROUP_WORDS = 800_000, 100_000
+#: Words whose ids a worker remembers (later ones are encoded again), and words of texts that are encoded together.
+CACHE_WORDS, GROUP_WORDS = 1_200_000, 100_000
 
 #: A space that does not lead into a word: it stays with what comes before it.
 _LOOSE = re.compile(r" (?:\s|\Z)")
 _LOOSE_ASCII = tuple(f" {c}" for c in " \t\n\v\f\r\x1c\x1d\x1e\x1f")
-#: Marks that are a unit of their own between a letter and a space.
-_MARKS = ".,;:!?"
+#: Line ends that the pre-tokenizer would take together with other white space.
+_BLOCKED = re.compile(r"[^\S\n]\n|\n[^\S\n ]|\n\n(?:\s|\Z)|\n (?:\s|\Z)")
 
 
 def _loose(text: str) -> bool:
@@ -53,20 +54,30 @@ class SpaceEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.remember, self.tokenizer = remember, Tokenizer.from_file(path)
-        # When a generation of words is full a new one begins, and words met again move over to it.
         self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.leads = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.leads[[at for token, at in vocabulary.items() if token.startswith(lead)]] = True
-        self.marks = dict(zip(_MARKS, (x.tobytes() for x in self._ids(list(_MARKS))), strict=True))
+        self.line_end = vocabulary["Ċ"]
+        self.tails: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     @staticmethod
     def words(text: str) -> list[str]:
-        """What stands between spaces that lead into a word; the first entry has no space before it."""
+        """What stands between spaces that lead into a word; the first entry has no space before it.
+
+        The first word of a further line begins with its line end instead of a space.
+        """
+        if "\n" in text and not _BLOCKED.search(text) and not _loose(text):
+            first, *lines = text.split("\n")
+            words = first.split(" ")
+            for line in lines:
+                parts = line.split(" ")
+                parts[0] = "\n" + parts[0]
+                words += parts
+            return words
         parts = text.split(" ")
         if not _loose(text):
             return parts
@@ -78,25 +89,37 @@ class SpaceEncoder:
                 words[-1] += " " + part
         return words
 
-    def _learn(self, words: set[str]) -> None:
-        """Ids of new words; one that ends in a mark is put together from its letters and the mark."""
-        marked = {x: x[:-1] for x in words if x[-1] in self.marks and x[:-1].isalpha()}
-        words = words.difference(marked)
-        words.update(x for x in marked.values() if x not in self.known and x not in self.older)
-        self._encode(list(words))
-        for word, letters in marked.items():
-            self.known[word] = (self.known.get(letters) or self.older[letters]) + self.marks[word[-1]]
-
-    def _encode(self, words: list[str]) -> None:
-        """Encode words in one line and cut it at the leading spaces; alone where these do not agree."""
-        plain = [x for x in words if " " not in x and "<|" not in x]
-        ids = self._ids([" " + " ".join(plain)])[0] if plain else np.empty(0, dtype="<u4")
-        starts = np.flatnonzero(self.leads[ids])
-        if len(starts) == len(plain) and (not plain or starts[0] == 0):
+    def _learned(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of new words; letters with signs behind them are put together from both, as those are units of their own."""
+        parted = {}
+        for word in words:
+            letters = word.rstrip(punctuation)
+            if len(letters) < len(word) and letters.lstrip("\n").isalpha():
+                parted[word] = letters
+        words = words.difference(parted)
+        found: dict[str, bytes] = {}
+        words.update(x for x in parted.values() if x not in self.known)
+        spaced = [x for x in words if not x.startswith("\n")]
+        found.update(self._encode([x for x in spaced if " " not in x and "<|" not in x], " ", self.leads))
+        lines = [x for x in words if len(x) > 1 and len(x.split()) == 1 and x[0] == "\n" and "<|" not in x and not x[1].isspace()]
+        found.update(self._encode(lines, "", np.arange(len(self.leads)) == self.line_end))
+        rest = [x for x in words if x not in found]
+        found.update(zip(rest, (i.tobytes() for i in self._ids([x if x[0] == "\n" else " " + x for x in rest]))))
+        for word, letters in parted.items():
+            tail = word[len(letters) :]
+            if tail not in self.tails:
+                self.tails[tail] = self._ids([tail])[0].tobytes()
+            found[word] = (found.get(letters) or self.known[letters]) + self.tails[tail]
+        return found
+
+    def _encode(self, words: list[str], joint: str, leads: np.ndarray) -> dict[str, bytes]:
+        """Encode words in one line and cut it at the tokens that lead into them; none where these do not agree."""
+        ids = self._ids([joint + joint.join(words)])[0] if words else np.empty(0, dtype="<u4")
+        starts = np.flatnonzero(leads[ids])
+        if len(starts) == len(words) and (not words or starts[0] == 0):
             data, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-            self.known.update(zip(plain, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
-            words = [x for x in words if " " in x or "<|" in x]
-        self.known.update(zip(words, (x.tobytes() for x in self._ids([" " + x for x in words]))))
+            return dict(zip(words, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
+        return {}
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
@@ -114,14 +137,11 @@ class SpaceEncoder:
         flat = list(chain.from_iterable(words[1:] for words in group))
         ids = list(map(self.known.get, flat))
         missing = [at for at, own in enumerate(ids) if own is None]
-        new = set(map(flat.__getitem__, missing))
-        if len(self.known) + len(new) > self.remember:
-            self.older, self.known = self.known, {}
-        again = new.intersection(self.older)
-        self.known.update((x, self.older[x]) for x in again)
-        self._learn(new.difference(again))
+        found = self._learned(set(map(flat.__getitem__, missing)))
         for at in missing:
-            ids[at] = self.known[flat[at]]
+            ids[at] = found[flat[at]]
+        if len(self.known) + len(found) <= self.remember:
+            self.known.update(found)
         ends = accumulate((len(words) - 1 for words in group), initial=0)
         for head, (a, b) in zip(heads, pairwise(ends), strict=True):
             yield head + b"".join(ids[a:b])

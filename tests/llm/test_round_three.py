@@ -212,6 +212,8 @@ def test_space_encoder():
     texts = [
         "  a  b ", " \n x\n\n  y", "a<|endoftext|> b", " lead", "tail ", "", "  x  y", "don't  'S  it's\tq \t z", "x \x1c y \x85 z",
         "a  b  c", "one two,three. four", "ünï   cödé 12 34a !!", "x" * 50, " ", "\n", "a \n", "<|endoftext|>", "Ġa Ġ b",
+        "one.\nTwo three.\n\nFour\n five", "a\n\n\nb", "a\n\n", "\na", "\n\na", "a\n \nb", "a\t\nb", "a\n\tb", "a\r\nb", "a\n\n b",
+        "a\n", "a b\nc&&& d$$$.\ne'\nf's g\u00a0\nh\ni,\u2003j", "x\n<|endoftext|>\ny", "a\n\x1cb", "\n", "a\n 'll b\n.\n..",
     ]
     plain = Tokenizer.from_file(PATH)
     for remember in (3, 1000):
