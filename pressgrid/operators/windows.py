@@ -364,7 +364,8 @@ def cap_per_window(
 def order_key(sort: Sort, seen: str = "seen_at") -> Column:
     """A whole number that never falls along :func:`remote_order`: seconds, or tone in steps of 1/1024."""
     second = F.unix_seconds(F.col(seen).cast("timestamp"))
-    tone = F.floor(F.greatest(F.least(F.col("tone"), F.lit(1e12)), F.lit(-1e12)) * 1024)
+    bounded = F.greatest(F.least(F.col("tone"), F.lit(1e12)), F.lit(-1e12))
+    tone = F.when(F.col("tone").isNotNull(), F.floor(bounded * 1024))
     match Sort(sort):
         case Sort.OLDEST:
             return F.coalesce(second, F.lit(-_LAST))

@@ -97,8 +97,7 @@ def build_dataset(
     ``text``); ``tie`` orders articles seen at the same moment. Timelines that are not supplied are computed
     from the corpus, if the request includes them. ``contracts`` replaces record contracts of the quality report by name.
 
-    The selected, collected, unique and finished articles are shared by all tables, which the dataset owns until it is closed:
-    naming a table starts no job, the first action computes each shared step once and keeps it on the executors' disks.
+    The selected, collected and finished articles are shared by all tables, and the dataset owns them until it is closed: naming a table starts no job, the first action computes each shared step once and keeps it on the executors' disks.
     With a ``folder`` that all executors reach they are written there as Parquet when first named, so that lost executors cost no
     more than their own tasks. With ``staged=False`` nothing is kept, at the price of one plan from the corpus per table.
     """
@@ -117,7 +116,7 @@ def build_dataset(
     # The full text serves the filters only; it takes no part in any shuffle.
     selected = cache(lambda: kept(select_articles(corpus, spec, span, texts).drop("text", "seen_date"), "selected"))
     raw = cache(lambda: kept(collect_articles(selected(), span, hours, cap, sort, tie=tie, stages=stages), "raw"))
-    unique = cache(lambda: kept(dedup_articles(raw()), "unique") if request.deduplicate else raw())
+    unique = cache(lambda: dedup_articles(raw()) if request.deduplicate else raw())
     enriched = cache(
         lambda: enrich_articles(unique(), pages, request.scrape_limit, sort, stages=stages)
         if request.scrape_articles else unique()

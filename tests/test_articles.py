@@ -13,30 +13,29 @@ from pressgrid.schemas import ARTICLE
 from pressgrid.sources import flatten_articles
 
 PAGE = dict(
-    status="ok", success=True, title="European Union debates climate policy",
-    description="A long report about climate change measures.", published_at="2026-04-16T12:00:00Z", language="en",
-    final_url="https://example.com/news", excerpt="European Union climate change report...",
-    text="European Union leaders discussed climate change legislation in detail.", text_length=73,
+    status="ok", success=True, title="River ferry back on the Oldport line", language="da", published_at="2031-02-03T04:05:06Z",
+    description="Crossings resume after the storm.", final_url="https://shore.test/ferry", excerpt="The Harbour Authority said ...",
+    text="The Harbour Authority said on Monday that the river ferry sails again.", text_length=9000,
 )
 NEWS = dict(
-    url="https://example.com/news", url_mobile="", title="Climate package update", seendate="20260416T144500Z",
-    socialimage="https://example.com/image.jpg", domain="example.com", language="English", sourcecountry="Germany",
+    url="https://shore.test/ferry", url_mobile="", title="Ferry update", seendate="20310203T050607Z",
+    socialimage="https://shore.test/boat.png", domain="shore.test", language="Danish", sourcecountry="Denmark",
 )
 
 
 def test_article_with_page(raw):
-    rows = normalize_articles(raw({**NEWS, "scraped": PAGE}), ["climate change"], [], ["European Union"], [" ENV "])
+    rows = normalize_articles(raw({**NEWS, "scraped": PAGE}), ["river ferry"], [], ["Harbour Authority"], [" SEA "])
     assert rows.columns[:24] == ARTICLE.fieldNames()
     assert [f.dataType.simpleString() for f in rows.schema.fields[:24]] == [
         f.dataType.simpleString() for f in ARTICLE.fields]
     got = rows.first()
-    assert got.seen_at == datetime(2026, 4, 16, 14, 45)
-    assert got.matched_keywords == ["climate change"] and got.matched_entities == ["European Union"]
-    assert (got.domain, got.scrape_status, got.scraped_language) == ("example.com", "ok", "en")
-    assert got.scraped_text_length == 73  # as declared, not recomputed
-    assert got.mobile_url is None and got.requested_themes == [" ENV "]
-    assert got.article_id == hashlib.sha256(b"https://example.com/news").hexdigest()
-    assert json.loads(got.raw)["sourcecountry"] == "Germany"
+    assert got.seen_at == datetime(2031, 2, 3, 5, 6, 7) and got.mobile_url is None
+    assert (got.matched_keywords, got.matched_entities) == (["river ferry"], ["Harbour Authority"])
+    assert (got.scrape_success, got.scraped_published_at, got.scraped_text) == (True, PAGE["published_at"], PAGE["text"])
+    assert got.scraped_text_length == 9000  # as declared, not counted
+    assert got.requested_themes == [" SEA "]
+    assert got.article_id == hashlib.sha256(NEWS["url"].encode()).hexdigest()
+    assert json.loads(got.raw)["socialimage"] == "https://shore.test/boat.png"
 
 
 def test_article_without_anything(raw):
@@ -115,12 +114,12 @@ def test_sorts_are_stable(raw):
 
 
 def test_flat_articles(raw):
-    rows = normalize_articles(raw({**NEWS, "scraped": PAGE}), ["climate change", "update"], [], [], ["A", "B"])
+    rows = normalize_articles(raw({**NEWS, "scraped": PAGE}), ["river ferry", "update"], [], [], ["A", "B"])
     flat = flatten_articles(rows)
     assert len(flat.columns) == 19
     got = flat.first()
-    assert got.matched_keywords == "climate change | update" and got.requested_themes == "A | B"
-    assert got.mobile_url == "" and got.seen_at == "2026-04-16T14:45:00Z" and got.scraped_text_length == "73"
+    assert got.matched_keywords == "river ferry | update" and got.requested_themes == "A | B"
+    assert got.mobile_url == "" and got.seen_at == "2031-02-03T05:06:07Z" and got.scraped_text_length == "9000"
     assert {"raw", "scraped_text", "scrape_error", "scrape_success", "scraped_final_url"}.isdisjoint(flat.columns)
 
 

@@ -8,7 +8,8 @@ from catalog.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON = (
-    "extract_pages", "extract_pages_empty", "enrich_articles", "enrich_copies", "enrich_limit", "enrich_summary", "enrich_errors", "summary",
+    "extract_pages", "extract_pages_empty", "enrich_articles", "enrich_copies", "enrich_crowded", "enrich_half", "enrich_limit",
+    "enrich_summary", "enrich_errors", "summary",
 )
 
 
