@@ -339,6 +339,7 @@ ORACLES: dict[str, str] = {
     "filter_timespan": _with(FEED) + f"""
     SELECT event_id, strftime(seen_at, {ISO}) AS seen_at FROM feed
     WHERE seen_at BETWEEN TIMESTAMP '2024-01-13 12:00:00' AND TIMESTAMP '2024-01-20 12:00:00'""",
+    "compact_times": _with(FEED) + " SELECT event_id, strftime(seen_at, '%Y%m%d%H%M%S') AS second FROM feed",
     "union_fetches": _with(FEED) + """
     SELECT event_id, url, window_index, position FROM feed
     UNION ALL SELECT event_id, url, window_index + 1000000, position FROM feed""",
@@ -445,10 +446,11 @@ ORACLES: dict[str, str] = {
     "enrich_crowded": _with(CORPUS, LINKED) + f""",
     shared AS (
       SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN (SELECT min(url) FROM pages) ELSE url END AS url FROM linked),
-    landed AS (SELECT url, arg_min(html, page_id) AS html FROM pages GROUP BY url)
+    landed AS (SELECT url, arg_min(html, page_id) AS html, min(page_id) AS page_id FROM pages GROUP BY url)
     SELECT doc_id, s.url,
            CASE WHEN coalesce(s.url, '') = '' THEN 'skipped' WHEN p.url IS NULL THEN 'error' ELSE 'ok' END AS scrape_status,
-           p.url AS scraped_final_url, nullif({PAGE_LANGUAGE}, '') AS scraped_language
+           p.url AS scraped_final_url, nullif({PAGE_LANGUAGE}, '') AS scraped_language,
+           strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id), {ISO}) AS fetched_at
     FROM shared s LEFT JOIN landed p ON p.url = s.url""",
     "enrich_summary": _with(CORPUS, LINKED, STATUS, FIRST) + """
     SELECT true AS requested, count(*) FILTER (chosen AND state <> 'skipped') AS attempted,

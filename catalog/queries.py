@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from catalog import views
 from pressgrid.functions.numbers import to_number
-from pressgrid.functions.times import iso_utc
+from pressgrid.functions.times import compact_second, iso_utc
 from pressgrid.operators import articles as art
 from pressgrid.operators import dedup, pages, predicates, quality, series, summary, windows
 from pressgrid.operators.predicates import CORPUS_TEXT
@@ -83,6 +83,10 @@ def _in_span(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("event_id", iso_utc(F.col("seen_at")).alias("seen_at"))
 
 
+def _compact_times(spark: SparkSession, folder: str) -> DataFrame:
+    return views.feed(spark, folder).select("event_id", compact_second(F.col("seen_at")).alias("second"))
+
+
 def _text_series(rows: DataFrame, *extra: str) -> DataFrame:
     """A series in comparable form: times as text, doubles rounded."""
     return rows.select(
@@ -343,11 +347,12 @@ def _extract_empty(spark: SparkSession, folder: str) -> DataFrame:
 def _enrich_crowded(spark: SparkSession, folder: str) -> DataFrame:
     """A third of all articles share the address of one page."""
     rows, found = views.linked(spark, folder), views.table(spark, folder, "pages")
+    found = found.withColumn("fetched_at", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id")))
     one = found.agg(F.min("url")).scalar()
     shared = rows.withColumn("url", F.when(F.col("doc_id") % 3 == 0, one).otherwise(F.col("url")))
     return pages.enrich_articles(shared, found, crowd=1000).select(
         "doc_id", "url", F.col("scraped.status").alias("scrape_status"), F.col("scraped.final_url").alias("scraped_final_url"),
-        F.col("scraped.language").alias("scraped_language"),
+        F.col("scraped.language").alias("scraped_language"), iso_utc(F.col("scraped.fetched_at")).alias("fetched_at"),
     )
 
 
@@ -559,6 +564,7 @@ QUERIES: dict[str, Query] = {
     **{name: _filter(spec) for name, spec in FILTERS.items()},
     "filter_range": _in_range,
     "filter_timespan": _in_span,
+    "compact_times": _compact_times,
     "union_fetches": _union,
     "dedup": _dedup,
     "dedup_count": _dedup_counts,

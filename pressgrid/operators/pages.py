@@ -233,7 +233,7 @@ def enrich_articles(
 
     Only the first ``limit`` articles in sort order are enriched, those without an address counting
     towards the limit; the rest keep a null ``scraped``. Pages are narrowed to the wanted addresses before
-    any HTML is read. Addresses are counted first: one that more than ``crowd`` articles share is dealt out over tasks, and
+    any HTML is read; ``final_url``, ``content_type`` and ``fetched_at`` are taken from them where they are columns. Addresses are counted first: one that more than ``crowd`` articles share is dealt out over tasks, and
     its page is repeated once for each part and no more.
     """
     url = F.coalesce(strip(F.col("url")), F.lit(""))
@@ -252,6 +252,7 @@ def enrich_articles(
     known = {
         "final_url": F.col("final_url") if "final_url" in pages.columns else F.col("url"),
         "content_type": F.col("content_type") if "content_type" in pages.columns else F.lit(None).cast("string"),
+        "fetched_at": (F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(None)).cast("timestamp"),
     }
     read = extract_pages(landed_pages(pages, addresses, order).withColumns(known))
     looked_up = read.select(

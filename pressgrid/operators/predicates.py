@@ -27,6 +27,7 @@ from pressgrid.plans.request import MATCH_MODES, Filters, TimeRange
 LISTED_TEXT = ("title", "domain", "sourcecountry")
 CORPUS_TEXT = (*LISTED_TEXT, "text")
 
+# The prefixes of a scoped keyword.
 _PREFIXED = re.compile(r"(theme|domain|domainis|sourcecountry|sourcelang):(.*)", re.S)
 _SPAN = re.compile(r"(\d+)\s*([a-z]*)")
 # The units of a relative time range, in minutes.

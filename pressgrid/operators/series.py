@@ -11,7 +11,7 @@ from pressgrid.functions.times import bucket, timeline_timestamp
 
 VOLUME_METRIC = "article_count"
 TONE_METRIC = "average_tone"
-# Alternative names of the same thing in supplied timelines, first usable one first.
+# Alternative names of the same thing in supplied timelines, first usable one first.
 DATE_KEYS = ("date", "datetime", "time")
 VALUE_KEYS = ("value", "count", "tone", "ratio")
 NORM_KEYS = ("norm", "total", "allarts")

@@ -54,6 +54,7 @@ class Near:
             raise ValueError("a proximity filter needs two or more terms")
 
 
+# The field names of the three classes below are those of request files.
 @dataclass(frozen=True)
 class Filters:
     """Which articles to select. Content filters combine by ``match_mode``, all others by AND."""

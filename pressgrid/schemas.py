@@ -15,7 +15,7 @@ BOOLEAN, TIMESTAMP, STRINGS = T.BooleanType(), T.TimestampType(), T.ArrayType(T.
 # Result of reading one page, as it is nested in an article.
 SCRAPED = _struct(
     status=STRING, success=BOOLEAN, error=STRING, requested_url=STRING, final_url=STRING,
-    content_type=STRING, title=STRING, description=STRING, published_at=STRING, language=STRING,
+    content_type=STRING, fetched_at=TIMESTAMP, title=STRING, description=STRING, published_at=STRING, language=STRING,
     canonical_url=STRING, text=STRING, excerpt=STRING, text_length=LONG,
 )
 
