@@ -485,8 +485,8 @@ ORACLES: dict[str, str] = {
     terms AS (
       SELECT DISTINCT trim(unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN generate_series(1, len(w) - 1)])), {SPACES}) AS term
       FROM items),
-    turns AS (SELECT DISTINCT conv_id, turn, role, text, replace(lower(text), 'ß', 'ss') AS space FROM conversations)
-    SELECT term, count(*) AS turns, min(conv_id) AS first_conv
+    turns AS (SELECT conv_id, turn, replace(lower(text), 'ß', 'ss') AS space FROM conversations)
+    SELECT term, count(DISTINCT (conv_id, turn)) AS turns, min(conv_id) AS first_conv
     FROM turns JOIN terms ON contains(space, replace(lower(term), 'ß', 'ss')) WHERE term <> '' GROUP BY term""",
     "dataset_quality": """
     SELECT unnest(['articles', 'trend_series', 'entity_tracking', 'languages', 'source_countries', 'domains',

@@ -131,7 +131,7 @@ def _match_term_table(spark: SparkSession, folder: str) -> DataFrame:
     items = views.table(spark, folder, "benchmark").select(F.split("text", r"\s+").alias("words"))
     pairs = F.zip_with("words", F.slice("words", 2, F.size("words")), lambda a, b: F.concat_ws(" ", a, b))
     terms = items.select(F.explode(F.concat("words", pairs)).alias("term"))
-    turns = views.table(spark, folder, "conversations").withColumn("turn_id", F.struct("conv_id", "turn", "role", "text"))
+    turns = views.table(spark, folder, "conversations").withColumn("turn_id", F.struct("conv_id", "turn"))
     found = art.match_term_table(turns, terms, F.col("text"), "turn_id")
     return found.groupBy("term").agg(F.count("*").alias("turns"), F.min("turn_id.conv_id").alias("first_conv"))
 
