@@ -66,7 +66,7 @@ share_{m} AS MATERIALIZED (
     SELECT {m}, sqrt(sum(tokens)) / sum(sqrt(sum(tokens))) OVER () AS share FROM c0 GROUP BY {m}
 )""")
     step = 0
-    for _ in range(24):
+    for _ in range(100):
         for m in MARGINS:
             parts.append(f"""
 c{step + 1} AS MATERIALIZED (
