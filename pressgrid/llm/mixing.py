@@ -12,7 +12,7 @@ from pressgrid.sources.staging import stage
 #: Rounds of raking, each over all margins, between two looks at what is left.
 ROUNDS = 4
 #: Largest distance of a share from its target at which raking ends.
-TOLERANCE = 1e-9
+TOLERANCE = 1e-12
 #: Share of all tokens that a sample is to hold.
 BUDGET = 0.8
 #: Power of a margin's own share that the default target is proportional to: below 1 lifts small groups.
