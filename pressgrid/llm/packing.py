@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CAPACITY = 4096
+#: Harmonic classes; documents shorter than their reciprocal share the last.
+CLASSES = 32
 END_ID = 2
 #: Words whose ids one task remembers before it starts anew.
 CACHE_WORDS = 900_000
@@ -106,43 +109,111 @@ class WordEncoder:
 encoder = lru_cache(maxsize=2)(WordEncoder)
 
 
-class HarmonicBins:
-    """Bins of one worker. A piece of capacity / k goes to class k, whose bins take k pieces each.
+@dataclass(frozen=True)
+class Piece:
+    """Consecutive ids of a document, ``start`` ids after its first; ``total`` is the document's number of ids."""
 
-    ``put`` gives back rows (piece, sequence, offset) of bins that are full; ``close`` those of the rest, parted by the
-    binary digits of their number so that every sequence is as long as a power of two.
-    """
+    doc_id: object
+    start: int
+    ids: bytes
+    total: int
 
-    def __init__(self, capacity: int, first: int):
-        self.capacity, self.next, self.open = capacity, first, {}
+    def __len__(self) -> int:
+        return len(self.ids) // 4
 
-    def _bin(self, size: int, pieces: list) -> list:
-        sequence, self.next = self.next, self.next + 1
-        return [(*piece, sequence, at * size) for at, piece in enumerate(pieces)]
+    def cut(self, size: int) -> tuple[Piece, Piece]:
+        head = Piece(self.doc_id, self.start, self.ids[: 4 * size], self.total)
+        return head, Piece(self.doc_id, self.start + size, self.ids[4 * size :], self.total)
 
-    def put(self, size: int, piece: tuple) -> list:
-        waiting = self.open.setdefault(size, [])
-        waiting.append(piece)
-        if len(waiting) * size < self.capacity:
-            return []
-        del self.open[size]
-        return self._bin(size, waiting)
 
-    def close(self) -> list:
-        rows = []
-        for size, pieces in sorted(self.open.items()):
-            while pieces:
-                take = 1 << (len(pieces).bit_length() - 1)
-                rows += self._bin(size, pieces[:take])
-                pieces = pieces[take:]
-        self.open = {}
+class HarmonicBins:
+    """Bins of one worker. A document of more than capacity / (k + 1) and at most capacity / k tokens is of class k.
+
+    A bin of class k takes exactly k documents (the last class all that is shorter, ``classes`` a bin). The space that is
+    then left, less than the class's shortest document for all but the last, is filled from documents that wait in other
+    classes: whole ones while any fits, then the head of one, whose rest is dealt to its own class. A bin that finds none
+    waiting stays short and takes what comes next, so there is never more than one, and never while a document waits.
+
+    ``put`` gives back (piece, sequence, offset) of full bins, each ``capacity`` long; ``close`` those of the rest: full
+    sequences, then one that is not, parted by the binary digits of its length so that nothing is padded.
+    """
+
+    def __init__(self, capacity: int, first: int, classes: int = CLASSES):
+        self.capacity, self.next, self.classes = capacity, first, min(classes, capacity)
+        self.waiting: list[list[Piece]] = [[] for _ in range(self.classes + 1)]
+        self.short: list[Piece] = []
+        self.space = 0
+
+    def _sequence(self, pieces: list[Piece]) -> list[tuple[Piece, int, int]]:
+        rows, offset = [], 0
+        for piece in pieces:
+            rows.append((piece, self.next, offset))
+            offset += len(piece)
+        self.next += 1
         return rows
 
+    def _filler(self) -> Piece | None:
+        """The longest waiting document that surely fits the space, else one of the longest, to be cut."""
+        fits = self.capacity // self.space + 1
+        for kind in (*range(fits, self.classes + 1), *range(1, min(fits, self.classes + 1))):
+            if self.waiting[kind]:
+                return self.waiting[kind].pop()
+        return None
+
+    def _fill(self) -> list[tuple[Piece, int, int]]:
+        """Fill the short bin from waiting documents; gives its rows once it is full."""
+        while self.space:
+            piece = self._filler()
+            if piece is None:
+                return []
+            if len(piece) > self.space:
+                piece, rest = piece.cut(self.space)
+                self.waiting[self._class(rest)].append(rest)
+            self.short.append(piece)
+            self.space -= len(piece)
+        full, self.short = self.short, []
+        return self._sequence(full)
+
+    def _class(self, piece: Piece) -> int:
+        return min(self.capacity // len(piece), self.classes)
+
+    def put(self, piece: Piece) -> list[tuple[Piece, int, int]]:
+        rows = []
+        while len(piece) >= self.capacity:
+            whole, piece = piece.cut(self.capacity)
+            rows += self._sequence([whole])
+        if not len(piece):
+            return rows
+        kind = self._class(piece)
+        self.waiting[kind].append(piece)
+        if self.space:
+            rows += self._fill()
+        # A rest that was cut may complete the bin of its own class in turn; it is shorter each time.
+        while not self.space and (kind := next((k for k, x in enumerate(self.waiting) if k and len(x) >= k), 0)):
+            self.short, self.waiting[kind] = self.waiting[kind][:kind], self.waiting[kind][kind:]
+            self.space = self.capacity - sum(map(len, self.short))
+            rows += self._fill()
+        return rows
 
-def cuts(total: int, capacity: int) -> list[int]:
-    """Piece lengths of a document: whole sequences, then falling powers of two."""
-    rest = total % capacity
-    return [capacity] * (total // capacity) + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
+    def close(self) -> list[tuple[Piece, int, int]]:
+        rows, tail = [], [*self.short, *(x for kind in self.waiting for x in kind)]
+        left = sum(map(len, tail))
+        sizes = [self.capacity] * (left // self.capacity) + [
+            1 << k for k in range(self.capacity.bit_length() - 2, -1, -1) if left % self.capacity >> k & 1
+        ]
+        tail.reverse()
+        for size in sizes:
+            own = []
+            while size:
+                piece = tail.pop()
+                if len(piece) > size:
+                    piece, rest = piece.cut(size)
+                    tail.append(rest)
+                own.append(piece)
+                size -= len(piece)
+            rows += self._sequence(own)
+        self.__init__(self.capacity, self.next, self.classes)
+        return rows
 
 
 COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "sequence_id", "offset")
@@ -154,8 +225,11 @@ def _pack(
     encode, end = encoder(path, remember), np.array([end_id], dtype="<u4").tobytes()
     bins = HarmonicBins(capacity, TaskContext.get().partitionId() * PER_TASK)
 
-    def frame(rows: list) -> pd.DataFrame:
-        table = pd.DataFrame(rows, columns=COLUMNS)
+    def frame(rows: list[tuple[Piece, int, int]]) -> pd.DataFrame:
+        table = pd.DataFrame([
+            (x.doc_id, x.start, len(x), zlib.crc32(x.ids), x.total, x.ids if keep_ids else None, sequence, offset)
+            for x, sequence, offset in rows
+        ], columns=COLUMNS)
         table["doc_id"] = table["doc_id"].astype("Int64")
         return table if keep_ids else table.drop(columns="ids")
 
@@ -163,11 +237,7 @@ def _pack(
         rows = []
         for doc_id, own_ids in zip(batch["doc_id"].array, encode([x or "" for x in batch["text"]])):
             ids = own_ids + end
-            total, start = len(ids) // 4, 0
-            for length in cuts(total, capacity):
-                own = ids[4 * start : 4 * (start + length)]
-                rows += bins.put(length, (doc_id, start, length, zlib.crc32(own), total, own if keep_ids else None))
-                start += length
+            rows += bins.put(Piece(doc_id, 0, ids, len(ids) // 4))
             if len(rows) > 20_000:
                 yield frame(rows)
                 rows = []
@@ -184,11 +254,14 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``.
 
-    ``ids`` (little-endian unsigned 32-bit numbers) follows if asked for. Documents become ids and ``end_id``; they are
-    cut into whole sequences and powers of two, so harmonic class k (pieces of capacity / k) fills its bins with exactly
-    k pieces and nothing is padded. Each task packs its own rows: no shuffle, no shared state, memory bounded by one
-    open bin a class and a cache of fixed size. Null and empty texts are the end id alone; repeated rows and null ids
-    are packed like others, each row once; an empty table gives no rows. ``capacity`` must be a power of two.
+    ``ids`` (little-endian unsigned 32-bit numbers) follows if asked for. Documents become ids and ``end_id``; whole
+    sequences are cut off the long ones, what is left is dealt to harmonic classes, whose bins take a fixed number of
+    documents each, and one more is cut to fill the space that is left. Every sequence is full but the last of a task,
+    which is parted into sequences as long as powers of two: nothing is padded. Each task packs its own rows: no shuffle,
+    no shared state, memory bounded by one open bin a class and a cache of fixed size. Null and empty texts are the end id
+    alone; a very long text is whole sequences and one rest; documents that tie in length wait in the order they came;
+    repeated rows and null ids are packed like others, each row once; other columns are not read; an empty table gives no
+    rows. ``capacity`` must be a power of two.
     ``remember`` words stay in a worker's memory, about 200 bytes each, also between its tasks; with ``release`` a task
     gives them back when it ends.
     """
