@@ -21,6 +21,8 @@ SEED = 11
 LABELLED_ROWS = 20_000
 #: Added to each bucket, as a share of the even distribution's mass per bucket.
 SMOOTHING = 1.0
+#: N-grams that every text counts as in the draw.
+LENGTH = 100.0
 #: Bytes of a text counted at a time.
 PIECE = 1 << 20
 
@@ -122,11 +124,15 @@ def _score(rows: DataFrame, model: Ratio) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> DataFrame:
-    """``text`` and ``quality`` of at most about ``most`` labelled rows, taken by a hash of the id."""
-    known = labels.filter("quality is not null and doc_id is not null").select("doc_id", "quality")
+    """``text`` and ``quality`` of at most about ``most`` labelled ids, taken by a hash of the id.
+
+    An id labelled twice counts as bad if either says so; rows repeated under an id count once.
+    """
+    known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     share = min(1.0, most / max(known.count(), 1))
     chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return docs.join(chosen, "doc_id").select("text", F.col("quality").cast("int").alias("quality"))
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates()
+    return rows.select("text", F.col("quality").cast("int").alias("quality"))
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> Ratio:
@@ -174,23 +180,27 @@ def kth_largest(values: DataFrame, k: int) -> float | None:
 
 
 def resample(
-    docs: DataFrame, model: Ratio, sharpness: float = 2000.0, seed: int = SEED, id_column: str = "doc_id",
-    text_column: str = "text",
+    docs: DataFrame, model: Ratio, k: int | None = None, length: float = LENGTH, seed: int = SEED,
+    id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """``doc_id``, ``log_weight``, ``gumbel_key`` and ``kept`` for each row of ``docs``.
 
-    Documents are sampled without replacement by Gumbel top-k: each gets the key ``sharpness`` * log weight + Gumbel
-    noise, which depends on its id and ``seed`` alone, and the k largest keys stay, where k is the number of documents
-    at or over the model's threshold. A mean log ratio times the sharpness is the log likelihood ratio of a text of that
-    many n-grams, so noise decides only close to the threshold. Keys that tie with the last are all kept. Null and
-    empty texts have log weight 0 and compete like others; repeated rows share their key and their fate.
+    Importance resampling without replacement by Gumbel top-k. A document's weight is the likelihood of its n-grams under
+    the target's model over that under the raw text's, taken for ``length`` n-grams of its kind whatever its own length:
+    sums over whole texts would sink long documents that were never labelled, as the raw model has seen their n-grams and
+    the target's has not. The key is the logarithm of that weight plus Gumbel noise, which depends on id and ``seed``
+    alone. The ``k`` largest keys stay; without ``k`` as many as there are documents at or over the model's threshold.
+    Keys that tie with the last are all kept. Null and empty texts have log weight 0 and compete like others; very long
+    texts are counted whole; repeated rows share their key and their fate; an empty table gives no rows, and other columns
+    are not read.
     """
     rows = _score(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")), model)
     even = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     keyed = stage(rows.select(
-        "doc_id", "log_weight", (F.col("log_weight") * sharpness - F.log(-F.log(even))).alias("gumbel_key")
+        "doc_id", "log_weight", (F.col("log_weight") * length - F.log(-F.log(even))).alias("gumbel_key")
     ), "keys")
-    k = keyed.filter(F.col("log_weight") >= float(model.threshold)).count()
+    if k is None:
+        k = keyed.filter(F.col("log_weight") >= float(model.threshold)).count()
     last = kth_largest(keyed.select("gumbel_key"), k)
-    kept = F.lit(False) if last is None else F.col("gumbel_key") >= last
+    kept = F.lit(0 < keyed.count() <= k) if last is None else F.col("gumbel_key") >= last
     return keyed.withColumn("kept", kept)
