@@ -23,9 +23,11 @@ LABELLED_ROWS = 20_000
 ENTRIES, LEAST_TEXTS, LEAST_ODDS = 5_000, 5, 25.0
 #: Share of the toxic texts from which on an entry is taken at once; others must explain texts that no other does.
 STRONG = 0.05
+#: Different pairs of neighbours that an entry must have for each toxic text that has it.
+VARIED = 0.75
 STEMS = (4, 5, 6)
-#: Words after a negation that it still covers.
-SCOPE = 3
+#: Words after a negation that it still covers, and words between a threatening verb and the one it is aimed at.
+SCOPE, REACH = 3, 2
 SEED = 5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -85,20 +87,49 @@ class Reporting(Transducer):
         return int(kind == REPORT or (state and kind != END)), (symbol,)
 
 
-class Aiming(Transducer):
-    """Marks insults and threats of a clause that names a target, before or after: they wait for the clause to end."""
+class Threatening(Transducer):
+    """Aims threats: a threatening verb and a target with at most ``REACH`` words between them, in either order.
+
+    State: words left in which a verb still meets the target before it, and verbs that still wait for one, at most
+    ``REACH`` + 1 of them. A verb that meets none goes out unaimed.
+    """
 
     start = (0, ())
 
+    def step(self, state, symbol):
+        near, waiting = state
+        kind, marks = symbol
+        if kind == TARGET:
+            return (REACH + 1, ()), tuple((THREAT, m | AIMED) for m, _ in waiting) + (symbol,)
+        out = tuple((THREAT, m) for m, left in waiting if not left or kind == END)
+        waiting = () if kind == END else tuple((m, left - 1) for m, left in waiting if left)
+        if kind == END:
+            return self.start, out + (symbol,)
+        if kind == THREAT and not near:
+            return (0, (*waiting, (marks, REACH))), out
+        if kind == THREAT:
+            symbol = (kind, marks | AIMED)
+        return (max(near - 1, 0), waiting), out + (symbol,)
+
+
+class Aiming(Transducer):
+    """Marks insults of a clause that names a target, before or after: they wait, linked, for the clause to end."""
+
+    start = (0, None)
+
     def step(self, state, symbol):
         target, waiting = state
         kind, marks = symbol
         if kind == END:
-            return self.start, tuple((k, m | AIMED * target) for k, m in waiting) + (symbol,)
+            out = [symbol]
+            while waiting:
+                (k, m), waiting = waiting
+                out.append((k, m | AIMED * (target and k == INSULT)))
+            return self.start, tuple(reversed(out[1:])) + (symbol,)
         if kind == TARGET:
             return (1, waiting), ()
         if kind in (INSULT, THREAT):
-            return (target, (*waiting, symbol)), ()
+            return (target, (symbol, waiting)), ()
         return state, ()
 
 
@@ -118,9 +149,13 @@ class Composed(Transducer):
         return (a, b), out
 
 
-GRAMMAR = Composed(Composed(Negating(), Reporting()), Aiming())
-#: Features of a text: matches of each class, then the share of its words that they are.
-FEATURES = 17
+GRAMMAR = Composed(Composed(Composed(Negating(), Reporting()), Threatening()), Aiming())
+#: Features of a text, and what their weights are before any text is seen: insults, those of them that are aimed, aimed
+#: threats (a null weight: the same as an aimed insult's), and matches that are negated or reported.
+FEATURES = ("insults", "aimed_insults", "aimed_threats", "excused")
+PRIOR = (2.0, 1.0, None, -1.0)
+#: Bounds of the weights: aimed matches weigh at least as much as unaimed ones, excused ones never speak for toxicity.
+SIGNS = np.array([1.0, 1.0, 1.0, -1.0])
 
 
 def matches(classes: Iterable[int]) -> list[tuple[int, int]]:
@@ -159,13 +194,13 @@ def _finder(lexicon: Lexicon) -> ahocorasick.Automaton:
 
 
 def features(text: str | None, lexicon: Lexicon) -> np.ndarray:
-    """Logarithms of one plus the number of matches of each class; clauses without insult or threat yield none."""
-    counts = np.zeros(FEATURES)
+    """Binary logarithms of one plus the matches of each kind in ``FEATURES``; threats that are not aimed are none."""
+    counts = np.zeros(len(FEATURES))
     low = (text or "").lower()
     finder = _finder(lexicon)
     if not low or not len(finder):
         return counts
-    done, found = 0, 0
+    done = 0
     for last, size in finder.iter(low):
         at = last - size + 1
         if at < done or (at and low[at - 1].isalpha()):
@@ -174,12 +209,16 @@ def features(text: str | None, lexicon: Lexicon) -> np.ndarray:
         begin = max(begin, done)
         end = m.start() if (m := _CLAUSE_END.search(low, at)) else len(low)
         for kind, marks in matches(lexicon.kind(w) for w in _WORD.findall(low, begin, end)):
-            counts[8 * (kind == THREAT) + marks] += 1
-            found += kind == INSULT
+            if kind == THREAT and not marks & AIMED:
+                continue
+            if marks & (NEGATED | REPORTED):
+                counts[3] += 1
+            elif kind == THREAT:
+                counts[2] += 1
+            else:
+                counts[:2] += (1, marks & AIMED)
         done = end
-    if found:
-        counts[-1] = 20 * found / max(len(_WORD.findall(low)), 20)
-    return np.log1p(counts)
+    return np.log2(1 + counts)
 
 
 @dataclass(frozen=True)
@@ -212,11 +251,21 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     })
 
 
+def _contexts(text: str | None, entries: set[str]) -> set[tuple[str, str, str]]:
+    """Entries found in a text, each with the words right before and after it."""
+    words = ["", *_WORD.findall((text or "").lower()), ""]
+    return {
+        (entry, before, after) for before, word, after in zip(words, words[1:], words[2:])
+        for entry in (word, *(f"{word[:n]}*" for n in STEMS if len(word) >= n)) if entry in entries
+    }
+
+
 def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> Lexicon:
     """Words and stems that mark the toxic texts of ``sample`` (``text``, ``toxic``), at most ``entries`` of them.
 
     Those that many toxic texts share are taken at once. The rest must cover texts not yet explained, the one that covers
-    most first, so that words which merely stand beside an insult in a few texts are left out.
+    most first, so that words which merely stand beside an insult in a few texts are left out. So are words of copied
+    passages, which always stand between the same words.
     """
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
@@ -233,6 +282,15 @@ def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> Lexicon:
         if any(len(x) >= len(stem) and x.startswith(stem[:-1]) and x != stem and bad[x] >= 0.9 * bad[stem]
                and fine[x] <= fine[stem] for x in bad):
             del bad[stem]
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for text in batch["text"]:
+                yield pd.DataFrame(sorted(_contexts(text, set(bad))), columns=["entry", "before", "after"], dtype=object)
+
+    spots = sample.filter("toxic = 1").select("text").mapInPandas(placed, "entry string, before string, after string")
+    varied = {r["entry"]: r["n"] for r in spots.distinct().groupBy("entry").agg(F.count("entry").alias("n")).collect()}
+    bad = {x: n for x, n in bad.items() if varied.get(x, 0) >= VARIED * n}
     chosen = {x for x, n in bad.items() if n >= STRONG * sizes[1]}
 
     @F.pandas_udf("array<string>")
@@ -252,20 +310,41 @@ def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> Lexicon:
     return Lexicon(frozenset(x for x in chosen if not x.endswith("*")), stems)
 
 
-def _fit(x: np.ndarray, y: np.ndarray, strength: float = 1.0, rounds: int = 50) -> np.ndarray:
-    """Logistic regression by Newton's method; both classes weigh the same."""
+def _fit(x: np.ndarray, y: np.ndarray, strength: float = 1.0, rounds: int = 200) -> np.ndarray:
+    """Logistic regression with prior weights and signs, by projected Newton steps; both classes weigh the same.
+
+    The prior draws each weight to ``PRIOR``, that of aimed threats to the sum of an aimed insult's two, so that what
+    the texts teach about one holds for the other where they show none.
+    """
     design = np.column_stack([x, np.ones(len(x))])
     weigh = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
-    weights, penalty = np.zeros(design.shape[1]), np.full(design.shape[1], strength)
-    penalty[-1] = 1e-3
+    ties, aims = np.eye(5), np.array([PRIOR[0], PRIOR[1], 0.0, PRIOR[3], 0.0])
+    ties[2, :2] = -1.0
+    pulls = np.diag([strength] * 4 + [1e-3])
+    signs = np.append(SIGNS, 0.0)
+
+    def loss(w: np.ndarray) -> float:
+        off = ties @ w - aims
+        return float(weigh @ np.logaddexp(0, design @ w) - weigh @ (y * (design @ w)) + off @ pulls @ off / 2)
+
+    weights = np.array([PRIOR[0], PRIOR[1], PRIOR[0] + PRIOR[1], PRIOR[3], -1.0])
     for _ in range(rounds):
         chance = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
-        slope = design.T @ (weigh * (chance - y)) + penalty * weights
-        curve = (design * (weigh * chance * (1 - chance) + 1e-9)[:, None]).T @ design + np.diag(penalty)
-        step = np.linalg.solve(curve, slope)
-        weights -= step
-        if np.abs(step).max() < 1e-8:
+        slope = design.T @ (weigh * (chance - y)) + ties.T @ pulls @ (ties @ weights - aims)
+        curve = (design * (weigh * chance * (1 - chance))[:, None]).T @ design + ties.T @ pulls @ ties
+        free = ~((signs != 0) & (weights == 0) & (slope * signs > 0))
+        step = np.zeros(5)
+        step[free] = np.linalg.solve(curve[np.ix_(free, free)], slope[free])
+        size, now = 1.0, loss(weights)
+        while True:
+            moved = weights - size * step
+            moved = np.where(moved * signs < 0, 0.0, moved)
+            if loss(moved) <= now or size < 1e-6:
+                break
+            size /= 2
+        if np.abs(moved - weights).max() < 1e-9:
             break
+        weights = moved
     return weights
 
 
@@ -277,19 +356,16 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> Model:
     """Learn lexicon and weights from ``labels.toxic`` of rows that are not held out, at most about ``most`` of them.
 
-    Without labels of both kinds the model scores every text one half less a little.
+    Texts that are equal under the same label count once. Without labels of both kinds the model scores every text one
+    half less a little.
     """
     known = labels.filter("toxic is not null and doc_id is not null").filter(~held_out(F.col("doc_id"))).select(
         "doc_id", F.col("toxic").cast("int").alias("toxic")
     )
     share = min(1.0, most / max(known.count(), 1))
     chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: F.length(w) >= 8)
-    near = F.coalesce(F.array_min(F.transform(words, lambda w: F.xxhash64(w))), F.xxhash64("text", "doc_id"))
-    one = docs.select("doc_id", "text").join(chosen, "doc_id").withColumn("near", near).groupBy("near", "toxic").agg(
-        F.min_by("text", "doc_id").alias("text")  # of texts that are nearly copies, most count once
-    )
-    sample = stage(one.select("text", "toxic"), "labelled")
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic").dropDuplicates()
+    sample = stage(texts, "labelled")
     lexicon = learn_lexicon(sample)
 
     @F.pandas_udf("array<double>")
@@ -298,7 +374,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> Mode
 
     rows = sample.select(measured("text").alias("x"), "toxic").toPandas()  # bounded by ``most``
     if rows["toxic"].nunique() < 2:
-        return Model(lexicon, np.append(np.zeros(FEATURES), -0.01))
+        return Model(lexicon, np.append(np.zeros(len(FEATURES)), -0.01))
     return Model(lexicon, _fit(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(dtype=float)))
 
 
@@ -307,7 +383,8 @@ def score_toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", tex
 
     Clauses that hold an insult or a threat run through the composed grammar (negation, reported speech, target);
     matches are counted by class and weighted. One pass over the texts, no shuffle. Null and empty texts have no
-    matches and get the lowest score; repeated rows are scored alike; an empty table gives no rows.
+    matches and score like clean ones; very long texts are read whole, in time that grows with their length; repeated
+    rows and texts that tie are scored alike; other columns are not read; an empty table gives no rows.
     """
 
     @F.pandas_udf("double")
