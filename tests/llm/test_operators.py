@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import io
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -217,18 +219,72 @@ def test_kth_largest(spark):
     assert quality.kth_largest(frame, 30_001) is None and quality.kth_largest(frame, 0) is None
 
 
+def brute_ratio(texts, good):
+    """Mean log likelihood ratio of each text's n-grams, plus that of its word pairs, from counts taken one by one."""
+
+    def parts(text):
+        data, words = text.encode(), text.encode().split()
+        grams = (data[at : at + 4] for at in range(len(data) - 3))
+        return (
+            [((int.from_bytes(g, "big") * 0x9E3779B97F4A7C15) & (2**64 - 1)) >> 48 for g in grams],
+            [a == b for a, b in zip(words, words[1:])],
+        )
+
+    split = [parts(x) for x in texts]
+    shares = []
+    for chosen in (split, [parts(x) for x in good]):
+        grams = Counter(g for x, _ in chosen for g in x)
+        pairs = Counter(p for _, x in chosen for p in x)
+        total, both = sum(grams.values()) + (1 << 16), sum(pairs.values()) + 2
+        shares.append((lambda g, c=grams, n=total: math.log((c[g] + 1) / n), lambda p, c=pairs, n=both: math.log((c[p] + 1) / n)))
+    (raw_gram, raw_pair), (gram, pair) = shares
+    return [
+        sum(gram(g) - raw_gram(g) for g in x) / max(len(x), 1) + sum(pair(q) - raw_pair(q) for q in y) / max(len(y), 1)
+        for x, y in split
+    ]
+
+
 def test_quality(spark, docs):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     model = quality.train(docs, labels)
     rows = {r.doc_id: r for r in quality.resample(docs, model).collect()}
     texts = {r.doc_id: r.text for r in docs.collect()}
-    held = quality.Ratio(model.grams.astype(np.float32), model.pairs)
-    assert all(abs(rows[i].log_weight - held.of(texts[i])) < 1e-9 for i in rows)
+    known = {r.doc_id: r.quality for r in labels.collect() if r.doc_id in rows}
+    ids = sorted(texts)
+    wanted = brute_ratio([texts[i] for i in ids], [texts[i] for i in ids if known.get(i) == 1])
+    assert all(abs(rows[i].log_weight - w) < 1e-4 for i, w in zip(ids, wanted))
     over = sum(r.log_weight >= model.threshold for r in rows.values())
     assert sum(r.kept for r in rows.values()) == over
     assert min(r.gumbel_key for r in rows.values() if r.kept) > max(r.gumbel_key for r in rows.values() if not r.kept)
-    known = {r.doc_id: r.quality for r in labels.collect() if r.doc_id in rows}
     assert sum(rows[i].kept == (q == 1) for i, q in known.items()) >= 0.95 * len(known)
+    few = {r.doc_id for r in quality.resample(docs, model, k=60).filter("kept").collect()}
+    best = set(sorted(rows, key=lambda i: -rows[i].log_weight)[:60])
+    assert len(few) == 60 and few != best and len(few & best) > 30  # noise decides, weights lead
+    assert quality.resample(docs, model, k=0).filter("kept").count() == 0
+    assert quality.resample(docs, model, k=10**6).filter("NOT kept").count() == 0
+
+
+def test_quality_draw(spark):
+    """Equal weights are drawn evenly, others by their weight: the first of two draws follows the ratio of weights."""
+    grams = np.zeros(quality.BUCKETS)
+    grams[quality._buckets(np.frombuffer(b"abcd", dtype=np.uint8))] = math.log(3)
+    model = quality.Ratio(grams, np.zeros(2))
+    pair = spark.createDataFrame([(1, "abcd"), (2, "xyzw")], "doc_id long, text string")
+    wins = sum(quality.resample(pair, model, k=1, length=1.0, seed=n).filter("kept").first().doc_id == 1 for n in range(40))
+    assert 20 < wins < 40  # 30 expected
+    assert quality.resample(pair, model, k=1, length=1e6).filter("kept").first().doc_id == 1
+
+
+def test_quality_texts(spark):
+    """A text of a million words is counted whole; columns named like internal ones do no harm; equal keys stay together."""
+    rows = [(1, "good words here " * 333_334, 7, 7.0), (2, "bad bad bad", 8, 8.0), (2, "bad bad bad", 8, 8.0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int, log_weight double")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0)], "doc_id long, quality int")
+    model = quality.train(frame, labels)
+    found = sorted((r.doc_id, r.log_weight, r.kept) for r in quality.resample(frame, model).collect())
+    held = quality.Ratio(model.grams.astype(np.float32), model.pairs)
+    assert abs(found[0][1] - held.of(rows[0][1])) < 1e-6 * abs(found[0][1]) and found[0][2]
+    assert found[1] == found[2] and not found[1][2]
 
 
 def test_quality_odd(spark, odd, nothing):
@@ -253,16 +309,56 @@ def test_packing(spark, docs, odd, nothing):
             own = pieces[pieces.doc_id == doc_id].sort_values("start")
             assert b"".join(own.ids) == ids.tobytes() and set(own.doc_tokens) == {len(ids)}
             assert all(zlib.crc32(x) == c for x, c in zip(own.ids, own.ids_crc32))
+        lengths = []
         for _, one in pieces.groupby("sequence_id"):
             one = one.sort_values("offset")
             ends = (one.offset + one.length).tolist()
             assert one.offset.tolist() == [0, *ends[:-1]] and ends[-1] & (ends[-1] - 1) == 0 and ends[-1] <= 4096
+            lengths.append(ends[-1])
+        tasks = pieces.sequence_id.floordiv(packing.PER_TASK).nunique()
+        assert sum(n < 4096 for n in lengths) <= 12 * tasks
+        whole = sum(n // 4096 for n in pieces.groupby("doc_id").doc_tokens.first())
+        assert len(pieces) <= frame.count() + whole + len(lengths)  # a cut a sequence at most
     assert packing.pack_documents(odd, tokenizer_path(), keep_ids=False).filter("start = 0").count() == odd.count()
     assert packing.pack_documents(nothing, tokenizer_path()).count() == 0
     with pytest.raises(ValueError):
         packing.pack_documents(docs, tokenizer_path(), capacity=1000)
 
 
+@pytest.mark.parametrize("capacity,classes", [(64, 8), (4096, 32), (1, 32), (2, 1)])
+def test_bins(capacity, classes):
+    """Every token once, in gapless sequences; a bin of class k starts with exactly k documents of its class."""
+    rng = np.random.default_rng(capacity)
+    sizes = [*rng.integers(1, 3 * capacity, 200).tolist(), *[1] * 300, *rng.integers(1, capacity // 3 + 2, 500).tolist()]
+    bins, rows = packing.HarmonicBins(capacity, 7, classes), []
+    for doc_id, size in enumerate(sizes):
+        rows += bins.put(packing.Piece(doc_id, 0, np.full(size, doc_id, dtype="<u4").tobytes(), size))
+        assert not bins.space or not any(bins.waiting)
+        assert all(len(x) < k for k, x in enumerate(bins.waiting) if k)
+    early = len(rows)
+    rows += bins.close()
+    held, sequences = Counter(), {}
+    for at, (piece, sequence, offset) in enumerate(rows):
+        own = sequences.setdefault(sequence, [])
+        assert offset == sum(map(len, own)) and set(np.frombuffer(piece.ids, dtype="<u4")) == {piece.doc_id}
+        own.append(piece)
+        held.update((piece.doc_id, n) for n in range(piece.start, piece.start + len(piece)))
+    assert set(held.values()) == {1} and len(held) == sum(sizes)
+    assert min(sequences) == 7 and max(sequences) == 6 + len(sequences)
+    short = [n for n in (sum(map(len, x)) for x in sequences.values()) if n < capacity]
+    assert all(n & (n - 1) == 0 for n in short) and len(short) == len(set(short))
+    for own in {sequence: sequences[sequence] for _, sequence, _ in rows[:early]}.values():
+        kind = min(capacity // len(own[0]), classes)
+        assert all(min(capacity // len(x), classes) == kind for x in own[:kind])
+
+
+def test_packing_long(spark):
+    """A text of a million words becomes whole sequences and a rest."""
+    frame = spark.createDataFrame([(1, "word " * 1_000_000, "x")], "doc_id long, text string, length string")
+    pieces = packing.pack_documents(frame.coalesce(1), tokenizer_path(), keep_ids=False).toPandas()
+    assert pieces.length.sum() == 1_000_001 and (pieces.length == 4096).sum() == 1_000_001 // 4096
+
+
 # --- substring ---
 
 
@@ -344,6 +440,59 @@ def test_grammar():
     assert t.matches([t.REPORT, t.THREAT, t.TARGET]) == [(t.THREAT, t.REPORTED | t.AIMED)]
 
 
+@pytest.mark.parametrize("gap", range(5))
+def test_aimed_threats(gap):
+    t = toxicity
+    marks = t.AIMED if gap <= t.REACH else 0
+    assert t.matches([t.THREAT, *[t.OTHER] * gap, t.TARGET]) == [(t.THREAT, marks)]
+    assert t.matches([t.TARGET, *[t.OTHER] * gap, t.THREAT]) == [(t.THREAT, marks)]
+
+
+def test_grammar_against_positions():
+    """The composed machine against rules read off the places of words in a clause."""
+    t = toxicity
+    rng = np.random.default_rng(9)
+    for _ in range(3000):
+        kinds = rng.choice(6, int(rng.integers(0, 12)), p=[0.35, 0.2, 0.2, 0.1, 0.1, 0.05]).tolist()
+        wanted = []
+        for at, kind in enumerate(kinds):
+            if kind not in (t.INSULT, t.THREAT):
+                continue
+            near = kinds[max(at - t.REACH - 1, 0) : at + t.REACH + 2] if kind == t.THREAT else kinds
+            marks = t.AIMED * (t.TARGET in near) | t.NEGATED * (t.NEGATION in kinds[max(at - t.SCOPE, 0) : at])
+            wanted.append((kind, marks | t.REPORTED * (t.REPORT in kinds[:at])))
+        assert sorted(t.matches(kinds)) == sorted(wanted)
+
+
+def test_clause_weights():
+    """Planted clauses: aimed matches weigh most, threats count unseen, negated and reported ones speak against."""
+    t = toxicity
+    lexicon = t.Lexicon(frozenset({"idiot"}), frozenset({"moro"}))
+    texts = {
+        "a fine day for you": (0, 0, 0, 0), "such an idiot": (1, 0, 0, 0), "you idiot": (1, 1, 0, 0), "Morons, them": (1, 1, 0, 0),
+        "you are not an idiot": (0, 0, 0, 1), "she said you idiot": (0, 0, 0, 1), "we will hurt you": (0, 0, 1, 0),
+        "kill the engine": (0, 0, 0, 0), "never kill you": (0, 0, 0, 1), "idiot. you": (1, 0, 0, 0), "": (0, 0, 0, 0),
+    }
+    for text, counts in texts.items():
+        assert t.features(text, lexicon).tolist() == np.log2(1 + np.array(counts)).tolist(), text
+    rng = np.random.default_rng(2)
+    toxic = (rng.random(400) < 0.2).astype(float)
+    seen = np.column_stack([toxic * (rng.random(400) < 0.9), toxic * (rng.random(400) < 0.5), 0 * toxic, toxic * (rng.random(400) < 0.1)])
+    seen[:, 1] *= seen[:, 0]
+    weights = t._fit(seen, toxic)
+    assert weights[0] > 0 <= weights[1] and abs(weights[2] - weights[:2].sum()) < 1e-6 and weights[3] <= 0
+    model = t.Model(lexicon, weights)
+    assert model.score("we will hurt you") == pytest.approx(model.score("you idiot"), abs=1e-6)
+    assert model.score("you idiot") >= model.score("such an idiot") > 0.5 > model.score("she said you idiot")
+    assert model.score("kill the engine") == model.score("") >= model.score("you are not an idiot")
+
+
+def test_toxic_long():
+    """A clause of a million words: time grows with its length, and every match counts."""
+    lexicon = toxicity.Lexicon(frozenset({"idiot"}), frozenset())
+    assert toxicity.features("you " + "idiot " * 1_000_000, lexicon)[1] == np.log2(1_000_001)
+
+
 def test_toxicity(spark, odd, nothing):
     docs = spark.read.parquet(f"{FOLDER}/../sf0.01/documents.parquet")
     labels = spark.read.parquet(f"{FOLDER}/../sf0.01/labels.parquet")

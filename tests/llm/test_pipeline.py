@@ -35,3 +35,17 @@ def test_stages_odd(spark):
     for frame in (spark.createDataFrame(rows, shape), spark.createDataFrame([], shape)):
         for _, step in pipeline.STAGES:
             step(spark, frame, FOLDER).collect()
+
+
+def test_texts_of_one_id(spark):
+    """Rows are judged by id and text: another text under the same id, or none, goes its own way."""
+    junk = "zq zq zq zq zq zq zq zq zq zq " * 20
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    good = docs.join(spark.read.parquet(f"{FOLDER}/labels.parquet").filter("quality = 1"), "doc_id").select(docs["*"]).orderBy("doc_id").first()
+    more = spark.createDataFrame(
+        [(n, text, "en", "a", 1) for n in (good.doc_id, None) for text in (good.text, junk)], docs.schema
+    )
+    found = pipeline.select_quality(spark, docs.unionByName(more), FOLDER)
+    kept = [(r.doc_id, r.text) for r in found.collect() if r.source == "a" or r.doc_id is None]
+    assert (good.doc_id, good.text) in kept and (None, good.text) in kept
+    assert not [x for x in kept if x[1] == junk]
