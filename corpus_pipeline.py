@@ -22,11 +22,16 @@ ORACLE_SQL = None
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that importance resampling towards the labelled good texts keeps."""
+    """Documents that importance resampling towards the labelled good texts keeps.
+
+    Rows are told apart by id and text: repeated rows stay or go together, texts that share an id, or have none, do not.
+    Null and empty texts weigh the same in both models and are kept where such weights are.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    chosen = quality.resample(docs, quality.train(docs.select("doc_id", "text"), labels))
-    kept = chosen.filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*COLUMNS)
+    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    chosen = quality.resample(keyed, quality.train(docs, labels), id_column="row_key")
+    kept = chosen.filter("kept").select(F.col("doc_id").alias("row_key")).distinct()
+    return keyed.join(kept, "row_key", "left_semi").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,14 +61,17 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled to tempered shares of source, language and topic."""
+    """Documents sampled to tempered shares of source, language and topic.
+
+    A null source or language is a margin's value like others; repeated rows share their draw.
+    """
     mixed = mixing.mix(docs.withColumns({"source_": F.col("source"), "lang_": F.col("lang")}))
     return mixed.filter("sampled").select("doc_id", "text", F.col("lang_").alias("lang"), F.col("source_").alias("source"),
                                           "n_chars")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences with their token ids."""
+    """Pieces of training sequences with their token ids: each row once, repeated or not; a null text is the end id."""
     return packing.pack_documents(docs, tokenizer_path(), remember=150_000, release=True)
 
 
