@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -23,7 +24,7 @@ LABELLED_ROWS = 20_000
 ENTRIES, LEAST_TEXTS, LEAST_ODDS = 5_000, 5, 25.0
 #: Share of the toxic texts from which on an entry is taken at once; others must explain texts that no other does.
 STRONG = 0.05
-#: Different pairs of neighbours that an entry must have for each toxic text that has it.
+#: Share of the toxic texts with an entry that must differ in the words beside it.
 VARIED = 0.75
 STEMS = (4, 5, 6)
 #: Words after a negation that it still covers, and words between a threatening verb and the one it is aimed at.
@@ -251,13 +252,18 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     })
 
 
-def _contexts(text: str | None, entries: set[str]) -> set[tuple[str, str, str]]:
-    """Entries found in a text, each with the words right before and after it."""
-    words = ["", *_WORD.findall((text or "").lower()), ""]
-    return {
-        (entry, before, after) for before, word, after in zip(words, words[1:], words[2:])
-        for entry in (word, *(f"{word[:n]}*" for n in STEMS if len(word) >= n)) if entry in entries
-    }
+def _contexts(text: str | None, entries: set[str]) -> dict[str, int]:
+    """Entries found in a text, each with the least hash of the words right before and after it.
+
+    Copies of a text, edited or not, nearly always agree in it; texts that merely share the entry do not.
+    """
+    words, found = ["", *_WORD.findall((text or "").lower()), ""], {}
+    for before, word, after in zip(words, words[1:], words[2:]):
+        for entry in (word, *(f"{word[:n]}*" for n in STEMS if len(word) >= n)):
+            if entry in entries:
+                place = zlib.crc32(f"{before} {after}".encode())
+                found[entry] = min(place, found.get(entry, place))
+    return found
 
 
 def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> Lexicon:
@@ -286,9 +292,11 @@ def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> Lexicon:
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for text in batch["text"]:
-                yield pd.DataFrame(sorted(_contexts(text, set(bad))), columns=["entry", "before", "after"], dtype=object)
+                found = _contexts(text, wanted)
+                yield pd.DataFrame({"entry": pd.Series(list(found), dtype=object), "place": list(found.values())})
 
-    spots = sample.filter("toxic = 1").select("text").mapInPandas(placed, "entry string, before string, after string")
+    wanted = set(bad)
+    spots = sample.filter("toxic = 1").select("text").mapInPandas(placed, "entry string, place long")
     varied = {r["entry"]: r["n"] for r in spots.distinct().groupBy("entry").agg(F.count("entry").alias("n")).collect()}
     bad = {x: n for x, n in bad.items() if varied.get(x, 0) >= VARIED * n}
     chosen = {x for x, n in bad.items() if n >= STRONG * sizes[1]}
