@@ -178,12 +178,13 @@ class HarmonicBins:
         return min(self.capacity // len(piece), self.classes)
 
     def put(self, piece: Piece) -> list[tuple[Piece, int, int]]:
-        rows = []
-        while len(piece) >= self.capacity:
-            whole, piece = piece.cut(self.capacity)
-            rows += self._sequence([whole])
-        if not len(piece):
+        rows, size = [], 4 * self.capacity
+        whole = len(piece.ids) - len(piece.ids) % size
+        for at in range(0, whole, size):
+            rows += self._sequence([Piece(piece.doc_id, piece.start + at // 4, piece.ids[at : at + size], piece.total)])
+        if whole == len(piece.ids):
             return rows
+        piece = piece.cut(whole // 4)[1] if whole else piece
         kind = self._class(piece)
         self.waiting[kind].append(piece)
         if self.space:
