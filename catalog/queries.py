@@ -492,10 +492,16 @@ def _plain(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return rows.select(*columns) if columns else rows
 
 
+def _steps(spark: SparkSession, name: str) -> str | None:
+    """Where a dataset's steps are written: the quality report goes through all tables, so they are cut off from the corpus."""
+    return shared_folder(spark) if name == "quality" else None
+
+
 def _dataset(name: str, *columns: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         tables = build_dataset(
-            views.linked_corpus(spark, folder), REQUEST, views.table(spark, folder, "pages"), tie=("doc_id",)
+            views.linked_corpus(spark, folder), REQUEST, views.table(spark, folder, "pages"), tie=("doc_id",),
+            folder=_steps(spark, name),
         )
         return _plain(tables[name], columns)
 
@@ -509,7 +515,9 @@ def _repeated(name: str, *columns: str) -> Query:
         once = views.linked_corpus(spark, folder)
         twice = dedup.union_fetches([once.withColumn("copy", F.lit(copy)) for copy in (0, 1)])
         found = views.table(spark, folder, "pages")
-        tables = build_dataset(twice, REPEATED, found, tie=("doc_id", "copy"), contracts={"articles": ADDRESSED})
+        tables = build_dataset(
+            twice, REPEATED, found, tie=("doc_id", "copy"), folder=_steps(spark, name), contracts={"articles": ADDRESSED}
+        )
         return _plain(tables[name], columns)
 
     return run

@@ -99,7 +99,8 @@ def build_dataset(
 
     The selected, collected and finished articles are shared by all tables, and the dataset owns them until it is closed: naming a table starts no job, the first action computes each shared step once and keeps it on the executors' disks.
     With a ``folder`` that all executors reach they are written there as Parquet when first named, so that lost executors cost no
-    more than their own tasks. With ``staged=False`` nothing is kept, at the price of one plan from the corpus per table.
+    more than their own tasks. The quality report goes through all tables: without a folder it is one plan that holds the plans of all
+    of them, which takes gigabytes of the driver; with one, each table is checked as the report is named. With ``staged=False`` nothing is kept, at the price of one plan from the corpus per table.
     """
     if request.scrape_articles and pages is None:
         raise ValueError("enrichment needs a table of landed pages")
@@ -180,10 +181,13 @@ def build_dataset(
         builders["enrichment_errors"] = lambda: enrichment_errors(articles())
     if request.validate_schema:
         checked = [name for name in builders if name in CONTRACTS]
-        builders["quality"] = lambda: reduce(
-            DataFrame.unionAll,
-            (_checked(name, articles() if name == "articles" else builders[name](), rules[name]) for name in checked),
-        )
+
+        def report(name: str) -> DataFrame:
+            found = _checked(name, articles() if name == "articles" else builders[name](), rules[name])
+            # In a folder each table is checked by a job of its own; the driver never holds the plans of all tables at once.
+            return kept(found, f"checked_{name}") if folder else found
+
+        builders["quality"] = lambda: reduce(DataFrame.unionAll, map(report, checked))
     return Dataset(builders, stages)
 
 

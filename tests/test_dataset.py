@@ -120,3 +120,12 @@ def test_full_text_is_searched_but_not_carried(raw):
     tables = build_dataset(rows, request(), staged=False)
     assert tables["articles"].count() == 1
     assert "text" not in tables["articles"].columns and "ferry" not in tables["articles"].first().raw
+
+
+def test_quality_report_in_a_folder_holds_no_plans_of_its_tables(corpus, tmp_path):
+    asked = request(filters=Filters(keywords=["river ferry"]))
+    with build_dataset(corpus, asked, folder=str(tmp_path)) as tables:
+        plan = tables["quality"]._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(node in plan for node in ("Join", "Aggregate", "Window", "Sort"))
+        found = {r.contract: (r.records_checked, r.records_bad) for r in tables["quality"].collect()}
+    assert found["articles"] == (2, 0) and found["summary"] == (1, 0) and not any(bad for _, bad in found.values())
