@@ -10,11 +10,13 @@ import sys
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pressgrid.functions.text import blank_to_null, compact_whitespace, strip
 from pressgrid.operators.dedup import fetch_key, sort_columns
@@ -27,6 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EXCERPT_LENGTH = 280
 NO_CONTENT = "page has no content"
+#: HTML that a Python worker takes apart at once.
+SLICE_BYTES = 1 << 20
 #: Articles of one address that are enriched together.
 CROWD = 100_000
 # Where a field is looked up in a page's metadata, first non-empty entry first.
@@ -108,23 +112,40 @@ def page_pieces(html: str) -> dict:
     return found
 
 
-def _read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = _PIECES.fieldNames()
+def _read_page(html: str | bytes | None, charset: str | None) -> dict:
+    if html is None:
+        return {"error": NO_CONTENT}
+    try:
+        return page_pieces(html if isinstance(html, str) else html.decode(charset or "utf-8", "replace"))
+    except Exception as problem:  # one unreadable page becomes an error row
+        return {"error": str(problem) or type(problem).__name__}
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows with about ``SLICE_BYTES`` of HTML each; a longer page is a run of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("_html")), 0).to_pylist()
+    start, held = 0, 0
+    for at, size in enumerate(sizes):
+        if at > start and held + size > SLICE_BYTES:
+            yield batch.slice(start, at - start)
+            start, held = at, 0
+        held += size
+    if start < len(sizes):
+        yield batch.slice(start)
+
+
+def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages are taken apart and given back slice by slice, so that Python holds the pieces of a slice and not of a batch."""
+    pieces = to_arrow_schema(_PIECES)
     for batch in batches:
-        pieces = []
-        for html, charset in zip(batch.pop("_html"), batch.pop("_charset"), strict=True):
-            if html is None:
-                pieces.append({"error": NO_CONTENT})
-                continue
-            try:
-                text = html if isinstance(html, str) else bytes(html).decode(charset or "utf-8", "replace")
-                pieces.append(page_pieces(text))
-            except Exception as problem:  # one unreadable page becomes an error row
-                pieces.append({"error": str(problem) or type(problem).__name__})
-        read = pd.DataFrame(pieces, index=batch.index, columns=[*names])
-        # Absent entries must reach Arrow as nulls, not as NaN.
-        read = read.astype(object).where(read.notna(), None)
-        yield pd.concat([batch, read.add_prefix("_")], axis=1)
+        kept = [name for name in batch.schema.names if name not in ("_html", "_charset")]
+        for part in _slices(batch):
+            pages = (_read_page(html.as_py(), charset.as_py()) for html, charset in zip(part["_html"], part["_charset"], strict=True))
+            read = [{**page, "meta": [*page["meta"].items()]} if "meta" in page else page for page in pages]
+            columns = [pa.array([page.get(field.name) for page in read], field.type) for field in pieces]
+            yield pa.RecordBatch.from_arrays(
+                [*(part[name] for name in kept), *columns], names=[*kept, *(f"_{name}" for name in pieces.names)]
+            )
 
 
 def _first_meta(keys: tuple[str, ...]) -> Column:
@@ -150,7 +171,7 @@ def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
         [pages.schema[c] for c in kept]
         + [T.StructField(f"_{field.name}", field.dataType) for field in _PIECES]
     )
-    read = readable.mapInPandas(_read_batches, schema)
+    read = readable.mapInArrow(_read_batches, schema)
     title = blank_to_null(compact_whitespace(F.col("_title")))
     body = compact_whitespace(F.array_join("_body", " "))
     text = F.coalesce(blank_to_null(F.array_join("_paragraphs", "\n\n")), blank_to_null(body))

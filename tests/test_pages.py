@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 
 from pressgrid import enrich_articles, enrichment_errors, enrichment_summary, extract_pages, normalize_articles
+from pressgrid.operators.pages import _read_batches
 
 STORY = """
 <html lang="da"><head>
@@ -155,3 +157,18 @@ def test_first_readable_copy(spark, raw):
     found = {r.title: (r.scraped.status, r.scraped.text) for r in enrich_articles(rows, pages).collect()}
     assert found == {"a": ("ok", "second"), "b": ("ok", "a"), "c": ("error", None)}
     assert extract_pages(pages).count() == 6
+
+
+def test_python_holds_the_pieces_of_a_slice_not_of_a_batch():
+    pages = [f"<p>{i} {'x' * 400_000}</p>" for i in range(7)] + [None, "<p>" + "y" * 3_000_000 + "</p>", "<p>last</p>"]
+    batch = pa.RecordBatch.from_pydict({
+        "page_id": range(10), "_html": pages, "_charset": pa.nulls(10, pa.string()),
+    })
+    for rows in (batch, batch.slice(0, 0)):
+        parts = list(_read_batches(iter([rows])))
+        assert [i for part in parts for i in part["page_id"].to_pylist()] == list(range(rows.num_rows))
+        assert all(part.num_rows <= 3 for part in parts) and (len(parts) > 4 or not rows.num_rows)
+    found = pa.Table.from_batches(list(_read_batches(iter([batch])))).to_pylist()
+    assert [len(row["_paragraphs"][0]) if row["_paragraphs"] else row["_error"] for row in found] == (
+        [400_002] * 7 + ["page has no content", 3_000_000, 4]
+    )
