@@ -15,6 +15,11 @@ from pressgrid.sources.staging import STAGES, Stages
 
 #: Longest pieces of text by which terms of a table are found, and how much of a word is cut up at once.
 _GRAM, _CHUNK = 3, 64
+#: Lengths of the runs by which a table of terms that every task holds is looked up, the largest that fits a term, and how
+#: many characters of a text are cut into them at once.
+_RUNS, _PIECE = (1, 2, 3, 5), 1 << 16
+#: Bytes of such a table at most, and bytes that a term takes there besides its letters.
+_HELD, _ROW = 16 << 20, 64
 
 
 def _scraped_columns(articles: DataFrame) -> dict[str, Column]:
@@ -69,7 +74,38 @@ def _chunks(word: Column) -> Column:
     return F.transform(starts, lambda at: F.substring(word, at, F.lit(_CHUNK + _GRAM - 1)))
 
 
-def _anchored(terms: DataFrame, term: str) -> DataFrame:
+def _runs(text: Column) -> Column:
+    """All runs of ``_RUNS`` characters, each once; no more than those of a piece are held besides the different ones."""
+    def cut(piece: Column) -> Column:
+        return F.flatten(F.array(*(F.regexp_extract_all(piece, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1)) for n in _RUNS)))
+
+    over = _PIECE + max(_RUNS) - 1
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{over}}})).{{1,{_PIECE}}}"), F.lit(1))
+    return F.aggregate(pieces, F.array().cast("array<string>"), lambda done, piece: F.array_union(done, cut(piece)))
+
+
+def _folded(terms: DataFrame, term: str) -> DataFrame:
+    """(term, folded) of each term, once; null and empty ones are left out."""
+    named = terms.select(blank_to_null(strip(F.col(term))).alias("term"))
+    return named.filter(F.col("term").isNotNull()).distinct().withColumn("folded", fold(F.col("term")))
+
+
+def _looked_up(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(_id, term) of the texts, each looked through by the task that holds it.
+
+    A term stands under one of its runs, that which it shares with the fewest others, and a text has each run once, so a term is
+    met once in a text and nothing has to be gathered afterwards. The texts are dealt out before: looking up takes far
+    longer than reading, so parts of a size that suits a scan would keep few tasks busy.
+    """
+    size = F.greatest(*(F.when(F.length("folded") >= n, n) for n in _RUNS))
+    runs = wanted.select("*", F.explode(_grams(F.col("folded"), size)).alias("gram"))
+    shared = runs.groupBy("gram").agg(F.count("*").alias("terms"))
+    listed = runs.join(shared, "gram").groupBy("term", "folded").agg(F.min(F.struct("terms", "gram"))["gram"].alias("gram"))
+    cut = texts.select("_id", "_text", F.explode(_runs(F.col("_text"))).alias("gram"))
+    return cut.join(F.broadcast(listed), "gram").filter(F.contains("_text", "folded")).select("_id", "term")
+
+
+def _anchored(wanted: DataFrame) -> DataFrame:
     """(term, folded, anchor, led, followed, single) of each term: its longest word, and whether words stand beside it."""
     words = F.split("folded", " ")
     longest = F.array_max(F.transform(words, lambda word, at: F.struct(
@@ -77,8 +113,7 @@ def _anchored(terms: DataFrame, term: str) -> DataFrame:
     )))
     last = F.size(words) - 1
     return (
-        terms.select(blank_to_null(strip(F.col(term))).alias("term")).filter(F.col("term").isNotNull()).distinct()
-        .withColumn("folded", fold(F.col("term"))).withColumn("longest", longest)
+        wanted.withColumn("longest", longest)
         .select(
             "term", "folded", F.col("longest.word").alias("anchor"),
             (F.col("longest.before") < 0).alias("led"), (F.col("longest.before") > -last).alias("followed"),
@@ -87,20 +122,15 @@ def _anchored(terms: DataFrame, term: str) -> DataFrame:
     )
 
 
-def match_term_table(
-    rows: DataFrame, terms: DataFrame, space: Column, id_column: str, term_column: str = "term", stages: Stages = STAGES
-) -> DataFrame:
-    """(``id_column``, ``term``) for every row whose text ``space`` contains the term, regardless of case.
+def _indexed(texts: DataFrame, wanted: DataFrame, stages: Stages) -> DataFrame:
+    """(_id, term) of the texts, for more terms than a task may hold.
 
-    For terms by the thousand, which come as a table; :func:`match_terms` gives the same answer for a few. A term is looked up
-    by its longest word, and that by its rarest run of up to three characters, in an inverted index of the words that
-    the texts are made of. Only words that share this run are compared with it, once for the whole table however often
+    A term is looked up by its longest word, and that by its rarest run of up to three characters, in an inverted index of the
+    words that the texts are made of. Only words that share this run are compared with it, once for the whole table however often
     they occur. Terms of one word are settled by that; a text is searched for a longer term only if it has a word that
-    the term's longest one fits. Null and empty terms are left out, repeated ones count once; a row without text has no matches.
-    ``id_column`` identifies a row.
+    the term's longest one fits.
     """
-    texts = rows.select(F.col(id_column).alias("_id"), fold(space).alias("_text"))
-    wanted = _anchored(terms, term_column)
+    wanted = _anchored(wanted)
     words = texts.select("_id", F.explode(F.array_distinct(F.split("_text", " "))).alias("word")).filter("word <> ''")
     vocabulary = stages.keep(words.select("word").distinct(), "vocabulary")
     sizes = range(1, _GRAM + 1)
@@ -129,7 +159,31 @@ def match_term_table(
     asked = longer.groupBy("_id").agg(F.collect_set(F.struct("term", "folded")).alias("_asked"))
     found = F.filter("_asked", lambda term: F.contains(F.col("_text"), term["folded"]))
     several = texts.join(asked, "_id").select("_id", F.explode(found).alias("term")).select("_id", "term.term")
-    return single.unionByName(several).withColumnRenamed("_id", id_column)
+    return single.unionByName(several)
+
+
+def match_term_table(
+    rows: DataFrame, terms: DataFrame, space: Column, id_column: str, term_column: str = "term", stages: Stages = STAGES,
+    held_bytes: int = _HELD,
+) -> DataFrame:
+    """(``id_column``, ``term``) for every row whose text ``space`` contains the term, regardless of case.
+
+    For terms by the thousand, which come as a table; :func:`match_terms` gives the same answer for a few. The terms are measured
+    when the operator is called. Up to ``held_bytes`` of them (some 200,000) go to every task, which finds them in its texts by
+    runs of a few characters; texts are dealt out once over the session's number of shuffle partitions, matches never. A
+    larger table is met by way of an index of the words that the texts consist of, whose shuffles grow with the pairs of a text
+    and a term. Null and empty terms are left out, repeated ones count once; a row without text has no matches.
+    ``id_column`` identifies a row.
+    """
+    wanted = stages.keep(_folded(terms, term_column), "terms")
+    size = wanted.agg(F.sum(F.octet_length("term") + F.octet_length("folded") + F.lit(_ROW)).alias("bytes")).first()["bytes"]
+    texts = rows.select(F.col(id_column).alias("_id"), space.alias("_text"))
+    if (size or 0) <= held_bytes:
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        found = _looked_up(texts.repartition(parts, "_id").withColumn("_text", fold(F.col("_text"))), wanted)
+    else:
+        found = _indexed(texts.withColumn("_text", fold(F.col("_text"))), wanted, stages)
+    return found.withColumnRenamed("_id", id_column)
 
 
 def match_articles(

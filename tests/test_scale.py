@@ -134,6 +134,25 @@ def test_term_table_agrees_with_match_terms(spark, stages):
     assert match_term_table(rows, wanted.limit(0), F.col("text"), "id", stages=stages).count() == 0
 
 
+def test_term_table_shuffles_no_matches(spark, stages):
+    pick = random.Random(9)
+    words = ["".join(pick.choice("abß\U0001f600é") for _ in range(pick.randint(1, 9))) for _ in range(30)]
+    texts = [pick.choice((" ", "\n", "")).join(pick.choices(words, k=40)) for _ in range(60)]
+    texts += [None, "", " ", "x" * 70_000 + "straSSe 7" + "y" * 70_000, "x" * 65_533 + "Needle" + "y" * 9]
+    terms = ["needle", *words, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)), "Straße", "e 7", "7y", "absent", None, " "]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    wanted = spark.createDataFrame([(t,) for t in terms], "term string")
+    held = match_term_table(rows, wanted, F.col("text"), "id", stages=stages)
+    shuffles = re.findall(r"Exchange hashpartitioning\((\w+)#", plan(held))
+    assert shuffles.count("_id") == 1 and "word" not in shuffles and "SortMergeJoin" not in plan(held).split("BroadcastExchange")[0]
+    few = list(dict.fromkeys(t.strip() for t in terms if t and t.strip()))
+    expected = sorted(map(tuple, rows.select("id", F.explode(match_terms(F.col("text"), few))).collect()))
+    assert sorted(map(tuple, held.collect())) == expected and len(expected) > 1000
+    indexed = match_term_table(rows, wanted, F.col("text"), "id", stages=stages, held_bytes=0)
+    assert "word" in re.findall(r"Exchange hashpartitioning\((\w+)#", plan(indexed))
+    assert sorted(map(tuple, indexed.collect())) == expected
+
+
 # --- enrichment ---
 
 
