@@ -175,6 +175,76 @@ def test_nearest_neighbours_in_blocks(spark, monkeypatch):
     assert sorted(map(tuple, ann.nearest_neighbours(frame, asks, k=3, tables=2, probe=6).collect())) == whole
 
 
+def test_nearest_neighbours_in_groups(spark, monkeypatch):
+    """More groups than partitions give the same rows as one."""
+    frame = spark.read.parquet(f"{FOLDER}/../sf0.01/embeddings.parquet")
+    asks = F.col("vec_id") % 3 == 0
+    whole = sorted(map(tuple, ann.nearest_neighbours(frame, asks, k=3, tables=4).collect()))
+    assert len(whole) == 3 * frame.filter(asks).count()
+    monkeypatch.setattr(ann, "GROUP_BYTES", 1 << 13)
+    assert sorted(map(tuple, ann.nearest_neighbours(frame, asks, k=3, tables=4).collect())) == whole
+
+
+def _shuffled_mb(spark) -> float:
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(n).totalShuffleWrite() for n in range(executors.size())) / 1e6
+
+
+def test_nearest_neighbours_shuffles_a_vector_once(spark):
+    """Not once a table, nor a query once a probe, which filled disk and driver on large tables."""
+    draw = np.random.default_rng(4)
+    rows = [(n, [float(x) for x in x]) for n, x in enumerate(draw.normal(size=(3000, 64)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    before = _shuffled_mb(spark)
+    assert len(ann.nearest_neighbours(frame, F.col("vec_id") % 50 == 0).collect()) == 300
+    assert _shuffled_mb(spark) - before < 3 * 3000 * 64 * 4 / 1e6
+
+
+def test_index_in_pieces(monkeypatch):
+    """Few rows and queries of a bucket, queries and pairs at a time, and every row that the probed buckets hold."""
+    draw = np.random.default_rng(2)
+    vectors = np.concatenate([draw.normal(size=(400, 16)), np.outer(draw.uniform(1, 2, 50), np.ones(16))]).astype(np.float32)
+    keys = draw.integers(0, 256, size=(450, 16), dtype=np.uint8)
+    queries = vectors[::7]
+
+    def found() -> list[tuple]:
+        index = ann._Index(keys, vectors, 6, 10, 4)
+        return sorted((int(q), int(r), s) for part in index.nearest(queries, 4) for q, r, s in zip(*part))
+
+    units, asked = ann._units(vectors.astype(float)), ann._units(queries.astype(float))
+    together = np.zeros((len(queries), len(vectors)), dtype=bool)
+    for table in range(6):
+        own, probed = ann.probes(units, table, 1, 6, 4)[:, 0], ann.probes(asked, table, 10, 6, 4)
+        together |= (probed[:, :, None] == own[None, None, :]).any(axis=1)
+    score = np.where(together, ann.cosines(queries.astype(float), vectors.astype(float)), -9)
+    least = np.maximum(np.sort(score, axis=1)[:, -4, None], -2)
+    expected = sorted((int(q), int(r), score[q, r]) for q, r in zip(*np.nonzero(score >= least)))
+    assert 4 * len(queries) <= len(expected)
+    assert found() == expected
+    for name, value in (("BUCKET_ROWS", 3), ("BUCKET_QUERIES", 4), ("GROUP_QUERIES", 20), ("PAIRS", 100)):
+        monkeypatch.setattr(ann, name, value)
+    assert found() == expected
+
+
+def test_nearest_neighbours_close_directions(spark):
+    """Vectors that single precision can't tell apart, and such as have no squares in double precision, rank by their cosine."""
+    rows = [(n, [1.0, n * 1e-7]) for n in range(1, 300)] + [(1000, [1.0, 0.0]), (1001, [1e200, 1e191]), (1002, [1e-200, 3e-209])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r["rank"]: (r.vec_id, r.score) for r in ann.nearest_neighbours(frame, F.col("vec_id") == 1000, k=3).collect()}
+    assert {found[n][0] for n in (1, 2)} == {1001, 1002} and found[3][0] == 1
+    assert all(abs(score - 1) < 1e-12 for _, score in found.values())
+
+
+def test_probes_by_matrix_are_those_by_steps():
+    draw = np.random.default_rng(1)
+    vectors = np.concatenate([draw.normal(size=(300, 64)), np.eye(64), draw.integers(-1, 2, size=(200, 64)) + np.eye(64)[0] * 3])
+    units = ann._units(vectors)
+    for table in range(3):
+        for count in (1, 40):
+            assert (ann.probes(units, table, count) == ann.probes(units, table, count, exact=True)).all()
+
+
 # --- URL filter ---
 
 
