@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import io
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -201,6 +202,20 @@ def test_nearest_neighbours_shuffles_a_vector_once(spark):
     assert _shuffled_mb(spark) - before < 3 * 3000 * 64 * 4 / 1e6
 
 
+def test_nearest_neighbours_broadcasts_no_vectors(spark):
+    """Probing queries, 640 rows of a vector each, used to be broadcast by the size of the vectors alone."""
+    frame = spark.read.parquet(f"{FOLDER}/../sf0.1/embeddings.parquet")
+    found = ann.nearest_neighbours(frame, F.col("vec_id") % 50 == 0)
+    assert len(found.collect()) == 200
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "Final Plan" in plan
+    for below in final.split("BroadcastExchange")[1:]:
+        own = re.split(r"\bExchange\b", below)[0]
+        held = re.findall(r"MapIn\w+ .*\)#\d+, \[(.*?)\]", own)
+        assert not any("embedding" in columns or "vector" in columns for columns in held)
+
+
 def test_index_in_pieces(monkeypatch):
     """Few rows and queries of a bucket, queries and pairs at a time, and every row that the probed buckets hold."""
     draw = np.random.default_rng(2)
